@@ -101,9 +101,11 @@ def cohort_pivot(cohorts: DataFrame, max_months: int = 12) -> DataFrame:
     return p.select("cohort_month", "cohort_size", *[F.col(str(v)).alias(f"m{v:02d}") for v in values])
 
 
-def cohort_revenue(orders: DataFrame, max_months: int | None = None) -> DataFrame:
-    """X4 — cohort table plus ``cohort_revenue`` and ``revenue_per_customer``
-    per (cohort, offset)."""
+def cohort_revenue(orders: DataFrame, max_months: int | None = None, money_digits: int = 2) -> DataFrame:
+    """X4 — cohort table plus ``cohort_revenue`` (rounded to ``money_digits``,
+    cents by default, so partial-sum order cannot show) and
+    ``revenue_per_customer`` (from the rounded revenue, 6 digits) per
+    (cohort, offset)."""
     cm = (
         orders.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id", month_start("order_date").alias("activity_month"))
@@ -129,13 +131,14 @@ def cohort_revenue(orders: DataFrame, max_months: int | None = None) -> DataFram
         .groupBy("cohort_month", "months_since_acquisition")
         .agg(F.count(F.lit(1)).alias("active_customers"), F.sum("rev").alias("cohort_revenue"))
     )
+    agg = agg.withColumn("cohort_revenue", F.round("cohort_revenue", int(money_digits)))
     out = _with_size_and_rate(agg, [], max_months, ["cohort_revenue"])
     return out.withColumn(
-        "revenue_per_customer", F.col("cohort_revenue") / F.col("cohort_size").cast("double")
+        "revenue_per_customer", F.round(F.col("cohort_revenue") / F.col("cohort_size").cast("double"), 6)
     )
 
 
-def cohort_ltv(revenue: DataFrame, horizon_month=None) -> DataFrame:
+def cohort_ltv(revenue: DataFrame, horizon_month=None, money_digits: int = 2) -> DataFrame:
     """X5 — cumulative revenue per acquired customer on a dense month axis
     ``0 .. months up to horizon_month`` (default: the latest active month in
     the data). The axis has cohorts x months rows (calendar-bounded)."""
@@ -158,13 +161,14 @@ def cohort_ltv(revenue: DataFrame, horizon_month=None) -> DataFrame:
     w = Window.partitionBy("cohort_month").orderBy("months_since_acquisition").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
+    cum = F.round(F.sum("cohort_revenue").over(w), int(money_digits))
     return dense.select(
         "cohort_month",
         "months_since_acquisition",
         "cohort_size",
         "cohort_revenue",
-        F.sum("cohort_revenue").over(w).alias("cumulative_revenue"),
-        (F.sum("cohort_revenue").over(w) / F.col("cohort_size").cast("double")).alias("ltv_per_customer"),
+        cum.alias("cumulative_revenue"),
+        F.round(cum / F.col("cohort_size").cast("double"), 6).alias("ltv_per_customer"),
     )
 
 

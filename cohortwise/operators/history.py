@@ -34,21 +34,31 @@ HISTORY_COLUMNS = ["snapshot_date", "retention_status", "customer_count", "total
 
 
 def order_day_intervals(orders: DataFrame, end=None, attributes: DataFrame | None = None,
-                        by: list[str] | None = None) -> DataFrame:
+                        by: list[str] | None = None, with_revenue: bool = False) -> DataFrame:
     """One row per (customer, distinct order day): ``o``, ``nx`` (next
-    distinct order day or NULL), ``e`` (entry day), plus ``by`` keys."""
+    distinct order day or NULL), ``e`` (entry day), plus ``by`` keys and,
+    with ``with_revenue``, ``revenue_to_date`` (revenue of all orders up to
+    and including ``o``: the as-of facts' ``total_revenue`` on ``[o, nx)``)."""
     o = orders.where(F.col("order_date").isNotNull())
     if end is not None:
         # later orders only move interval ends beyond the window
         o = o.where(F.col("order_date") <= date_lit(end))
-    days = o.groupBy("customer_id", "order_date").agg(F.count("order_id").alias("ids"))
+    aggs = [F.count("order_id").alias("ids")]
+    if with_revenue:
+        aggs.append(F.sum("order_amount").alias("rev"))
+    days = o.groupBy("customer_id", "order_date").agg(*aggs)
     w = Window.partitionBy("customer_id").orderBy("order_date")
     wall = Window.partitionBy("customer_id")
+    extra = []
+    if with_revenue:
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        extra.append(F.sum("rev").over(run).alias("revenue_to_date"))
     iv = days.select(
         "customer_id",
         F.col("order_date").alias("o"),
         F.lead("order_date").over(w).alias("nx"),
         F.min(F.when(F.col("ids") > 0, F.col("order_date"))).over(wall).alias("e"),
+        *extra,
     ).where(F.col("e").isNotNull() & (F.col("nx").isNull() | (F.col("nx") > F.col("e"))))
     keys = list(by or [])
     if keys:
