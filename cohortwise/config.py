@@ -8,7 +8,7 @@ number of configured rows, which is what bounds any broadcast of it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's definitions.
@@ -107,14 +107,10 @@ class AlertConfig:
     # "median"
     baseline: str = "rows"
     consecutive_days: int = 1
+    # "increase" alerts when the share rises (status shares); "decrease" when
+    # it falls (retention rates), i.e. the relative change is negated
+    direction: str = "increase"
 
     def with_(self, **kw) -> "AlertConfig":
         return replace(self, **kw)
 
-
-@dataclass(frozen=True)
-class HistoryWindow:
-    start: str
-    end: str
-    dense: bool = False
-    extra: dict = field(default_factory=dict)

@@ -105,9 +105,10 @@ def alert_logic(
     cur, bl = F.col("status_pct"), F.col("baseline_value")
     rel = F.round((cur / F.nullif(bl, F.lit(0.0)) - 1) * 100, 2)
     s = s.withColumn("delta_pct", cur - bl).withColumn("delta_relative_pct", rel)
+    worse = F.col("delta_relative_pct") if cfg.direction == "increase" else -F.col("delta_relative_pct")
     sev = (
-        F.when(F.col("delta_relative_pct") >= F.col("threshold_critical"), F.lit(CRITICAL))
-        .when(F.col("delta_relative_pct") >= F.col("threshold_warning"), F.lit(WARNING))
+        F.when(worse >= F.col("threshold_critical"), F.lit(CRITICAL))
+        .when(worse >= F.col("threshold_warning"), F.lit(WARNING))
         .otherwise(F.lit(INFO))
     )
     s = s.withColumn("severity", sev)
@@ -144,6 +145,25 @@ def alert_logic(
     )
 
 
+def cohort_alert(cohorts: DataFrame, maturity: int = 1, cfg: AlertConfig | None = None) -> DataFrame:
+    """X7 — young-cohort underperformance: each cohort's retention rate at
+    ``maturity`` (M+1, M+2) against the mean of the previous
+    ``cfg.baseline_rows`` cohorts at the same maturity; a *drop* alerts.
+    The series has one row per cohort month (calendar-bounded)."""
+    cfg = cfg or AlertConfig(
+        status=f"M+{int(maturity)}", metric_name=f"m{int(maturity)}_retention_rate",
+        alert_type="cohort_retention_degradation", direction="decrease", baseline_rows=6,
+    )
+    series = cohorts.where(F.col("months_since_acquisition") == int(maturity)).select(
+        F.col("cohort_month").alias("snapshot_date"),
+        F.lit(cfg.status).alias("retention_status"),
+        F.col("active_customers").alias("customer_count"),
+        F.col("cohort_size").alias("total_customers"),
+        F.col("retention_rate").alias("status_pct"),
+    )
+    return alert_logic(series, cfg)
+
+
 def single_day_alert(snapshot: DataFrame, reference_date, cfg: AlertConfig = AlertConfig()) -> DataFrame:
     """The literal single-date form: the distribution of one snapshot has
     one row per status, so the baseline is always NULL -> INFO, FALSE."""

@@ -70,6 +70,12 @@ def threshold_sets_df(spark: SparkSession, sets: list[StatusThresholds]) -> Data
     return spark.createDataFrame(rows, "threshold_set string, active_days int, at_risk_days int")
 
 
+def active_thresholds(config: DataFrame) -> DataFrame:
+    """SRC5 — the active row(s) of a threshold configuration table
+    (``threshold_set, active_days, at_risk_days, active``)."""
+    return config.where(F.col("active")).select("threshold_set", "active_days", "at_risk_days")
+
+
 def status_by_threshold_sets(facts: DataFrame, reference_date, sets_df: DataFrame) -> DataFrame:
     """X13 per customer — status under every configured set. The sets side
     holds one row per configured set, so broadcasting it is bounded by the

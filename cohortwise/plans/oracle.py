@@ -250,6 +250,7 @@ def alert_ctes(cfg: AlertConfig = AlertConfig(), hist: str = "hist", by: str | N
   FROM daily_retention_status c LEFT JOIN daily_retention_status p
     ON p.snapshot_date = c.snapshot_date - INTERVAL 7 DAY{on_by})""")
     on_by = f" AND drs.{by} IS NOT DISTINCT FROM hb.{by}" if by else ""
+    sgn = "" if cfg.direction == "increase" else "-"
     if seasonal:
         th_join = f" LEFT JOIN ({seasonal}) th(m, tw, tc) ON th.m = month(drs.snapshot_date)"
         tw, tc = f"COALESCE(th.tw, {cfg.warning_pct})", f"COALESCE(th.tc, {cfg.critical_pct})"
@@ -267,8 +268,8 @@ threshold_evaluation AS (
     ROUND(((current_value / NULLIF(baseline_value, 0)) - 1) * 100, 2) AS delta_relative_pct
   FROM current_vs_baseline),
 severity_evaluation AS (
-  SELECT *, CASE WHEN delta_relative_pct >= threshold_critical THEN 'CRITICAL'
-                 WHEN delta_relative_pct >= threshold_warning THEN 'WARNING' ELSE 'INFO' END AS severity
+  SELECT *, CASE WHEN {sgn}delta_relative_pct >= threshold_critical THEN 'CRITICAL'
+                 WHEN {sgn}delta_relative_pct >= threshold_warning THEN 'WARNING' ELSE 'INFO' END AS severity
   FROM threshold_evaluation),
 noise_filtering AS (
   SELECT *, COALESCE(sample_size >= {cfg.min_sample} AND baseline_value IS NOT NULL

@@ -77,3 +77,28 @@ def test_streaming_refresh_equals_batch(spark, tmp_dir):
     got = spark.read.parquet(latest_version(spark, table))
     want = FX.base_customers(to_orders(raw), c)
     assert _rows(got.select(*want.columns)) == _rows(want)
+
+
+def test_outbox_export_and_subscriptions(spark, tmp_dir):
+    from cohortwise.operators import alerts as AL
+    from cohortwise.operators import campaigns as CP
+
+    dist = spark.createDataFrame(
+        [(dt.date(2024, 3, 1) + dt.timedelta(days=i), "AT_RISK", 200, 1000, v)
+         for i, v in enumerate([20.0] * 7 + [25.0])],
+        "snapshot_date date, retention_status string, customer_count long, total_customers long, status_pct double")
+    routed = AL.route_alerts(AL.alert_logic(dist))
+    out = os.path.join(tmp_dir, "outbox")
+    T.write_outbox(routed, out)
+    back = spark.read.json(out)
+    assert sorted(r.destination for r in back.collect()) == ["email", "executive-alerts"]
+
+    lst = spark.createDataFrame([(1, "HIGH"), (2, "LOW")], "customer_id long, churn_risk_level string")
+    CP.export_customer_list(lst.where("churn_risk_level = 'HIGH'"), os.path.join(tmp_dir, "crm"))
+    assert spark.read.option("header", True).csv(os.path.join(tmp_dir, "crm")).count() == 1
+
+    subs = spark.createDataFrame(
+        [(1, dt.date(2024, 2, 1), None), (2, dt.date(2024, 6, 1), None), (3, dt.date(2024, 6, 1), dt.date(2024, 1, 5))],
+        "customer_id long, renewal_date date, cancelled_at date")
+    got = {r.customer_id: r.subscription_status for r in CP.subscription_status(subs, "2024-01-10").collect()}
+    assert got == {1: "RENEWAL_DUE", 2: "ACTIVE", 3: "CANCELLED"}
