@@ -91,7 +91,8 @@ def score_trend(before: DataFrame, after: DataFrame, min_increase: int = 20) ->
     )
 
 
-def alert_drilldown(alerts: DataFrame, orders: DataFrame, thresholds=None, statuses=("AT_RISK",)) -> DataFrame:
+def alert_drilldown(alerts: DataFrame, orders: DataFrame | None, thresholds=None, statuses=("AT_RISK",),
+                    intervals: DataFrame | None = None) -> DataFrame:
     """X20 — the customers behind each flagged alert: customers whose status
     on the alert date (as-of facts) is in ``statuses``, with revenue to date,
     ordered by alert date and revenue (desc).
@@ -99,7 +100,8 @@ def alert_drilldown(alerts: DataFrame, orders: DataFrame, thresholds=None, statu
     Each customer's distinct order days are intervals ``[o, nx)``; the
     flagged dates (one row per alerted day, calendar-bounded) are broadcast
     and matched by ``o <= date < nx``, so every (customer, date) pair is
-    produced once without expanding customers by days."""
+    produced once without expanding customers by days. ``intervals`` (with
+    revenue) can be shared with the history that produced the alerts."""
     from cohortwise.config import StatusThresholds
     from cohortwise.functions.dates import day_diff
     from cohortwise.operators.history import order_day_intervals
@@ -107,7 +109,7 @@ def alert_drilldown(alerts: DataFrame, orders: DataFrame, thresholds=None, statu
 
     th = thresholds or StatusThresholds()
     flagged = alerts.where(F.col("alert_flag")).select("alert_date", "severity")
-    iv = order_day_intervals(orders, with_revenue=True)
+    iv = intervals if intervals is not None else order_day_intervals(orders, with_revenue=True)
     s = F.col("alert_date")
     cond = (iv["o"] <= s) & (iv["nx"].isNull() | (s < iv["nx"])) & (iv["e"] <= s)
     j = iv.join(F.broadcast(flagged), cond, "inner")

@@ -17,8 +17,8 @@ over days gives the count of every status on every day.
 Cost: O(distinct customer-days) rows through two shuffles (by
 (customer, day) with partial aggregation, then by customer for ``lead``,
 where a customer holds at most one row per calendar day), then
-O(days x statuses). The running-sum window is partitioned by
-(scope, status) and holds one row per calendar day.
+O(event days x statuses). The running-sum window is partitioned by
+(scope, status) and holds at most one row per calendar day.
 """
 
 from __future__ import annotations
@@ -38,28 +38,37 @@ def order_day_intervals(orders: DataFrame, end=None, attributes: DataFrame | Non
     """One row per (customer, distinct order day): ``o``, ``nx`` (next
     distinct order day or NULL), ``e`` (entry day), plus ``by`` keys and,
     with ``with_revenue``, ``revenue_to_date`` (revenue of all orders up to
-    and including ``o``: the as-of facts' ``total_revenue`` on ``[o, nx)``)."""
+    and including ``o``: the as-of facts' ``total_revenue`` on ``[o, nx)``).
+
+    Without revenue: one shuffle by customer of a partial ``collect_set`` of
+    order days (a customer's buffer is bounded by calendar days, whatever
+    its number of orders); ``nx`` comes from the sorted array.
+    With revenue: days are first reduced per (customer, day) — spreading a
+    hot customer by day — then a window per customer gives ``lead`` and
+    the running revenue."""
     o = orders.where(F.col("order_date").isNotNull())
     if end is not None:
         # later orders only move interval ends beyond the window
         o = o.where(F.col("order_date") <= date_lit(end))
-    aggs = [F.count("order_id").alias("ids")]
-    if with_revenue:
-        aggs.append(F.sum("order_amount").alias("rev"))
-    days = o.groupBy("customer_id", "order_date").agg(*aggs)
-    w = Window.partitionBy("customer_id").orderBy("order_date")
-    wall = Window.partitionBy("customer_id")
-    extra = []
-    if with_revenue:
-        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        extra.append(F.sum("rev").over(run).alias("revenue_to_date"))
-    iv = days.select(
-        "customer_id",
-        F.col("order_date").alias("o"),
-        F.lead("order_date").over(w).alias("nx"),
-        F.min(F.when(F.col("ids") > 0, F.col("order_date"))).over(wall).alias("e"),
-        *extra,
-    ).where(F.col("e").isNotNull() & (F.col("nx").isNull() | (F.col("nx") > F.col("e"))))
+    first_id_day = F.min(F.when(F.col("order_id").isNotNull(), F.col("order_date")))
+    if not with_revenue:
+        g = o.groupBy("customer_id").agg(
+            F.array_sort(F.collect_set("order_date")).alias("d"), first_id_day.alias("e"))
+        nxt = F.concat(F.slice("d", 2, F.greatest(F.size("d") - 1, F.lit(0))), F.array(F.lit(None).cast("date")))
+        z = g.select("customer_id", "e", F.explode(F.arrays_zip(F.col("d").alias("o"), nxt.alias("nx"))).alias("z"))
+        iv = z.select("customer_id", F.col("z.o").alias("o"), F.col("z.nx").alias("nx"), "e")
+    else:
+        days = o.groupBy("customer_id", "order_date").agg(
+            F.count("order_id").alias("ids"), F.sum("order_amount").alias("rev"))
+        w = Window.partitionBy("customer_id").orderBy("order_date")
+        iv = days.select(
+            "customer_id",
+            F.col("order_date").alias("o"),
+            F.lead("order_date").over(w).alias("nx"),
+            F.min(F.when(F.col("ids") > 0, F.col("order_date"))).over(Window.partitionBy("customer_id")).alias("e"),
+            F.sum("rev").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("revenue_to_date"),
+        )
+    iv = iv.where(F.col("e").isNotNull() & (F.col("nx").isNull() | (F.col("nx") > F.col("e"))))
     keys = list(by or [])
     if keys:
         iv = iv.join(attributes.select("customer_id", *keys), "customer_id", "left")
@@ -67,30 +76,30 @@ def order_day_intervals(orders: DataFrame, end=None, attributes: DataFrame | Non
 
 
 def _status_events(iv: DataFrame, th: StatusThresholds, keys: list[str]) -> DataFrame:
+    """+1 / -1 per status sub-interval; built-in expressions only (one
+    explode of six candidate events, invalid ones carry a NULL day)."""
     a1, b1 = int(th.active_days) + 1, int(th.at_risk_days) + 1
     o, nx, e = F.col("o"), F.col("nx"), F.col("e")
 
-    def piece(status, lo, hi):
-        lo = F.greatest(lo, e)
-        ok = F.when(hi.isNull(), lo.isNotNull()).otherwise(lo < hi)
-        return F.when(ok, F.struct(F.lit(status).alias("st"), lo.alias("lo"), hi.alias("hi")))
-
     def least_nx(x):
         return F.when(nx.isNull(), x).otherwise(F.least(x, nx))
 
-    pieces = F.array(
-        piece(ACTIVE, o, least_nx(F.date_add(o, a1))),
-        piece(AT_RISK, F.date_add(o, a1), least_nx(F.date_add(o, b1))),
-        piece(INACTIVE, F.date_add(o, b1), nx),
-    )
-    p = iv.select(*keys, F.explode(F.filter(pieces, lambda x: x.isNotNull())).alias("p"))
-    ev = F.array(
-        F.struct(F.col("p.lo").alias("day"), F.lit(1).alias("delta")),
-        F.struct(F.col("p.hi").alias("day"), F.lit(-1).alias("delta")),
+    events = []
+    for status, lo, hi in (
+        (ACTIVE, o, least_nx(F.date_add(o, a1))),
+        (AT_RISK, F.date_add(o, a1), least_nx(F.date_add(o, b1))),
+        (INACTIVE, F.date_add(o, b1), nx),
+    ):
+        lo = F.greatest(lo, e)
+        ok = hi.isNull() | (lo < hi)
+        events.append(F.struct(F.lit(status).alias("st"), F.when(ok, lo).alias("day"), F.lit(1).alias("delta")))
+        events.append(F.struct(F.lit(status).alias("st"), F.when(ok, hi).alias("day"), F.lit(-1).alias("delta")))
+    return (
+        iv.select(*keys, F.explode(F.array(*events)).alias("ev"))
+        .where(F.col("ev.day").isNotNull())
+        .select(*keys, F.col("ev.st").alias("retention_status"), F.col("ev.day").alias("day"),
+                F.col("ev.delta").alias("delta"))
     )
-    return p.select(*keys, F.col("p.st").alias("retention_status"), F.explode(ev).alias("ev")).where(
-        F.col("ev.day").isNotNull()
-    ).select(*keys, "retention_status", F.col("ev.day").alias("day"), F.col("ev.delta").alias("delta"))
 
 
 def calendar(spark, start, end) -> DataFrame:
@@ -101,46 +110,56 @@ def calendar(spark, start, end) -> DataFrame:
 
 
 def status_history(
-    orders: DataFrame,
+    orders: DataFrame | None,
     start,
     end,
     thresholds: StatusThresholds = StatusThresholds(),
     dense: bool = False,
     attributes: DataFrame | None = None,
     by: list[str] | None = None,
+    intervals: DataFrame | None = None,
 ) -> DataFrame:
     """Daily customers per status on every day of [start, end], as-of.
 
     ``dense=False`` (literal GROUP BY) emits no row for a status with no
-    customer that day; ``dense=True`` zero-fills every (day, status)."""
+    customer that day; ``dense=True`` zero-fills every (day, status) of
+    every scope. ``intervals`` (from ``order_day_intervals``) can be passed
+    instead of ``orders`` to share them with another consumer.
+
+    After the per-(scope, status, day) event sums, every scope gets a zero
+    event for each status on ``start``; a running sum over the event days
+    of each (scope, status) gives runs of constant count, and each run is
+    expanded to its calendar days. Scopes come from the data itself (no
+    second pass to list them), and nothing is joined against a calendar."""
     keys = list(by or [])
-    iv = order_day_intervals(orders, end, attributes, keys)
+    iv = intervals if intervals is not None else order_day_intervals(orders, end, attributes, keys)
     ev = _status_events(iv, thresholds, keys)
     s, t = date_lit(start), date_lit(end)
     # events before the window accumulate on its first day; after it, drop
     ev = ev.where(F.col("day") <= t).withColumn("day", F.greatest(F.col("day"), s))
-    daily = ev.groupBy(*keys, "retention_status", "day").agg(F.sum("delta").alias("delta"))
-
-    spark = orders.sparkSession
-    cal = calendar(spark, start, end)
-    statuses = spark.createDataFrame([(ACTIVE,), (AT_RISK,), (INACTIVE,)], "retention_status string")
-    grid = cal.crossJoin(statuses)
+    statuses = F.array(*[F.lit(x) for x in (ACTIVE, AT_RISK, INACTIVE)])
     if keys:
-        grid = grid.crossJoin(daily.select(*keys).distinct())
-    j = grid.join(
-        daily.withColumnRenamed("day", "snapshot_date"), [*keys, "retention_status", "snapshot_date"], "left"
-    )
-    w = Window.partitionBy(*keys, "retention_status").orderBy("snapshot_date").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    counts = j.select(
-        *keys, "snapshot_date", "retention_status",
-        F.sum(F.coalesce(F.col("delta"), F.lit(0))).over(w).cast("long").alias("customer_count"),
+        # every scope present gets every status on the first day (zero delta)
+        marks = ev.select(*keys, F.explode(statuses).alias("retention_status")).select(
+            *keys, "retention_status", s.alias("day"), F.lit(0).alias("delta"))
+    else:
+        marks = iv.sparkSession.range(1).select(
+            F.explode(statuses).alias("retention_status"), s.alias("day"), F.lit(0).alias("delta"))
+    daily = ev.unionByName(marks).groupBy(*keys, "retention_status", "day").agg(F.sum("delta").alias("delta"))
+    w = Window.partitionBy(*keys, "retention_status").orderBy("day")
+    runs = daily.select(
+        *keys, "retention_status", "day",
+        F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long").alias("n"),
+        F.coalesce(F.date_sub(F.lead("day").over(w), 1), t).alias("last_day"),
     )
+    if not dense:
+        runs = runs.where(F.col("n") > 0)
+    counts = runs.select(
+        *keys, "retention_status", "n",
+        F.explode(F.sequence(F.col("day"), F.col("last_day"), F.expr("INTERVAL 1 DAY"))).alias("snapshot_date"),
+    ).withColumnRenamed("n", "customer_count")
     tot = F.sum("customer_count").over(Window.partitionBy(*keys, "snapshot_date"))
     out = counts.withColumn("total_customers", tot.cast("long"))
-    if not dense:
-        out = out.where(F.col("customer_count") > 0)
     pct = F.round(
         F.col("customer_count").cast("double") * 100.0 / F.nullif(F.col("total_customers"), F.lit(0)).cast("double"), 2
     )
