@@ -1,0 +1,42 @@
+"""Size-checked broadcast.
+
+Configuration tables (threshold sets, segment weights, seasonal
+thresholds, band rules, action matrix) are joined to data of any size; they
+are broadcast only after a check that they are small: Catalyst's size
+estimate against the session's ``autoBroadcastJoinThreshold`` (the check the
+planner itself applies) or, when no estimate exists (DataFrames built from
+Python lists), a bounded row count (``limit(max_rows + 1).count()``, a job
+over the small side only). Above the bound the DataFrame is returned
+unchanged and the planner / AQE choose a shuffle join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def _threshold_bytes(df: DataFrame) -> int:
+    v = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for u in sorted(units, key=len, reverse=True):
+        if v.endswith(u):
+            return int(float(v[: -len(u)]) * units[u])
+    return int(v)
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    limit = _threshold_bytes(df)
+    if limit < 0:
+        return df
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate available
+        est = -1
+    if 0 <= est <= limit:
+        return F.broadcast(df)
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortwise.functions.joins import broadcast_bounded
 from cohortwise.config import CRITICAL, INFO, WARNING, AlertConfig
 
 ALERT_COLUMNS = [
@@ -98,7 +99,7 @@ def alert_logic(
             F.col("threshold_warning").cast("double").alias("_tw"),
             F.col("threshold_critical").cast("double").alias("_tc"),
         )
-        s = s.join(F.broadcast(t), F.month("snapshot_date") == F.col("_m"), "left")
+        s = s.join(broadcast_bounded(t), F.month("snapshot_date") == F.col("_m"), "left")
         s = s.withColumn("threshold_warning", F.coalesce("_tw", F.lit(float(cfg.warning_pct)))).withColumn(
             "threshold_critical", F.coalesce("_tc", F.lit(float(cfg.critical_pct)))
         )

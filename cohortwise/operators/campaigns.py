@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortwise.functions.joins import broadcast_bounded
 from cohortwise.config import ACTIVE, HIGH, MEDIUM
 from cohortwise.functions.dates import month_start
 
@@ -50,7 +51,7 @@ def action_matrix_df(spark: SparkSession, matrix=ACTION_MATRIX) -> DataFrame:
 def apply_action_matrix(risk: DataFrame, matrix: DataFrame) -> DataFrame:
     """X16 — each customer's action from the (status, level) mapping (a
     configuration table of at most statuses x levels rows)."""
-    j = risk.join(F.broadcast(matrix), ["retention_status", "churn_risk_level"], "left")
+    j = risk.join(broadcast_bounded(matrix), ["retention_status", "churn_risk_level"], "left")
     return j.withColumn("action", F.coalesce(F.col("action"), F.lit(DEFAULT_ACTION)))
 
 
@@ -112,6 +113,8 @@ def alert_drilldown(alerts: DataFrame, orders: DataFrame | None, thresholds=None
     iv = intervals if intervals is not None else order_day_intervals(orders, with_revenue=True)
     s = F.col("alert_date")
     cond = (iv["o"] <= s) & (iv["nx"].isNull() | (s < iv["nx"])) & (iv["e"] <= s)
+    # flagged alerts are at most one row per day of the history window that
+    # produced them (calendar-bounded, independent of customers and orders)
     j = iv.join(F.broadcast(flagged), cond, "inner")
     days = day_diff("o", "alert_date")
     out = j.select(

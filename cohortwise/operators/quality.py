@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortwise.functions.joins import broadcast_bounded
 from cohortwise.config import STATUSES, LEVELS
 
 
@@ -262,7 +263,7 @@ def band_verdicts(distribution: DataFrame, label_col: str, value_col: str, bands
     spark = distribution.sparkSession
     rules = spark.createDataFrame([(a, float(lo), float(hi)) for a, lo, hi in bands],
                                   "_label string, band_min double, band_max double")
-    j = distribution.join(F.broadcast(rules), distribution[label_col] == rules["_label"], "left")
+    j = distribution.join(broadcast_bounded(rules), distribution[label_col] == rules["_label"], "left")
     v = F.col(value_col)
     verdict = (
         F.when(F.col("band_min").isNull(), F.lit("NO_BAND"))

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortwise.functions.joins import broadcast_bounded
 from cohortwise.config import ACTIVE, HIGH, LOW, MEDIUM, RiskWeights, StatusThresholds
 from cohortwise.functions.dates import date_lit, day_diff, month_diff
 from cohortwise.functions.numeric import exceeds_gap_multiple
@@ -59,7 +60,7 @@ def _weights_as_columns(df: DataFrame, weights: RiskWeights, weights_df: DataFra
         F.col("customer_segment").alias("_seg"),
         *[F.col(c).cast("int").alias("_" + c) for c in _WEIGHT_FIELDS if c in weights_df.columns],
     )
-    j = df.join(F.broadcast(cfg), df[segment_col].eqNullSafe(cfg["_seg"]), "left")
+    j = df.join(broadcast_bounded(cfg), df[segment_col].eqNullSafe(cfg["_seg"]), "left")
     cols = []
     for c, f in _WEIGHT_FIELDS.items():
         default = F.lit(int(getattr(weights, f)))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortwise.functions.joins import broadcast_bounded
 from cohortwise.config import (
     ACTIVE,
     AT_RISK,
@@ -82,7 +83,7 @@ def status_by_threshold_sets(facts: DataFrame, reference_date, sets_df: DataFram
     configuration, not by the data."""
     ref = date_lit(reference_date)
     base = facts.select("customer_id", "last_order_date", day_diff("last_order_date", ref).alias("d"))
-    j = base.crossJoin(F.broadcast(sets_df))
+    j = base.crossJoin(broadcast_bounded(sets_df))
     return j.select(
         "threshold_set",
         "customer_id",
@@ -102,7 +103,7 @@ def threshold_set_distribution(facts: DataFrame, reference_date, sets_df: DataFr
         .groupBy("d")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    j = hist.crossJoin(F.broadcast(sets_df)).select(
+    j = hist.crossJoin(broadcast_bounded(sets_df)).select(
         "threshold_set",
         status_expr("d", F.col("active_days"), F.col("at_risk_days")).alias("retention_status"),
         "n",

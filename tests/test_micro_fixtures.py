@@ -207,3 +207,18 @@ def test_suppression_and_routing(spark):
     routed = AL.route_alerts(alerts).collect()
     # day 8 is CRITICAL (two destinations); day 9 (baseline now 20.71) is WARNING
     assert sorted(r.destination for r in routed) == ["email", "executive-alerts", "retention-monitoring"]
+
+
+def test_broadcast_bounded(spark):
+    from cohortwise.functions.joins import broadcast_bounded
+
+    small = spark.createDataFrame([(1,)], "x int")
+    assert "ResolvedHint" in broadcast_bounded(small)._jdf.queryExecution().analyzed().toString() or \
+        "broadcast" in broadcast_bounded(small)._jdf.queryExecution().optimizedPlan().toString().lower()
+    big = spark.range(0, 200_001)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        out = broadcast_bounded(big, max_rows=100_000)
+        assert "broadcast" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760b")
