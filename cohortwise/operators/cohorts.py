@@ -104,8 +104,8 @@ def cohort_pivot(cohorts: DataFrame, max_months: int = 12) -> DataFrame:
 def cohort_revenue(orders: DataFrame, max_months: int | None = None, money_digits: int = 2) -> DataFrame:
     """X4 — cohort table plus ``cohort_revenue`` (rounded to ``money_digits``,
     cents by default, so partial-sum order cannot show) and
-    ``revenue_per_customer`` (from the rounded revenue, 6 digits) per
-    (cohort, offset)."""
+    ``revenue_per_customer`` (the rounded revenue over the cohort size, so it
+    is deterministic too) per (cohort, offset)."""
     cm = (
         orders.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id", month_start("order_date").alias("activity_month"))
@@ -134,7 +134,7 @@ def cohort_revenue(orders: DataFrame, max_months: int | None = None, money_digit
     agg = agg.withColumn("cohort_revenue", F.round("cohort_revenue", int(money_digits)))
     out = _with_size_and_rate(agg, [], max_months, ["cohort_revenue"])
     return out.withColumn(
-        "revenue_per_customer", F.round(F.col("cohort_revenue") / F.col("cohort_size").cast("double"), 6)
+        "revenue_per_customer", F.col("cohort_revenue") / F.col("cohort_size").cast("double")
     )
 
 
@@ -168,7 +168,7 @@ def cohort_ltv(revenue: DataFrame, horizon_month=None, money_digits: int = 2) ->
         "cohort_size",
         "cohort_revenue",
         cum.alias("cumulative_revenue"),
-        F.round(cum / F.col("cohort_size").cast("double"), 6).alias("ltv_per_customer"),
+        (cum / F.col("cohort_size").cast("double")).alias("ltv_per_customer"),
     )
 
 
