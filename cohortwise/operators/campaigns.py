@@ -96,33 +96,20 @@ def alert_drilldown(alerts: DataFrame, orders: DataFrame | None, thresholds=None
                     intervals: DataFrame | None = None) -> DataFrame:
     """X20 — the customers behind each flagged alert: customers whose status
     on the alert date (as-of facts) is in ``statuses``, with revenue to date,
-    ordered by alert date and revenue (desc).
-
-    Each customer's distinct order days are intervals ``[o, nx)``; the
-    flagged dates (one row per alerted day, calendar-bounded) are broadcast
-    and matched by ``o <= date < nx``, so every (customer, date) pair is
-    produced once without expanding customers by days. ``intervals`` (with
-    revenue) can be shared with the history that produced the alerts."""
+    ordered by alert date and revenue (desc). Flagged alerts are at most one
+    row per day of the history window that produced them (calendar-bounded).
+    ``intervals`` (with revenue) can be shared with that history."""
     from cohortwise.config import StatusThresholds
-    from cohortwise.functions.dates import day_diff
-    from cohortwise.operators.history import order_day_intervals
-    from cohortwise.operators.status import status_expr
+    from cohortwise.operators.history import customer_status_on_dates, order_day_intervals
 
     th = thresholds or StatusThresholds()
-    flagged = alerts.where(F.col("alert_flag")).select("alert_date", "severity")
+    flagged = alerts.where(F.col("alert_flag")).select(F.col("alert_date").alias("snapshot_date"), "severity")
     iv = intervals if intervals is not None else order_day_intervals(orders, with_revenue=True)
-    s = F.col("alert_date")
-    cond = (iv["o"] <= s) & (iv["nx"].isNull() | (s < iv["nx"])) & (iv["e"] <= s)
-    # flagged alerts are at most one row per day of the history window that
-    # produced them (calendar-bounded, independent of customers and orders)
-    j = iv.join(F.broadcast(flagged), cond, "inner")
-    days = day_diff("o", "alert_date")
-    out = j.select(
-        "alert_date", "severity", "customer_id", F.col("o").alias("last_order_date"),
-        days.alias("days_since_last_order"),
-        status_expr(days, th.active_days, th.at_risk_days).alias("retention_status"),
-        F.col("revenue_to_date").alias("total_revenue"),
-    ).where(F.col("retention_status").isin(list(statuses)))
+    st = customer_status_on_dates(iv, flagged, th, dates_bounded=True)
+    out = st.where(F.col("retention_status").isin(list(statuses))).select(
+        F.col("snapshot_date").alias("alert_date"), "severity", "customer_id", "last_order_date",
+        "days_since_last_order", "retention_status", "total_revenue",
+    )
     return out.orderBy("alert_date", F.desc("total_revenue"), "customer_id")
 
 

@@ -102,6 +102,36 @@ def _status_events(iv: DataFrame, th: StatusThresholds, keys: list[str]) -> Data
     )
 
 
+def customer_status_on_dates(intervals: DataFrame, dates: DataFrame,
+                             thresholds: StatusThresholds = StatusThresholds(),
+                             dates_bounded: bool = False) -> DataFrame:
+    """Customer-level as-of status on each date of ``dates`` (column
+    ``snapshot_date``; a few dates — month ends, alert days — so the side
+    is broadcast): every customer's distinct-order-day interval
+    ``[o, nx)`` containing the date gives its last order day, hence its
+    status, without computing facts once per date. ``intervals`` from
+    ``order_day_intervals`` (with ``with_revenue=True`` the revenue to date
+    is returned as ``total_revenue``). Other columns of ``dates`` are kept.
+    ``dates_bounded=True``: the caller guarantees the dates side is small
+    (e.g. one row per day of a history window) and no size check runs."""
+    from cohortwise.functions.dates import day_diff
+    from cohortwise.functions.joins import broadcast_bounded
+    from cohortwise.operators.status import status_expr
+
+    s = F.col("snapshot_date")
+    cond = (intervals["o"] <= s) & (intervals["nx"].isNull() | (s < intervals["nx"])) & (intervals["e"] <= s)
+    side = F.broadcast(dates) if dates_bounded else broadcast_bounded(dates)
+    j = intervals.join(side, cond, "inner")
+    days = day_diff("o", "snapshot_date")
+    extra = [F.col("revenue_to_date").alias("total_revenue")] if "revenue_to_date" in intervals.columns else []
+    keep = [c for c in dates.columns if c != "snapshot_date"]
+    return j.select(
+        "snapshot_date", *keep, "customer_id", F.col("o").alias("last_order_date"),
+        days.alias("days_since_last_order"),
+        status_expr(days, thresholds.active_days, thresholds.at_risk_days).alias("retention_status"), *extra,
+    )
+
+
 def calendar(spark, start, end) -> DataFrame:
     """Every day in [start, end] (rows = days in the window)."""
     return spark.range(1).select(
