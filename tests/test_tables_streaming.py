@@ -102,3 +102,26 @@ def test_outbox_export_and_subscriptions(spark, tmp_dir):
         "customer_id long, renewal_date date, cancelled_at date")
     got = {r.customer_id: r.subscription_status for r in CP.subscription_status(subs, "2024-01-10").collect()}
     assert got == {1: "RENEWAL_DUE", 2: "ACTIVE", 3: "CANCELLED"}
+
+
+def test_daily_refresh_backfill_and_rerun(spark, tmp_dir):
+    from cohortwise.operators import history as HI
+    from cohortwise.plans.daily import backfill_snapshots, daily_refresh
+
+    o, c = src.orders(spark, SF), src.customers(spark, SF)
+    root = os.path.join(tmp_dir, "lake")
+    backfill_snapshots(spark, o, root, "2001-06-20", "2001-06-29")
+    for day in ("2001-06-30", "2001-07-01", "2001-06-30"):  # the last run repeats a day
+        a = daily_refresh(spark, o, c, day, root, keep_days=10)
+        assert a.count() == 1
+    snap = T.read_snapshot(spark, os.path.join(root, "snapshots"))
+    days = sorted(r[0].isoformat() for r in snap.select("snapshot_date").distinct().collect())
+    assert days[0] == "2001-06-21" and days[-1] == "2001-07-01" and len(days) == 11  # kept 10 days back
+    # stored snapshots equal the delta history on every kept day
+    stored = {(r[0], r[1]): r[2] for r in HI.snapshot_distribution(snap).select(
+        "snapshot_date", "retention_status", "customer_count").collect()}
+    hist = HI.status_history(o, "2001-06-21", "2001-07-01")
+    assert stored == {(r.snapshot_date, r.retention_status): r.customer_count for r in hist.collect()}
+    # the alert of the last day has a baseline from the stored history
+    a = daily_refresh(spark, o, c, "2001-07-01", root, keep_days=10).first()
+    assert a.baseline_value is not None
