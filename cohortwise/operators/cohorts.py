@@ -64,16 +64,19 @@ def _with_size_and_rate(agg: DataFrame, keys: list[str], max_months: int | None,
 
 
 def cohort_retention(
-    orders: DataFrame,
+    orders: DataFrame | None,
     max_months: int | None = None,
     attributes: DataFrame | None = None,
     by: list[str] | None = None,
+    months: DataFrame | None = None,
 ) -> DataFrame:
     """H1-H6 (+P6 frozen window, +X6 extra keys). ``by`` columns come from
     ``attributes`` (one row per customer, e.g. the customers master), joined
-    after the per-customer reduction so the join sees one row per customer."""
+    after the per-customer reduction so the join sees one row per customer.
+    ``months`` (``customer_id, cohort_month, months``, e.g. from the
+    customer profile) replaces the reduction of ``orders``."""
     keys = list(by or [])
-    cm = customer_months(orders)
+    cm = months if months is not None else customer_months(orders)
     if keys:
         attrs = attributes.select("customer_id", *keys)
         cm = cm.join(attrs, "customer_id", "left")

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from cohortwise.config import AlertConfig, StatusThresholds
 from cohortwise.operators import alerts as AL
-from cohortwise.operators import facts as FX
 from cohortwise.operators import history as HI
 from cohortwise.operators import status as ST
+from cohortwise.operators.profile import customer_profile, facts_from_profile
 from cohortwise.sources import tables as T
 
 
@@ -35,6 +35,17 @@ def backfill_snapshots(spark: SparkSession, orders: DataFrame, root: str, start,
     T.write_snapshot(snap.select(*ST.STATUS_COLUMNS), f"{root}/snapshots")
 
 
+def monthly_cohorts(spark: SparkSession, root: str, max_months: int | None = None) -> DataFrame:
+    """The monthly layer from the stored profile (no pass over orders)."""
+    from cohortwise.operators.cohorts import cohort_retention
+    from cohortwise.operators.profile import customer_months_from_profile
+
+    cohorts = cohort_retention(None, max_months, months=customer_months_from_profile(
+        T.read_facts(spark, f"{root}/facts")))
+    T.write_cohorts(cohorts, f"{root}/cohorts")
+    return cohorts
+
+
 def daily_refresh(
     spark: SparkSession,
     orders: DataFrame,
@@ -49,10 +60,10 @@ def daily_refresh(
     of that day), retention policy, alert for the date from the stored
     snapshots, routed outbox. Returns the day's alert row(s)."""
     ref = _d(reference_date)
-    facts = FX.base_customers(orders, customers, as_of=ref)
-    T.write_facts(facts, f"{root}/facts")
-    T.write_snapshot(ST.retention_status(T.read_facts(spark, f"{root}/facts"), ref, thresholds),
-                     f"{root}/snapshots")
+    # one shuffle of orders: the profile carries the facts and the order days
+    T.write_facts(customer_profile(orders, customers, as_of=ref), f"{root}/facts")
+    facts = facts_from_profile(T.read_facts(spark, f"{root}/facts"))
+    T.write_snapshot(ST.retention_status(facts, ref, thresholds), f"{root}/snapshots")
     T.keep_recent(spark, f"{root}/snapshots", ref, keep_days)
     # the baseline needs the previous rows of the series: read the kept window
     hist = T.read_snapshot(spark, f"{root}/snapshots", ref - _dt.timedelta(days=keep_days), ref)

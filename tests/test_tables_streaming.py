@@ -125,3 +125,9 @@ def test_daily_refresh_backfill_and_rerun(spark, tmp_dir):
     # the alert of the last day has a baseline from the stored history
     a = daily_refresh(spark, o, c, "2001-07-01", root, keep_days=10).first()
     assert a.baseline_value is not None
+    # the monthly layer from the stored profile equals cohorts over the same orders
+    from cohortwise.operators.cohorts import cohort_retention
+    from cohortwise.plans.daily import monthly_cohorts
+
+    cut = o.where(F.col("order_date") <= F.lit(dt.date(2001, 7, 1)))
+    assert _rows(monthly_cohorts(spark, root)) == _rows(cohort_retention(cut))
