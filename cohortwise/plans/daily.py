@@ -35,6 +35,13 @@ def backfill_snapshots(spark: SparkSession, orders: DataFrame, root: str, start,
     T.write_snapshot(snap.select(*ST.STATUS_COLUMNS), f"{root}/snapshots")
 
 
+def backfill_distribution(spark: SparkSession, orders: DataFrame, root: str, start, end,
+                          thresholds: StatusThresholds = StatusThresholds()) -> None:
+    """Write the daily status distribution for [start, end] from the delta
+    history (no customer-level rows at all)."""
+    T.write_distribution(HI.status_history(orders, start, end, thresholds), f"{root}/distribution")
+
+
 def monthly_cohorts(spark: SparkSession, root: str, max_months: int | None = None) -> DataFrame:
     """The monthly layer from the stored profile (no pass over orders)."""
     from cohortwise.operators.cohorts import cohort_retention
@@ -56,17 +63,22 @@ def daily_refresh(
     alert: AlertConfig = AlertConfig(),
     keep_days: int = 90,
 ) -> DataFrame:
-    """One day: facts as of the date, its snapshot (replacing a previous run
-    of that day), retention policy, alert for the date from the stored
-    snapshots, routed outbox. Returns the day's alert row(s)."""
+    """One day: facts as of the date (via the customer profile), its
+    snapshot (replacing a previous run of that day), retention policy, the
+    day's distribution, the alert for the date from the stored distribution
+    series, routed outbox. Returns the day's alert row(s)."""
     ref = _d(reference_date)
     # one shuffle of orders: the profile carries the facts and the order days
     T.write_facts(customer_profile(orders, customers, as_of=ref), f"{root}/facts")
     facts = facts_from_profile(T.read_facts(spark, f"{root}/facts"))
     T.write_snapshot(ST.retention_status(facts, ref, thresholds), f"{root}/snapshots")
     T.keep_recent(spark, f"{root}/snapshots", ref, keep_days)
-    # the baseline needs the previous rows of the series: read the kept window
-    hist = T.read_snapshot(spark, f"{root}/snapshots", ref - _dt.timedelta(days=keep_days), ref)
-    alerts = AL.alert_logic(HI.snapshot_distribution(hist), alert).where(F.col("alert_date") == F.lit(ref))
+    # the day's distribution (a few rows) is stored; the alert reads that
+    # small series, never the customer-level snapshots of past days
+    today = T.read_snapshot(spark, f"{root}/snapshots", ref, ref)
+    T.write_distribution(HI.snapshot_distribution(today), f"{root}/distribution")
+    series = spark.read.parquet(f"{root}/distribution").where(
+        F.col("snapshot_date") >= F.lit(ref - _dt.timedelta(days=keep_days)))
+    alerts = AL.alert_logic(series, alert).where(F.col("alert_date") == F.lit(ref))
     T.write_outbox(AL.route_alerts(alerts), f"{root}/outbox")
     return alerts

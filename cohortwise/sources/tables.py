@@ -5,6 +5,7 @@
               that day (dynamic partition overwrite), so daily writes are
               idempotent; ``keep_recent`` enforces the retention policy
 * cohorts   — partitioned by ``cohort_month``
+* distribution — status counts per day (tiny), what the alert reads
 * outbox    — flagged alerts (one row per destination), appended
 
 Within each output partition, rows are spread over ``files_per_partition``
@@ -58,6 +59,13 @@ def read_snapshot(spark: SparkSession, path: str, start=None, end=None) -> DataF
     return df
 
 
+def write_distribution(distribution: DataFrame, path: str) -> None:
+    """The daily status distribution (a few rows per day), partitioned by
+    ``snapshot_date`` with dynamic overwrite: what the alert reads."""
+    distribution.repartition("snapshot_date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)
+
+
 def write_cohorts(cohorts: DataFrame, path: str) -> None:
     """SNK3 — cohort table partitioned by ``cohort_month`` (tiny: cohorts x months)."""
     cohorts.write.mode("overwrite").partitionBy("cohort_month").parquet(path)

@@ -106,11 +106,12 @@ def test_outbox_export_and_subscriptions(spark, tmp_dir):
 
 def test_daily_refresh_backfill_and_rerun(spark, tmp_dir):
     from cohortwise.operators import history as HI
-    from cohortwise.plans.daily import backfill_snapshots, daily_refresh
+    from cohortwise.plans.daily import backfill_distribution, backfill_snapshots, daily_refresh
 
     o, c = src.orders(spark, SF), src.customers(spark, SF)
     root = os.path.join(tmp_dir, "lake")
     backfill_snapshots(spark, o, root, "2001-06-20", "2001-06-29")
+    backfill_distribution(spark, o, root, "2001-06-20", "2001-06-29")
     for day in ("2001-06-30", "2001-07-01", "2001-06-30"):  # the last run repeats a day
         a = daily_refresh(spark, o, c, day, root, keep_days=10)
         assert a.count() == 1
@@ -121,7 +122,10 @@ def test_daily_refresh_backfill_and_rerun(spark, tmp_dir):
     stored = {(r[0], r[1]): r[2] for r in HI.snapshot_distribution(snap).select(
         "snapshot_date", "retention_status", "customer_count").collect()}
     hist = HI.status_history(o, "2001-06-21", "2001-07-01")
-    assert stored == {(r.snapshot_date, r.retention_status): r.customer_count for r in hist.collect()}
+    want = {(r.snapshot_date, r.retention_status): r.customer_count for r in hist.collect()}
+    assert stored == want
+    dist = spark.read.parquet(os.path.join(root, "distribution")).where("snapshot_date >= '2001-06-21'")
+    assert {(r.snapshot_date, r.retention_status): r.customer_count for r in dist.collect()} == want
     # the alert of the last day has a baseline from the stored history
     a = daily_refresh(spark, o, c, "2001-07-01", root, keep_days=10).first()
     assert a.baseline_value is not None
