@@ -211,10 +211,11 @@ def forecast(cohorts: DataFrame, plan: DataFrame, aov: float | None = None, orde
     curve = (
         cohorts.where(F.col("months_since_acquisition") <= int(max_months))
         .groupBy("months_since_acquisition")
-        .agg(F.avg("retention_rate").alias("avg_retention_rate"))
+        .agg(F.round(F.avg("retention_rate"), 6).alias("avg_retention_rate"))
     )
+    # means kept to 6 digits so the forecast does not depend on summation order
     if aov is None:
-        aov_df = orders.agg(F.avg("order_amount").alias("aov"))
+        aov_df = orders.agg(F.round(F.avg("order_amount"), 6).alias("aov"))
     else:
         aov_df = cohorts.sparkSession.range(1).select(F.lit(float(aov)).alias("aov"))
     # plan rows x curve rows: both bounded by configuration / calendar months
