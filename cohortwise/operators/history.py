@@ -14,11 +14,11 @@ the facts' ``total_orders >= 1``). Each interval becomes +1 at its start
 and -1 at its end; the per-(day, status) sums are tiny, and a running sum
 over days gives the count of every status on every day.
 
-Cost: O(distinct customer-days) rows through two shuffles (by
-(customer, day) with partial aggregation, then by customer for ``lead``,
-where a customer holds at most one row per calendar day), then
-O(event days x statuses). The running-sum window is partitioned by
-(scope, status) and holds at most one row per calendar day.
+Cost: one shuffle of ``orders`` by customer carrying a partial
+``collect_set`` of order days (a customer's buffer is bounded by calendar
+days), then O(distinct customer-days) narrow rows, then O(event days x
+statuses). The running-sum window is partitioned by (scope, status) and
+holds at most one row per calendar day.
 """
 
 from __future__ import annotations
