@@ -222,3 +222,32 @@ def test_broadcast_bounded(spark):
         assert "broadcast" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760b")
+
+
+def test_worked_examples_v3_v4_v6_v7(spark):
+    from cohortwise.operators import quality as QC
+
+    ref = D("2026-01-02")
+
+    def days_ago(*ks):
+        return [(ref - dt.timedelta(days=k)).isoformat() for k in ks]
+
+    spec = {
+        31: days_ago(65, 45, 25),            # V3: gap 20, day 25 -> LOW (20)
+        32: days_ago(57, 41, 25),            # V3: gap 16 < 16.67 -> HIGH (70)
+        41: days_ago(145, 115, 85, 55, 25),  # V4: monthly buyer at day 25 -> 20, LOW
+        42: days_ago(1155, 790, 425, 60),    # V4: yearly buyer at day 60 -> 0, LOW
+    }
+    facts = FX.base_customers(_orders(spark, spec), _customers(spark, spec))
+    got = {r.customer_id: (r.churn_risk_score, r.churn_risk_level) for r in RK.churn_detection(facts, REF).collect()}
+    assert got == {31: (20, "LOW"), 32: (70, "HIGH"), 41: (20, "LOW"), 42: (0, "LOW")}
+
+    # V6: 25.3 vs a 20.1 baseline, n = 1,847 -> +5.2 pp, +25.87 %, CRITICAL, flagged
+    r = _last(spark, [20.1] * 7 + [25.3], [1847] * 8)
+    assert (round(r.delta_pct, 6), r.delta_relative_pct, r.severity, r.alert_flag) == (5.2, 25.87, "CRITICAL", True)
+
+    # V7: 1,245 / 982 / 2,140 customers -> 28.5 / 22.5 / 49.0 %
+    snap = spark.createDataFrame(
+        [("ACTIVE",)] * 1245 + [("AT_RISK",)] * 982 + [("INACTIVE",)] * 2140, "retention_status string")
+    pct = {r.retention_status: r.pct for r in QC.status_distribution(snap).collect()}
+    assert pct == {"ACTIVE": 28.5, "AT_RISK": 22.5, "INACTIVE": 49.0}
