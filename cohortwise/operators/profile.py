@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from cohortwise.functions.dates import date_lit, month_start
 from cohortwise.operators.facts import FACT_COLUMNS, customer_attributes
 
-PROFILE_EXTRA = ["order_days", "entry_day"]
+PROFILE_EXTRA = ["order_days", "entry_day", "amount_rows"]
 
 
 def customer_profile(orders: DataFrame, customers: DataFrame, as_of=None) -> DataFrame:
     """Facts columns + ``order_days`` (sorted distinct order days) +
-    ``entry_day`` (first day with an order id). Customers whose facts
+    ``entry_day`` (first day with an order id) + ``amount_rows`` (non-NULL
+    amounts, so the average can be merged incrementally). Customers whose facts
     would be filtered (no order id or no dated order) are kept here with
     ``total_orders = 0`` or NULL dates; ``facts_from_profile`` applies the
     facts filter."""
@@ -37,6 +38,7 @@ def customer_profile(orders: DataFrame, customers: DataFrame, as_of=None) -> Dat
         F.avg("order_amount").alias("avg_order_value"),
         F.array_sort(F.collect_set("order_date")).alias("order_days"),
         F.min(F.when(F.col("order_id").isNotNull(), F.col("order_date"))).alias("entry_day"),
+        F.count("order_amount").alias("amount_rows"),
     )
     return agg.join(customer_attributes(customers), "customer_id", "left").select(*FACT_COLUMNS, *PROFILE_EXTRA)
 

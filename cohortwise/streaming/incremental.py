@@ -14,6 +14,12 @@ Streaming: ``start_facts_refresh`` reads new order files with
 ``readStream`` and applies the same merge in ``foreachBatch``; each epoch
 writes a complete facts version under ``<table>/epoch=<id>`` (a written
 table cuts the lineage, and a replayed epoch rewrites the same version).
+
+Without re-reading orders: ``merge_profile`` keeps the customer profile
+(facts + order days + amount row count) and a ledger of counted
+``(customer_id, order_id)`` pairs; a batch adds only its unseen pairs to
+the distinct count and merges everything else directly
+(``start_profile_refresh`` is its streaming form).
 """
 
 from __future__ import annotations
@@ -45,9 +51,12 @@ def latest_version(spark: SparkSession, table: str) -> str | None:
     fs = root.getFileSystem(conf)
     if not fs.exists(root):
         return None
+    def complete(p):
+        return (fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+                or fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_done/_SUCCESS")))
+
     epochs = [int(s.getPath().getName().split("=", 1)[1]) for s in fs.listStatus(root)
-              if s.isDirectory() and s.getPath().getName().startswith("epoch=")
-              and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+              if s.isDirectory() and s.getPath().getName().startswith("epoch=") and complete(s.getPath())]
     return f"{table.rstrip('/')}/epoch={max(epochs)}" if epochs else None
 
 
@@ -76,3 +85,99 @@ def start_facts_refresh(spark: SparkSession, orders_dir: str, orders_schema, to_
     w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+# ---------------------------------------------------------------------------
+# Exact merge without re-reading orders: profile + order-id ledger
+# ---------------------------------------------------------------------------
+def merge_profile(previous: DataFrame, ledger: DataFrame, batch: DataFrame,
+                  customers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Merge a batch of order rows into the customer profile.
+
+    ``ledger`` holds the distinct ``(customer_id, order_id)`` pairs already
+    counted; only the batch's pairs missing from it add to
+    ``total_orders`` (an anti join keyed by the pair, so a hot customer is
+    spread over its order ids). MIN / MAX / SUM / row counts merge directly
+    (a re-delivered order row adds to revenue exactly as it would in a full
+    rebuild over all rows), the order-day arrays are unioned, and the
+    average is recomputed from the merged sum and row count. Returns
+    ``(profile, ledger)``; both equal a rebuild from all orders."""
+    from cohortwise.operators.profile import PROFILE_EXTRA
+
+    # explicit column names on every side: all inputs derive from the same
+    # orders, so DataFrame-bound column references would be ambiguous
+    pairs = batch.where(F.col("order_id").isNotNull()).select(
+        F.col("customer_id").alias("_pc"), F.col("order_id").alias("_po")).distinct()
+    seen = ledger.select(F.col("customer_id").alias("_lc"), F.col("order_id").alias("_lo"))
+    fresh = pairs.join(seen, F.col("_pc").eqNullSafe(F.col("_lc")) & (F.col("_po") == F.col("_lo")), "left_anti")
+    new_ids = fresh.groupBy(F.col("_pc").alias("_nc")).agg(F.count(F.lit(1)).alias("_new_ids"))
+    b = batch.groupBy(F.col("customer_id").alias("_bc")).agg(
+        F.min("order_date").alias("_first"), F.max("order_date").alias("_last"),
+        F.sum("order_amount").alias("_rev"), F.count("order_amount").alias("_rows"),
+        F.array_sort(F.collect_set("order_date")).alias("_days"),
+        F.min(F.when(F.col("order_id").isNotNull(), F.col("order_date"))).alias("_entry"),
+    )
+    b = b.join(new_ids, F.col("_bc").eqNullSafe(F.col("_nc")), "left")
+    p = previous.select(F.col("customer_id").alias("_oc"), "first_order_date", "last_order_date", "total_orders",
+                        "total_revenue", "order_days", "entry_day", "amount_rows")
+    j = p.join(b, F.col("_oc").eqNullSafe(F.col("_bc")), "full")
+    cid = F.coalesce(F.col("_oc"), F.col("_bc")).alias("customer_id")
+
+    def add(x, y):
+        return F.when(x.isNull(), y).when(y.isNull(), x).otherwise(x + y)
+
+    rev = add(F.col("total_revenue"), F.col("_rev"))
+    rows = F.coalesce(F.col("amount_rows"), F.lit(0)) + F.coalesce(F.col("_rows"), F.lit(0))
+    merged = j.select(
+        cid,
+        F.least("first_order_date", "_first").alias("first_order_date"),
+        F.greatest("last_order_date", "_last").alias("last_order_date"),
+        (F.coalesce(F.col("total_orders"), F.lit(0)) + F.coalesce(F.col("_new_ids"), F.lit(0))).cast("long")
+        .alias("total_orders"),
+        rev.alias("total_revenue"),
+        F.when(rows > 0, rev / rows.cast("double")).alias("avg_order_value"),
+        F.array_sort(F.array_union(F.coalesce("order_days", F.array().cast("array<date>")),
+                                   F.coalesce("_days", F.array().cast("array<date>")))).alias("order_days"),
+        F.least("entry_day", "_entry").alias("entry_day"),
+        rows.cast("long").alias("amount_rows"),
+    )
+    from cohortwise.operators.facts import customer_attributes
+
+    profile = merged.join(customer_attributes(customers), "customer_id", "left").select(*FACT_COLUMNS, *PROFILE_EXTRA)
+    return profile, ledger.unionByName(fresh.select(F.col("_pc").alias("customer_id"), F.col("_po").alias("order_id")))
+
+
+def empty_ledger(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "customer_id long, order_id long")
+
+
+def start_profile_refresh(spark: SparkSession, orders_dir: str, orders_schema, to_orders, customers: DataFrame,
+                          table: str, checkpoint: str | None = None, trigger_once: bool = True):
+    """Stream new order files into the versioned profile + ledger at
+    ``<table>/epoch=<id>/{profile,ledger}``; each batch touches only the
+    batch, the ledger and the profile — never the order history."""
+    from cohortwise.operators.profile import customer_profile
+
+    if checkpoint is None:
+        from cohortwise.session import checkpoint_dir
+
+        checkpoint = f"{checkpoint_dir(spark).rstrip('/')}/profile_refresh"
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        new_orders = to_orders(batch)
+        cur = latest_version(spark, table)
+        if cur is None:
+            prev, ledger = customer_profile(new_orders.limit(0), customers), empty_ledger(spark)
+        else:
+            prev, ledger = spark.read.parquet(f"{cur}/profile"), spark.read.parquet(f"{cur}/ledger")
+        prof, led = merge_profile(prev, ledger, new_orders, customers)
+        out = f"{table.rstrip('/')}/epoch={epoch_id}"
+        prof.write.mode("overwrite").parquet(f"{out}/profile")
+        led.write.mode("overwrite").parquet(f"{out}/ledger")
+        # the version is complete only once both parts are written
+        spark.createDataFrame([(epoch_id,)], "epoch long").coalesce(1).write.mode("overwrite").parquet(f"{out}/_done")
+
+    stream = spark.readStream.schema(orders_schema).parquet(orders_dir)
+    w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="1 minute")
+    return w.start()
