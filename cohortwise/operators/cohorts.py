@@ -145,19 +145,20 @@ def cohort_ltv(revenue: DataFrame, horizon_month=None, money_digits: int = 2) ->
     """X5 — cumulative revenue per acquired customer on a dense month axis
     ``0 .. months up to horizon_month`` (default: the latest active month in
     the data). The axis has cohorts x months rows (calendar-bounded)."""
-    sizes = revenue.select("cohort_month", "cohort_size").distinct()
+    sizes = revenue.select("cohort_month", "cohort_size", F.add_months(
+        "cohort_month", F.col("months_since_acquisition").cast("int")).alias("_active")).groupBy(
+        "cohort_month", "cohort_size").agg(F.max("_active").alias("_last"))
     if horizon_month is None:
-        last = revenue.select(
-            F.max(F.add_months("cohort_month", F.col("months_since_acquisition").cast("int"))).alias("h")
-        )
+        # latest active month over all cohorts: a window over cohorts (one row each)
+        h = F.max("_last").over(Window.partitionBy())
     else:
         from cohortwise.functions.dates import date_lit
 
-        last = revenue.sparkSession.range(1).select(month_start(date_lit(horizon_month)).alias("h"))
-    axis = sizes.crossJoin(last).select(
+        h = month_start(date_lit(horizon_month))
+    axis = sizes.withColumn("_h", h).select(
         "cohort_month",
         "cohort_size",
-        F.explode(F.sequence(F.lit(0).cast("long"), month_diff("cohort_month", "h"))).alias("months_since_acquisition"),
+        F.explode(F.sequence(F.lit(0).cast("long"), month_diff("cohort_month", "_h"))).alias("months_since_acquisition"),
     )
     rev = revenue.select("cohort_month", "months_since_acquisition", "cohort_revenue")
     dense = axis.join(rev, ["cohort_month", "months_since_acquisition"], "left").fillna(0.0, ["cohort_revenue"])
