@@ -169,8 +169,10 @@ def status_history(
     ev = ev.where(F.col("day") <= t).withColumn("day", F.greatest(F.col("day"), s))
     statuses = F.array(*[F.lit(x) for x in (ACTIVE, AT_RISK, INACTIVE)])
     if keys:
-        # every scope present gets every status on the first day (zero delta)
-        marks = ev.select(*keys, F.explode(statuses).alias("retention_status")).select(
+        # every scope present gets every status on the first day (zero delta):
+        # three marks per customer, from its one interval holding the entry day
+        entry = iv.where((F.col("o") <= F.col("e")) & (F.col("e") <= t))
+        marks = entry.select(*keys, F.explode(statuses).alias("retention_status")).select(
             *keys, "retention_status", s.alias("day"), F.lit(0).alias("delta"))
     else:
         marks = iv.sparkSession.range(1).select(

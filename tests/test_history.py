@@ -82,3 +82,26 @@ def test_dense_history_zero_fills(spark):
     dense = HI.status_history(orders, "2024-01-01", "2024-01-10", dense=True)
     assert sparse.count() == 10 and dense.count() == 30
     assert dense.where(F.col("retention_status") == "AT_RISK").agg(F.max("customer_count")).first()[0] == 0
+
+
+def test_scoped_dense_history_matches_brute_force(spark):
+    rows = [(1, 1, "2024-01-01"), (2, 2, "2024-01-03"), (2, None, "2024-01-02"), (3, 3, "2024-02-01"),
+            (4, 4, "2024-06-01"), (None, 5, "2024-01-04")]
+    orders = spark.createDataFrame([(c, o, D(d), 1.0) for c, o, d in rows],
+                                   "customer_id long, order_id long, order_date date, order_amount double")
+    attrs = spark.createDataFrame([(1, "A"), (2, "A"), (3, "B"), (4, "C")], "customer_id long, seg string")
+    th = StatusThresholds(5, 20)
+    h = HI.status_history(orders, "2024-01-01", "2024-03-31", th, dense=True, attributes=attrs, by=["seg"])
+    got = {(r.seg, r.snapshot_date, r.retention_status): r.customer_count for r in h.collect()}
+    # brute force: as-of status per (segment, day), zero-filled over the segments seen in the window
+    cal = HI.calendar(spark, "2024-01-01", "2024-03-31")
+    j = cal.join(orders, orders["order_date"] <= cal["snapshot_date"])
+    g = j.groupBy("snapshot_date", "customer_id").agg(
+        F.max("order_date").alias("last"), F.count_distinct("order_id").alias("n")).where("n >= 1")
+    g = g.join(attrs, "customer_id", "left")
+    st = ST.status_expr(F.datediff("snapshot_date", "last"), th.active_days, th.at_risk_days)
+    cnt = {(r[0], r[1], r[2]): r[3] for r in g.groupBy("seg", "snapshot_date", st.alias("s")).count().collect()}
+    segs = {k[0] for k in cnt}
+    days = [r[0] for r in cal.collect()]
+    want = {(sg, d, s): cnt.get((sg, d, s), 0) for sg in segs for d in days for s in ("ACTIVE", "AT_RISK", "INACTIVE")}
+    assert "C" not in segs and got == want
