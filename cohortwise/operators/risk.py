@@ -84,6 +84,9 @@ def customer_behavior(
             status_expr(days, thresholds.active_days, thresholds.at_risk_days).alias("retention_status"),
         )
     else:
+        # the join is 1:1 only on one snapshot date: cut a multi-day table first
+        if reference_date is not None and "snapshot_date" in snapshot.columns:
+            snapshot = snapshot.where(F.col("snapshot_date") == date_lit(reference_date))
         snap = snapshot.select("customer_id", "days_since_last_order", "retention_status")
         base = facts.join(snap, "customer_id", "inner")
     life = day_diff("first_order_date", "last_order_date")
