@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortwise.llm.kernels import slices, text_buffer
 
@@ -305,7 +306,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     is an error. A column named ``decoded`` is replaced."""
     key, shared = _vocabulary(encoded.sparkSession, ranks_path)
     encoded = encoded.drop("decoded")
-    schema = encoded.schema.add("decoded", "binary")
+    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def run(batches):
         ranks = _merger(key, shared).ranks
