@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.llm import bpe, exact_dedup, near_dedup, quality_rules
+from cohortwise.llm import bpe, exact_dedup, mixing, near_dedup, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +59,9 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op10_mixing", mixing.oracle_sql())
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sampled(table(spark, sf_dir, "documents")).select(
+        "doc_id", "mix.topic", "mix.n_tokens", F.round("mix.probability", 6).alias("probability"), "mix.kept")
