@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.llm import bpe, exact_dedup, mixing, near_dedup, quality_rules
+from cohortwise.llm import bpe, exact_dedup, mixing, near_dedup, quality_rules, warc
+from cohortwise.llm.storage import scratch, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +66,20 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sampled(table(spark, sf_dir, "documents")).select(
         "doc_id", "mix.topic", "mix.n_tokens", F.round("mix.probability", 6).alias("probability"), "mix.kept")
+
+
+@query("op2_warc")
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.captures(warc.read_records(spark, path))
+    revisit = F.col("response.record_type") == "revisit"
+    flat = written(found.select(
+        "capture_id", F.expr("nullif(regexp_extract(decode(metadata.payload, 'UTF-8'), 'page-id: (-?[0-9]+)', 1), '')")
+        .cast("long").alias("page_id"),
+        F.when(~revisit, F.octet_length("response.payload").cast("long")).alias("own_bytes"),
+        F.when(revisit, F.col("response.payload_digest")).otherwise(warc.base32_sha1(F.col("response.payload"))).alias("payload_digest"),
+        F.col("response.record_type").alias("record_type"), F.col("response.refers_to").alias("refers_id")), "captures")
+    target = flat.select(F.col("capture_id").alias("refers_id"), F.col("page_id").alias("refers_to"), F.col("own_bytes").alias("full_bytes"))
+    return flat.join(target, "refers_id", "left").select(
+        "page_id", F.coalesce("own_bytes", "full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
