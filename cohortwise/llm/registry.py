@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.llm import bpe, exact_dedup, mixing, near_dedup, quality_rules, warc
+from cohortwise.llm import bpe, exact_dedup, html_text, mixing, near_dedup, quality_rules, warc
 from cohortwise.llm.storage import scratch, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = flat.select(F.col("capture_id").alias("refers_id"), F.col("page_id").alias("refers_to"), F.col("own_bytes").alias("full_bytes"))
     return flat.join(target, "refers_id", "left").select(
         "page_id", F.coalesce("own_bytes", "full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_html_text")
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
