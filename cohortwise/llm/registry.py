@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.llm import bpe, exact_dedup, html_text, mixing, near_dedup, quality_rules, warc
+from cohortwise.llm import (bpe, exact_dedup, html_text, licences, mixing, near_dedup, quality_classifier, quality_rules,
+                            substring_dedup, warc)
 from cohortwise.llm.storage import scratch, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,7 +69,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "mix.topic", "mix.n_tokens", F.round("mix.probability", 6).alias("probability"), "mix.kept")
 
 
-@query("op2_warc")
+@query("op2_warc", r"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    h AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+    SELECT page_id, payload_bytes,
+           array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (1 + ((('0x' || substr(hex, (1 + 5 * (i // 4))::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31))::INT, 1)), '') AS payload_digest,
+           CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> last THEN last END AS refers_to
+    FROM h""")
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -88,3 +97,28 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_html_text")
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_substring_dedup", r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    windows AS (SELECT doc_id, i, list_slice(ws, i, i + 12) AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+    repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM windows) WHERE doc_id > first),
+    covered AS (SELECT DISTINCT doc_id, i + k AS j FROM repeated, (SELECT unnest(range(0, 13)) AS k)),
+    each AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM w),
+    left_over AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n
+                  FROM each ANTI JOIN covered USING (doc_id, j) GROUP BY doc_id)
+    SELECT doc_id, len(ws)::BIGINT AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM w LEFT JOIN left_over USING (doc_id)""")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op1_licence_scan", licences.oracle_sql())
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"), licences.known_digests(spark))
