@@ -24,19 +24,20 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text; none for null."""
-    parts = F.split(F.coalesce(text, F.lit("")), SPACES)
-    return F.filter(parts, lambda w: w != "")
+def hashed(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with the arrays ``_h`` and ``_h2``: hashes of all words and of
+    all pairs of neighbours. Each array is a column of its own, so that it is
+    computed once however often it is used."""
+    trimmed = F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACES))
+    docs = docs.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
+    return docs.withColumn("_h2", pairwise(F.col("_h"), F.col("_h"), 1))
 
 
-def buckets_of(words: Column, buckets: int) -> Column:
-    """Hash buckets of all words and of all pairs of neighbours."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.transform(
-        F.concat(hashes, F.zip_with(hashes, F.slice(hashes, F.lit(2), F.greatest(F.size(hashes) - 1, F.lit(0))),
-                                    lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))),
-        lambda h: F.when(h.isNotNull(), F.pmod(h, F.lit(buckets)).cast("int")))
+def pairwise(left: Column, right: Column, gap: int) -> Column:
+    """Hashes of (left[i], right[i + gap]) for all i that both have."""
+    n = F.greatest(F.size(right) - gap, F.lit(0))
+    return F.zip_with(F.slice(left, F.lit(1), n), F.slice(right, F.lit(gap + 1), n), lambda a, b: F.xxhash64(a, b))
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -49,10 +50,11 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
     Without any trusted n-gram all weights are zero.
     """
     ids = trusted.select(F.col(id_col).alias("_tid")).where("_tid IS NOT NULL").distinct()
+    # dealt out by id at every size: how many rows are trusted has no bound
     marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-        ids, F.col("_id") == F.col("_tid"), "left")
-    grams = marked.select(F.explode(buckets_of(words_of(F.col("_text")), buckets)).alias("bucket"),
-                          F.col("_tid").isNotNull().cast("int").alias("_target")).where("bucket IS NOT NULL")
+        ids.hint("merge"), F.col("_id") == F.col("_tid"), "left").select("_text", F.col("_tid").isNotNull().cast("int").alias("_target"))
+    grams = hashed(marked, "_text").select("_target", F.explode(F.concat("_h", "_h2")).alias("_gram")).select(
+        F.pmod("_gram", F.lit(buckets)).cast("int").alias("bucket"), "_target")
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_target").alias("target"))
     total = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
     share = F.col("targets") / F.col("raws")
@@ -79,39 +81,29 @@ def rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         table[row["bucket"]] = row["weight"] if math.isfinite(row["weight"]) else 0.0
     vector = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")  # folded into one literal
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    step = docs.withColumn("quality", F.struct(
-        words_of(F.col(text_col)).alias("w"),
-        F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines")))
-    words, n = F.col("quality.w"), F.size("quality.w")
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    step = step.withColumn("quality", F.struct(
-        n.cast("long").alias("n_words"),
-        F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size("quality.lines") - F.size(F.array_distinct("quality.lines"))).cast("long").alias("n_dup_lines"),
-        hashes.alias("h")))
-    h, n = F.col("quality.h"), F.col("quality.n_words")
-
-    def window_hash(i):
-        return F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)])
-
-    windows = F.when(n > WINDOW, F.transform(F.sequence(F.lit(0), n.cast("int") - WINDOW), window_hash))
-    llr_sum = F.aggregate(
-        F.zip_with(h, F.slice(h, F.lit(2), F.greatest(F.size(h) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-        F.lit(0.0), lambda acc, x: acc + F.get(vector, F.pmod(x["a"], F.lit(buckets)).cast("int"))
-        + F.when(x["b"].isNotNull(), F.get(vector, F.pmod(F.xxhash64(x["a"], x["b"]), F.lit(buckets)).cast("int")))
-        .otherwise(F.lit(0.0)))
-    step = step.withColumn("quality", F.col("quality").withField("windows", windows).withField(
-        "llr", F.when(n > 0, llr_sum / (F.lit(2) * n - 1)).otherwise(F.lit(0.0))).dropFields("h"))
-
-    # windows found twice: their start positions, in order, each covering WINDOW words
-    win = F.col("quality.windows")
-    twice = F.when(
-        F.size(F.array_distinct(win)) < F.size(win),
-        repeated_words(win)).otherwise(F.lit(0))
-    step = step.withColumn("quality", F.col("quality").withField(
-        "n_repeat_words", F.coalesce(twice, F.lit(0)).cast("long")).dropFields("windows"))
+    text, n = F.coalesce(F.col(text_col), F.lit("")), F.size("_h")
+
+    def total(hashes):
+        return F.aggregate(hashes, F.lit(0.0), lambda acc, x: acc + F.get(vector, F.pmod(x, F.lit(buckets)).cast("int")))
+
+    step = hashed(docs, text_col).withColumn(
+        "_lines", F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
+    step = step.withColumns({
+        "_base": F.struct(
+            n.cast("long").alias("n_words"),
+            F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
+            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+            F.when(n > 0, (total(F.col("_h")) + total(F.col("_h2"))) / (F.lit(2) * n - 1)).otherwise(F.lit(0.0)).alias("llr")),
+        "_h4": pairwise(F.col("_h2"), F.col("_h2"), 2)})
+    step = step.withColumn("_windows", pairwise(F.col("_h4"), F.col("_h"), WINDOW - 1)).drop("_h", "_h2", "_h4", "_lines")
+    # texts with a window found twice: (hash, position) in order, else nothing
+    step = step.withColumn("_sorted", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.sort_array(
+        F.transform("_windows", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))).drop("_windows")
+    step = step.withColumn("_starts", repeated_starts(F.col("_sorted"))).drop("_sorted")
+    step = step.withColumn("quality", F.struct("_base.*", F.coalesce(covered(F.col("_starts")), F.lit(0)).cast("long")
+                                               .alias("n_repeat_words"))).drop("_base", "_starts")
+    n = F.col("quality.n_words")
     failed = (n < 10) | (F.lit(100) * F.col("quality.n_repeat_words") > F.lit(20) * n)
     return step.withColumn("quality", F.struct(
         *[F.col(f"quality.{c}").alias(c) for c in
@@ -119,18 +111,22 @@ def rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         failed.alias("base_failed"), (~failed & (F.col("quality.llr") >= F.lit(threshold))).alias("kept")))
 
 
-def repeated_words(windows: Column) -> Column:
-    """Words covered by windows whose hash occurs twice or more: sort the
-    (hash, position) pairs, keep those equal to a neighbour, and add up the
-    gaps between their positions, each at most ``WINDOW``."""
-    pairs = F.array_sort(F.transform(windows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-    n = F.size(pairs)
-    marked = F.zip_with(
-        pairs, F.zip_with(F.concat(F.array(F.lit(None).cast("struct<x:bigint,i:int>")), F.slice(pairs, F.lit(1), n - 1)),
-                          F.concat(F.slice(pairs, F.lit(2), n - 1), F.array(F.lit(None).cast("struct<x:bigint,i:int>"))),
-                          lambda before, after: F.struct(before["x"].alias("b"), after["x"].alias("a"))),
-        lambda p, near: F.when(p["x"].eqNullSafe(near["b"]) | p["x"].eqNullSafe(near["a"]), p["i"]))
-    starts = F.array_sort(F.filter(marked, lambda i: i.isNotNull()))
+def repeated_starts(ordered: Column) -> Column:
+    """Positions, in order, of windows whose hash equals a neighbour's among
+    the ordered (hash, position) pairs."""
+    n = F.size(ordered)
+    nobody = F.array(F.lit(None).cast("bigint"))
+    hashes = F.transform(ordered, lambda p: p["x"])
+    before = F.concat(nobody, F.slice(hashes, F.lit(1), n - 1))
+    after = F.concat(F.slice(hashes, F.lit(2), n - 1), nobody)
+    same = F.zip_with(before, after, lambda b, a: F.struct(b.alias("b"), a.alias("a")))
+    marked = F.zip_with(ordered, same, lambda p, near: F.when(
+        p["x"].eqNullSafe(near["b"]) | p["x"].eqNullSafe(near["a"]), p["i"]))
+    return F.sort_array(F.filter(marked, lambda i: i.isNotNull()))
+
+
+def covered(starts: Column) -> Column:
+    """Words that windows at these positions cover: the gaps, each at most ``WINDOW``."""
     return F.aggregate(
         starts, F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n")),
         lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("n")),
