@@ -53,12 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster; a scratch folder
     is created only when the session has none (local tests)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
+    if d:
+        return d
+    if not spark.sparkContext.getCheckpointDir():
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for the cluster")
-        d = tempfile.mkdtemp(prefix="cohortwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohortwise-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()

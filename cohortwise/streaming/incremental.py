@@ -11,23 +11,32 @@ The NULL customer id is a real fact row (GROUP BY keeps it), so both joins
 use null-safe equality.
 
 Streaming: ``start_facts_refresh`` reads new order files with
-``readStream`` and applies the same merge in ``foreachBatch``; each epoch
-writes a complete facts version under ``<table>/epoch=<id>`` (a written
-table cuts the lineage, and a replayed epoch rewrites the same version).
+``readStream`` and applies the same merge in ``foreachBatch``. Every epoch
+merges into the newest state *before* it and publishes itself last (see
+``versions``), so an epoch that runs again gives the same table.
 
 Without re-reading orders: ``merge_profile`` keeps the customer profile
 (facts + order days + amount row count) and a ledger of counted
 ``(customer_id, order_id)`` pairs; a batch adds only its unseen pairs to
-the distinct count and merges everything else directly
-(``start_profile_refresh`` is its streaming form).
+the distinct count and merges everything else directly. In its streaming
+form, ``start_profile_refresh``, the profile lies in buckets of customers of
+which an epoch rewrites those it touches, and the ledger is append-only: an
+epoch adds the pairs it counted, in the same buckets.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortwise.operators.facts import FACT_COLUMNS, base_customers
+from cohortwise.session import checkpoint_dir
+from cohortwise.streaming.versions import VersionedTable
+
+#: Customer buckets of a streamed profile: the unit that an epoch rewrites.
+PROFILE_BUCKETS = 64
 
 
 def _touched(new_orders: DataFrame) -> DataFrame:
@@ -44,20 +53,24 @@ def incremental_facts(previous: DataFrame, all_orders: DataFrame, new_orders: Da
     return kept.select(*FACT_COLUMNS).unionByName(recomputed.select(*FACT_COLUMNS))
 
 
-def latest_version(spark: SparkSession, table: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return None
-    def complete(p):
-        return (fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
-                or fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_done/_SUCCESS")))
+def read_facts_version(spark: SparkSession, table: str) -> DataFrame:
+    """The newest published facts of a streaming refresh."""
+    return spark.read.parquet(*VersionedTable(spark, table).newest("facts"))
 
-    epochs = [int(s.getPath().getName().split("=", 1)[1]) for s in fs.listStatus(root)
-              if s.isDirectory() and s.getPath().getName().startswith("epoch=") and complete(s.getPath())]
-    return f"{table.rstrip('/')}/epoch={max(epochs)}" if epochs else None
+
+def merge_facts_epoch(spark: SparkSession, table: str, epoch_id: int, new_orders: DataFrame, all_orders: DataFrame,
+                      customers: DataFrame) -> None:
+    """Merges one batch into the facts as published before ``epoch_id``."""
+    versions = VersionedTable(spark, table)
+    versions.begin(epoch_id)
+    base = versions.newest("facts", before=epoch_id)
+    if base:
+        facts = incremental_facts(spark.read.parquet(*base), all_orders, new_orders, customers)
+    else:
+        facts = base_customers(all_orders, customers)
+    versions.write(facts, "facts", epoch_id)
+    versions.publish(epoch_id)
+    versions.expire("facts")
 
 
 def start_facts_refresh(spark: SparkSession, orders_dir: str, orders_schema, to_orders, customers: DataFrame,
@@ -65,21 +78,12 @@ def start_facts_refresh(spark: SparkSession, orders_dir: str, orders_schema, to_
     """Stream new order files from ``orders_dir`` into the versioned facts
     ``table``. ``to_orders`` maps a raw DataFrame (file rows) to the logical
     orders relation (e.g. the test-data adapter's select)."""
-    if checkpoint is None:
-        from cohortwise.session import checkpoint_dir
-
-        checkpoint = f"{checkpoint_dir(spark).rstrip('/')}/facts_refresh"
+    checkpoint = checkpoint or _default_checkpoint(spark, table)
+    VersionedTable(spark, table).refuse_fresh_checkpoint(checkpoint)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        new_orders = to_orders(batch)
         all_orders = to_orders(spark.read.schema(orders_schema).parquet(orders_dir))
-        cur = latest_version(spark, table)
-        if cur is None:
-            facts = base_customers(all_orders, customers)
-        else:
-            prev = spark.read.parquet(cur)
-            facts = incremental_facts(prev, all_orders, new_orders, customers)
-        facts.write.mode("overwrite").parquet(f"{table.rstrip('/')}/epoch={epoch_id}")
+        merge_facts_epoch(spark, table, epoch_id, to_orders(batch), all_orders, customers)
 
     stream = spark.readStream.schema(orders_schema).parquet(orders_dir)
     w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
@@ -87,6 +91,11 @@ def start_facts_refresh(spark: SparkSession, orders_dir: str, orders_schema, to_
     return w.start()
 
 
+def _default_checkpoint(spark: SparkSession, table: str) -> str:
+    """A folder of the cluster's checkpoint folder that belongs to the table."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/refresh-{hashlib.sha256(table.encode()).hexdigest()[:16]}"
+
+
 # ---------------------------------------------------------------------------
 # Exact merge without re-reading orders: profile + order-id ledger
 # ---------------------------------------------------------------------------
@@ -100,8 +109,9 @@ def merge_profile(previous: DataFrame, ledger: DataFrame, batch: DataFrame,
     spread over its order ids). MIN / MAX / SUM / row counts merge directly
     (a re-delivered order row adds to revenue exactly as it would in a full
     rebuild over all rows), the order-day arrays are unioned, and the
-    average is recomputed from the merged sum and row count. Returns
-    ``(profile, ledger)``; both equal a rebuild from all orders."""
+    average is recomputed from the merged sum and row count. Returns the
+    profile, equal to a rebuild from all orders, and the pairs to append to
+    the ledger."""
     from cohortwise.operators.profile import PROFILE_EXTRA
 
     # explicit column names on every side: all inputs derive from the same
@@ -144,38 +154,64 @@ def merge_profile(previous: DataFrame, ledger: DataFrame, batch: DataFrame,
     from cohortwise.operators.facts import customer_attributes
 
     profile = merged.join(customer_attributes(customers), "customer_id", "left").select(*FACT_COLUMNS, *PROFILE_EXTRA)
-    return profile, ledger.unionByName(fresh.select(F.col("_pc").alias("customer_id"), F.col("_po").alias("order_id")))
+    return profile, fresh.select(F.col("_pc").alias("customer_id"), F.col("_po").alias("order_id"))
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "customer_id long, order_id long")
 
 
-def start_profile_refresh(spark: SparkSession, orders_dir: str, orders_schema, to_orders, customers: DataFrame,
-                          table: str, checkpoint: str | None = None, trigger_once: bool = True):
-    """Stream new order files into the versioned profile + ledger at
-    ``<table>/epoch=<id>/{profile,ledger}``; each batch touches only the
-    batch, the ledger and the profile — never the order history."""
+def bucket_of(customer_id, buckets: int):
+    return F.pmod(F.xxhash64(customer_id), F.lit(int(buckets))).cast("int")
+
+
+def read_profile_version(spark: SparkSession, table: str) -> DataFrame:
+    """The newest published profile of a streaming refresh."""
+    return spark.read.parquet(*VersionedTable(spark, table).newest("profile"))
+
+
+def read_ledger(spark: SparkSession, table: str) -> DataFrame:
+    """All (customer, order) pairs counted by published epochs."""
+    paths = VersionedTable(spark, table).all_parts("ledger")
+    return spark.read.parquet(*paths).select("customer_id", "order_id") if paths else empty_ledger(spark)
+
+
+def merge_profile_epoch(spark: SparkSession, table: str, epoch_id: int, new_orders: DataFrame, customers: DataFrame,
+                        buckets: int = PROFILE_BUCKETS, fail_after: str | None = None) -> None:
+    """Merges one batch into the profile and ledger as published before
+    ``epoch_id``. Only buckets that hold a customer of the batch are read and
+    written; which they are is at most ``buckets`` numbers. ``fail_after``
+    ("ledger" or "profile") breaks off there, for tests of recovery."""
     from cohortwise.operators.profile import customer_profile
 
-    if checkpoint is None:
-        from cohortwise.session import checkpoint_dir
+    versions = VersionedTable(spark, table)
+    versions.begin(epoch_id)
+    touched = sorted(r[0] for r in new_orders.select(bucket_of("customer_id", buckets).alias("b")).distinct().collect())
+    names = {f"bucket={b}" for b in touched}
+    base = [p for p in versions.newest("profile", before=epoch_id) if p.rsplit("/", 1)[1] in names]
+    counted = versions.all_parts("ledger", before=epoch_id, buckets=touched)
+    previous = spark.read.parquet(*base) if base else customer_profile(new_orders.limit(0), customers)
+    ledger = spark.read.parquet(*counted) if counted else empty_ledger(spark)
+    profile, fresh = merge_profile(previous, ledger, new_orders, customers)
+    for name, df in (("ledger", fresh), ("profile", profile)):
+        versions.write(df.withColumn("bucket", bucket_of("customer_id", buckets)).repartition("bucket"), name, epoch_id, "bucket")
+        if fail_after == name:
+            raise RuntimeError(f"broken off after {name}")
+    versions.publish(epoch_id)
+    versions.expire("profile")
+
 
-        checkpoint = f"{checkpoint_dir(spark).rstrip('/')}/profile_refresh"
+def start_profile_refresh(spark: SparkSession, orders_dir: str, orders_schema, to_orders, customers: DataFrame,
+                          table: str, checkpoint: str | None = None, trigger_once: bool = True,
+                          buckets: int = PROFILE_BUCKETS):
+    """Stream new order files into the versioned profile and ledger of
+    ``table``; a batch reads itself and the buckets it touches, never the
+    order history. ``buckets`` must stay the same for the life of a table."""
+    checkpoint = checkpoint or _default_checkpoint(spark, table)
+    VersionedTable(spark, table).refuse_fresh_checkpoint(checkpoint)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        new_orders = to_orders(batch)
-        cur = latest_version(spark, table)
-        if cur is None:
-            prev, ledger = customer_profile(new_orders.limit(0), customers), empty_ledger(spark)
-        else:
-            prev, ledger = spark.read.parquet(f"{cur}/profile"), spark.read.parquet(f"{cur}/ledger")
-        prof, led = merge_profile(prev, ledger, new_orders, customers)
-        out = f"{table.rstrip('/')}/epoch={epoch_id}"
-        prof.write.mode("overwrite").parquet(f"{out}/profile")
-        led.write.mode("overwrite").parquet(f"{out}/ledger")
-        # the version is complete only once both parts are written
-        spark.createDataFrame([(epoch_id,)], "epoch long").coalesce(1).write.mode("overwrite").parquet(f"{out}/_done")
+        merge_profile_epoch(spark, table, epoch_id, to_orders(batch), customers, buckets)
 
     stream = spark.readStream.schema(orders_schema).parquet(orders_dir)
     w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

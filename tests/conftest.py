@@ -14,10 +14,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from cohortwise.session import build
 
+    # tests are local and name no checkpoint folder: the library makes a scratch one
     s = build("local[4]", 4, app="cohortwise-tests")
-    # tests are local: a scratch checkpoint folder only because none is set
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cw-ckpt-"))
     yield s
     s.stop()
 
