@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortwise.functions.joins import broadcast_bounded
 from cohortwise.config import CRITICAL, INFO, WARNING, AlertConfig
 
 ALERT_COLUMNS = [
@@ -76,9 +75,9 @@ def alert_logic(
     the monitored status has a row.
 
     ``by``: scope keys (the ``scope`` column then shows them, e.g. a
-    segment); ``thresholds``: optional per-month thresholds
-    (``month INT, threshold_warning DOUBLE, threshold_critical DOUBLE``,
-    at most 12 rows) for seasonal alerting; ``complete_before``: days on or
+    segment); ``thresholds``: optional thresholds per month, per scope or both
+    (``threshold_warning DOUBLE, threshold_critical DOUBLE`` with ``month INT``
+    and / or columns of ``by``; at least one of them, one row per combination); ``complete_before``: days on or
     after this date are incomplete loads and are not evaluated."""
     keys = list(by or [])
     s = distribution.where(F.col("retention_status") == F.lit(cfg.status))
@@ -94,12 +93,14 @@ def alert_logic(
             "threshold_critical", F.lit(float(cfg.critical_pct))
         )
     else:
+        on = [k for k in ("month", *keys) if k in thresholds.columns]
         t = thresholds.select(
-            F.col("month").cast("int").alias("_m"),
+            *[F.col(k).alias(f"_on_{k}") for k in on],
             F.col("threshold_warning").cast("double").alias("_tw"),
             F.col("threshold_critical").cast("double").alias("_tc"),
         )
-        s = s.join(broadcast_bounded(t), F.month("snapshot_date") == F.col("_m"), "left")
+        match = [(F.month("snapshot_date") if k == "month" else F.col(k)).eqNullSafe(F.col(f"_on_{k}")) for k in on]
+        s = s.join(t, match, "left").drop(*[f"_on_{k}" for k in on])
         s = s.withColumn("threshold_warning", F.coalesce("_tw", F.lit(float(cfg.warning_pct)))).withColumn(
             "threshold_critical", F.coalesce("_tc", F.lit(float(cfg.critical_pct)))
         )

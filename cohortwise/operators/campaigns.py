@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.functions.joins import broadcast_bounded
 from cohortwise.config import ACTIVE, HIGH, MEDIUM
 from cohortwise.functions.dates import month_start
+from cohortwise.functions.literals import literal_table
 
 # ---------------------------------------------------------------------------
 # Status x risk level -> action (the business-impact notes).
@@ -45,13 +45,13 @@ def campaign_priority(risk: DataFrame, capacity: int) -> DataFrame:
 
 
 def action_matrix_df(spark: SparkSession, matrix=ACTION_MATRIX) -> DataFrame:
-    return spark.createDataFrame(list(matrix), "retention_status string, churn_risk_level string, action string")
+    return literal_table(spark, list(matrix), "retention_status string, churn_risk_level string, action string")
 
 
 def apply_action_matrix(risk: DataFrame, matrix: DataFrame) -> DataFrame:
     """X16 — each customer's action from the (status, level) mapping (a
     configuration table of at most statuses x levels rows)."""
-    j = risk.join(broadcast_bounded(matrix), ["retention_status", "churn_risk_level"], "left")
+    j = risk.join(matrix, ["retention_status", "churn_risk_level"], "left")
     return j.withColumn("action", F.coalesce(F.col("action"), F.lit(DEFAULT_ACTION)))
 
 
@@ -76,6 +76,38 @@ def transition_matrix(before: DataFrame, after: DataFrame, col: str = "retention
     ).agg(F.count(F.lit(1)).alias("customer_count"))
 
 
+def _two_days(dated: DataFrame, first, second, columns: list[str]) -> DataFrame:
+    """One row per customer with the structs ``f`` and ``s``, its row on the
+    first and on the second day (null without one), by one aggregation."""
+    from cohortwise.functions.dates import date_lit
+
+    row = F.struct(*columns)
+    return dated.groupBy("customer_id").agg(
+        F.first(F.when(F.col("snapshot_date") == date_lit(first), row), ignorenulls=True).alias("f"),
+        F.first(F.when(F.col("snapshot_date") == date_lit(second), row), ignorenulls=True).alias("s"))
+
+
+def transitions_between(dated: DataFrame, first, second, col: str = "retention_status",
+                        missing: str = "NOT_A_CUSTOMER") -> DataFrame:
+    """X22 over a dated table (one row per customer and ``snapshot_date``),
+    without a join of two snapshots."""
+    both = _two_days(dated.where(F.col("customer_id").isNotNull()), first, second, [col])
+    return both.groupBy(
+        F.coalesce(f"f.{col}", F.lit(missing)).alias(f"from_{col}"), F.coalesce(f"s.{col}", F.lit(missing)).alias(f"to_{col}"),
+    ).agg(F.count(F.lit(1)).alias("customer_count"))
+
+
+def score_trend_between(dated: DataFrame, first, second, min_increase: int = 20) -> DataFrame:
+    """X2 over a dated risk table, without a join of two snapshots."""
+    both = _two_days(dated, first, second, ["retention_status", "churn_risk_score", "churn_risk_level"]).where("s IS NOT NULL")
+    change = F.col("s.churn_risk_score") - F.coalesce(F.col("f.churn_risk_score"), F.lit(0))
+    return both.select(
+        "customer_id", F.col("s.retention_status").alias("retention_status"), F.col("f.churn_risk_score").alias("previous_score"),
+        F.col("f.churn_risk_level").alias("previous_level"), F.col("s.churn_risk_score").alias("churn_risk_score"),
+        F.col("s.churn_risk_level").alias("churn_risk_level"), change.alias("score_change"),
+        (change >= int(min_increase)).alias("is_significant_increase"))
+
+
 def score_trend(before: DataFrame, after: DataFrame, min_increase: int = 20) -> DataFrame:
     """X2 — score change per customer between two risk snapshots; flags a
     significant week-over-week increase. Customers without an earlier
@@ -93,33 +125,53 @@ def score_trend(before: DataFrame, after: DataFrame, min_increase: int = 20) ->
 
 
 def alert_drilldown(alerts: DataFrame, orders: DataFrame | None, thresholds=None, statuses=("AT_RISK",),
-                    intervals: DataFrame | None = None) -> DataFrame:
-    """X20 — the customers behind each flagged alert: customers whose status
-    on the alert date (as-of facts) is in ``statuses``, with revenue to date,
-    ordered by alert date and revenue (desc). Flagged alerts are at most one
-    row per day of the history window that produced them (calendar-bounded).
-    ``intervals`` (with revenue) can be shared with that history."""
+                    intervals: DataFrame | None = None, by: list[str] | None = None, end=None,
+                    risk: DataFrame | None = None) -> DataFrame:
+    """X20 — the customers behind each flagged alert: customers of the alert's
+    scope whose status on the alert date (as-of facts) is in ``statuses``,
+    with revenue to date, ordered by alert date and revenue (desc).
+
+    ``by``: the scope keys of the alerts; ``intervals`` (with revenue and
+    these keys) can be shared with the history behind the alerts, else they
+    are built from ``orders`` up to ``end``. ``risk``: a risk table
+    (``customer_id, churn_risk_level``) whose level is added."""
     from cohortwise.config import StatusThresholds
     from cohortwise.operators.history import customer_status_on_dates, order_day_intervals
 
     th = thresholds or StatusThresholds()
-    flagged = alerts.where(F.col("alert_flag")).select(F.col("alert_date").alias("snapshot_date"), "severity")
-    iv = intervals if intervals is not None else order_day_intervals(orders, with_revenue=True)
-    st = customer_status_on_dates(iv, flagged, th, dates_bounded=True)
+    keys = list(by or [])
+    flagged = alerts.where(F.col("alert_flag")).select(F.col("alert_date").alias("snapshot_date"), *keys, "severity").distinct()
+    iv = intervals if intervals is not None else order_day_intervals(orders, end, with_revenue=True)
+    st = customer_status_on_dates(iv, flagged, th, by=keys)
     out = st.where(F.col("retention_status").isin(list(statuses))).select(
-        F.col("snapshot_date").alias("alert_date"), "severity", "customer_id", "last_order_date",
+        F.col("snapshot_date").alias("alert_date"), *keys, "severity", "customer_id", "last_order_date",
         "days_since_last_order", "retention_status", "total_revenue",
     )
-    return out.orderBy("alert_date", F.desc("total_revenue"), "customer_id")
+    if risk is not None:
+        out = out.join(risk.select("customer_id", "churn_risk_level"), "customer_id", "left").select(
+            *out.columns, "churn_risk_level")
+    return out.orderBy("alert_date", *keys, F.desc("total_revenue"), "customer_id")
+
+
+def targeted_conversion(targets: DataFrame, after: DataFrame, level: str = "LOW") -> DataFrame:
+    """Outcome of a campaign: the exported list (``customer_id,
+    churn_risk_level`` at the time) against a later risk table. One row per
+    level at the time: customers targeted, back to ``level``, and the rate.
+    Customers the later table lacks count as targeted and not converted."""
+    later = after.select("customer_id", (F.col("churn_risk_level") == level).alias("_back"))
+    j = targets.select("customer_id", F.col("churn_risk_level").alias("targeted_level")).join(later, "customer_id", "left")
+    g = j.groupBy("targeted_level").agg(F.count(F.lit(1)).alias("targeted"),
+                                        F.count_if(F.coalesce(F.col("_back"), F.lit(False))).alias("converted"))
+    return g.withColumn("conversion_pct", F.round(F.col("converted").cast("double") * 100.0 / F.col("targeted").cast("double"), 1))
 
 
-def risk_by_cohort(risk: DataFrame, facts: DataFrame) -> DataFrame:
+def risk_by_cohort(risk: DataFrame) -> DataFrame:
     """X27 — risk level distribution per acquisition cohort (share within
-    the cohort, 1 decimal)."""
+    the cohort, 1 decimal). ``risk`` carries ``first_order_date`` (see
+    ``churn_detection(keep=)``), so the facts are not read again."""
     from pyspark.sql.window import Window
 
-    coh = facts.select("customer_id", month_start("first_order_date").alias("cohort_month"))
-    j = risk.select("customer_id", "churn_risk_level").join(coh, "customer_id", "inner")
+    j = risk.select(month_start("first_order_date").alias("cohort_month"), "churn_risk_level")
     g = j.groupBy("cohort_month", "churn_risk_level").agg(F.count(F.lit(1)).alias("customer_count"))
     w = Window.partitionBy("cohort_month")
     return g.withColumn(

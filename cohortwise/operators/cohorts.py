@@ -69,16 +69,23 @@ def cohort_retention(
     attributes: DataFrame | None = None,
     by: list[str] | None = None,
     months: DataFrame | None = None,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """H1-H6 (+P6 frozen window, +X6 extra keys). ``by`` columns come from
-    ``attributes`` (one row per customer, e.g. the customers master), joined
-    after the per-customer reduction so the join sees one row per customer.
+    ``attributes`` (e.g. the customers master; rows that repeat a customer
+    and its keys count once), joined after the per-customer reduction.
     ``months`` (``customer_id, cohort_month, months``, e.g. from the
-    customer profile) replaces the reduction of ``orders``."""
+    customer profile) replaces the reduction of ``orders``.
+
+    With ``facts`` (a layer 1 table, which then also supplies ``by``) cohort
+    month and cohort size are taken from the facts and only the activity from
+    ``orders``, so a cohort can show that the two layers disagree."""
     keys = list(by or [])
+    if facts is not None:
+        return _retention_from_facts(orders, facts, keys, max_months)
     cm = months if months is not None else customer_months(orders)
     if keys:
-        attrs = attributes.select("customer_id", *keys)
+        attrs = attributes.select("customer_id", *keys).distinct()
         cm = cm.join(attrs, "customer_id", "left")
     act = cm.select(*keys, "cohort_month", F.explode("months").alias("activity_month")).select(
         *keys, "cohort_month", month_diff("cohort_month", "activity_month").alias("months_since_acquisition")
@@ -91,6 +98,27 @@ def cohort_retention(
     return _with_size_and_rate(agg, keys, max_months).orderBy(*keys, "cohort_month", "months_since_acquisition")
 
 
+def _retention_from_facts(orders: DataFrame, facts: DataFrame, keys: list[str], max_months: int | None) -> DataFrame:
+    """Sizes are distinct customers of the facts, activity distinct customers
+    with an order in the month; joined per customer and per cohort."""
+    assigned = facts.where(F.col("customer_id").isNotNull() & F.col("first_order_date").isNotNull()).select(
+        "customer_id", *keys, month_start("first_order_date").alias("cohort_month")).distinct()
+    size = assigned.groupBy(*keys, "cohort_month").agg(F.count_distinct("customer_id").alias("cohort_size"))
+    active = orders.where(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull()).groupBy("customer_id").agg(
+        F.collect_set(month_start("order_date")).alias("months"))
+    act = assigned.join(active, "customer_id").select(
+        "customer_id", *keys, "cohort_month", F.explode("months").alias("_month")).select(
+        "customer_id", *keys, "cohort_month", month_diff("cohort_month", "_month").alias("months_since_acquisition"))
+    agg = act.where(F.col("months_since_acquisition") >= 0).groupBy(*keys, "cohort_month", "months_since_acquisition").agg(
+        F.count_distinct("customer_id").alias("active_customers"))
+    if max_months is not None:
+        agg = agg.where(F.col("months_since_acquisition") <= int(max_months))
+    sized = size.select(*[F.col(k).alias(f"_s_{k}") for k in (*keys, "cohort_month")], "cohort_size")
+    out = agg.join(sized, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in (*keys, "cohort_month")])
+    out = out.withColumn("retention_rate", share_pct("active_customers", "cohort_size", 2))
+    return out.select(*keys, *COHORT_COLUMNS).orderBy(*keys, "cohort_month", "months_since_acquisition")
+
+
 def cohort_pivot(cohorts: DataFrame, max_months: int = 12) -> DataFrame:
     """X21 — wide heat-map table: one row per cohort, one column per
     maturity ``m00 .. mNN`` (explicit pivot values, no extra distinct job)."""
@@ -201,19 +229,23 @@ def cohort_compare(cohorts: DataFrame, maturities=(3, 6)) -> DataFrame:
 
 
 def forecast(cohorts: DataFrame, plan: DataFrame, aov: float | None = None, orders: DataFrame | None = None,
-             max_months: int = 12) -> DataFrame:
+             max_months: int | None = None, latest_cohorts: int | None = None, weighted: bool = False) -> DataFrame:
     """X18 (our reading of an outlined use case) — expected revenue of
     planned acquisitions: average retention curve by maturity x planned new
-    customers x average order value, per scenario multiplier.
+    customers x average order value, per scenario multiplier. The curve is
+    the mean over all cohorts, or over the ``latest_cohorts`` that reached
+    the maturity; ``weighted``: by cohort size. ``max_months`` ends it.
 
     ``plan``: ``plan_month DATE, new_customers LONG, scenario STRING,
     multiplier DOUBLE`` (caller input, one row per month and scenario).
     ``aov`` defaults to the mean order amount over ``orders``."""
-    curve = (
-        cohorts.where(F.col("months_since_acquisition") <= int(max_months))
-        .groupBy("months_since_acquisition")
-        .agg(F.round(F.avg("retention_rate"), 6).alias("avg_retention_rate"))
-    )
+    if max_months is not None:
+        cohorts = cohorts.where(F.col("months_since_acquisition") <= int(max_months))
+    if latest_cohorts is not None:  # one row per cohort month in each window
+        newest = Window.partitionBy("months_since_acquisition").orderBy(F.desc("cohort_month"))
+        cohorts = cohorts.withColumn("_nth", F.row_number().over(newest)).where(F.col("_nth") <= int(latest_cohorts))
+    mean = (F.sum(F.col("retention_rate") * F.col("cohort_size")) / F.sum("cohort_size")) if weighted else F.avg("retention_rate")
+    curve = cohorts.groupBy("months_since_acquisition").agg(F.round(mean, 6).alias("avg_retention_rate"))
     # means kept to 6 digits so the forecast does not depend on summation order
     if aov is None:
         aov_df = orders.agg(F.round(F.avg("order_amount"), 6).alias("aov"))

@@ -73,3 +73,32 @@ def base_customers(
     out = agg.join(customer_attributes(customers), "customer_id", "left")
     cols = FACT_COLUMNS + (["last_order_value"] if with_last_order_value else [])
     return out.select(*cols)
+
+
+def facts_on_dates(orders: DataFrame, dates: list) -> DataFrame:
+    """The purchase columns of the facts as of each of a few ``dates``, from
+    one pass over the orders: one row per (customer, ``snapshot_date``).
+
+    Orders are first reduced per (customer, order id), with the first day of
+    the order and, for each date, what it holds up to it; then per customer.
+    Customers without an order id or a dated order by a date have no row for
+    it. Profile attributes are not joined."""
+    days = [date_lit(d) for d in dates]
+    day, amount = F.col("order_date"), F.col("order_amount")
+
+    def upto(i, value):
+        return F.when(day <= days[i], value)
+
+    per_order = orders.groupBy("customer_id", "order_id").agg(*[x for i in range(len(days)) for x in (
+        F.min(upto(i, day)).alias(f"first{i}"), F.max(upto(i, day)).alias(f"last{i}"),
+        F.sum(upto(i, amount)).alias(f"revenue{i}"), F.count(upto(i, amount)).alias(f"amounts{i}"))])
+    per_customer = per_order.groupBy("customer_id").agg(*[x for i in range(len(days)) for x in (
+        F.min(f"first{i}").alias(f"first{i}"), F.max(f"last{i}").alias(f"last{i}"),
+        F.count(F.when(F.col(f"first{i}").isNotNull(), F.col("order_id"))).alias(f"orders{i}"),
+        F.sum(f"revenue{i}").alias(f"revenue{i}"), F.sum(f"amounts{i}").alias(f"amounts{i}"))])
+    rows = per_customer.select("customer_id", F.explode(F.array(*[F.struct(
+        days[i].alias("snapshot_date"), F.col(f"first{i}").alias("first_order_date"), F.col(f"last{i}").alias("last_order_date"),
+        F.col(f"orders{i}").alias("total_orders"), F.col(f"revenue{i}").alias("total_revenue"),
+        F.when(F.col(f"amounts{i}") > 0, F.col(f"revenue{i}") / F.col(f"amounts{i}")).alias("avg_order_value"))
+        for i in range(len(days))])).alias("f")).select("customer_id", "f.*")
+    return rows.where((F.col("total_orders") >= 1) & F.col("first_order_date").isNotNull())

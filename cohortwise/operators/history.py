@@ -71,7 +71,8 @@ def order_day_intervals(orders: DataFrame, end=None, attributes: DataFrame | Non
     iv = iv.where(F.col("e").isNotNull() & (F.col("nx").isNull() | (F.col("nx") > F.col("e"))))
     keys = list(by or [])
     if keys:
-        iv = iv.join(attributes.select("customer_id", *keys), "customer_id", "left")
+        # a master that lists a customer twice under the same keys counts it once
+        iv = iv.join(attributes.select("customer_id", *keys).distinct(), "customer_id", "left")
     return iv
 
 
@@ -104,29 +105,36 @@ def _status_events(iv: DataFrame, th: StatusThresholds, keys: list[str]) -> Data
 
 def customer_status_on_dates(intervals: DataFrame, dates: DataFrame,
                              thresholds: StatusThresholds = StatusThresholds(),
-                             dates_bounded: bool = False) -> DataFrame:
+                             by: list[str] | None = None) -> DataFrame:
     """Customer-level as-of status on each date of ``dates`` (column
-    ``snapshot_date``; a few dates — month ends, alert days — so the side
-    is broadcast): every customer's distinct-order-day interval
+    ``snapshot_date``): every customer's distinct-order-day interval
     ``[o, nx)`` containing the date gives its last order day, hence its
     status, without computing facts once per date. ``intervals`` from
     ``order_day_intervals`` (with ``with_revenue=True`` the revenue to date
-    is returned as ``total_revenue``). Other columns of ``dates`` are kept.
-    ``dates_bounded=True``: the caller guarantees the dates side is small
-    (e.g. one row per day of a history window) and no size check runs."""
+    is returned as ``total_revenue``). Other columns of ``dates`` are kept;
+    ``by`` names those that the intervals have too and that must agree.
+
+    An equi-join on the month: an interval is listed under the months it
+    touches between the first and the last date, a date under its own."""
     from cohortwise.functions.dates import day_diff
-    from cohortwise.functions.joins import broadcast_bounded
     from cohortwise.operators.status import status_expr
 
-    s = F.col("snapshot_date")
-    cond = (intervals["o"] <= s) & (intervals["nx"].isNull() | (s < intervals["nx"])) & (intervals["e"] <= s)
-    side = F.broadcast(dates) if dates_bounded else broadcast_bounded(dates)
-    j = intervals.join(side, cond, "inner")
+    keys = list(by or [])
+    keep = [c for c in dates.columns if c != "snapshot_date"]
+    side = dates.select(F.col("snapshot_date"), *[F.col(c).alias(f"_d_{c}") for c in keep],
+                        F.trunc("snapshot_date", "month").alias("_dm"))
+    span = dates.agg(F.struct(F.min("snapshot_date").alias("lo"), F.max("snapshot_date").alias("hi")).alias("span")).scalar()
+    iv = intervals.withColumn("_span", span)
+    low = F.greatest("o", "e", F.col("_span.lo"))
+    high = F.least(F.coalesce(F.date_sub("nx", 1), F.col("_span.hi")), F.col("_span.hi"))
+    iv = iv.withColumn("_low", low).withColumn("_high", high).where(F.col("_low") <= F.col("_high")).withColumn(
+        "_im", F.explode(F.sequence(F.trunc("_low", "month"), F.trunc("_high", "month"), F.expr("INTERVAL 1 MONTH"))))
+    same = [F.col("_im") == F.col("_dm"), *[F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in keys]]
+    j = iv.join(side, same, "inner").where(F.col("snapshot_date").between(F.col("_low"), F.col("_high")))
     days = day_diff("o", "snapshot_date")
     extra = [F.col("revenue_to_date").alias("total_revenue")] if "revenue_to_date" in intervals.columns else []
-    keep = [c for c in dates.columns if c != "snapshot_date"]
     return j.select(
-        "snapshot_date", *keep, "customer_id", F.col("o").alias("last_order_date"),
+        "snapshot_date", *[F.col(f"_d_{c}").alias(c) for c in keep], "customer_id", F.col("o").alias("last_order_date"),
         days.alias("days_since_last_order"),
         status_expr(days, thresholds.active_days, thresholds.at_risk_days).alias("retention_status"), *extra,
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortwise.functions.joins import broadcast_bounded
+from cohortwise.functions.literals import literal_table
 from cohortwise.config import STATUSES, LEVELS
 
 
@@ -196,14 +196,17 @@ def for_cohort(cohorts: DataFrame, cohort_month) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def alert_frequency(alerts: DataFrame, reference_date, days: int = 30) -> DataFrame:
-    """Q17 — alerts per severity over the ``days`` days up to the reference date."""
+def alert_frequency(alerts: DataFrame, reference_date, days: int = 30, until=None) -> DataFrame:
+    """Q17 — alerts per severity from ``days`` days before the reference date
+    on; without ``until`` the window has no end."""
     from cohortwise.functions.dates import date_lit
 
     ref = date_lit(reference_date)
+    window = alerts.where(F.col("alert_date") >= F.date_sub(ref, int(days)))
+    if until is not None:
+        window = window.where(F.col("alert_date") <= date_lit(until))
     return (
-        alerts.where((F.col("alert_date") >= F.date_sub(ref, int(days))) & (F.col("alert_date") <= ref))
-        .groupBy("severity")
+        window.groupBy("severity")
         .agg(
             F.count(F.lit(1)).alias("alert_count"),
             F.count_if(F.col("alert_flag")).alias("triggered_count"),
@@ -257,13 +260,14 @@ ALERT_MONTHLY_BANDS = [
 
 
 def band_verdicts(distribution: DataFrame, label_col: str, value_col: str, bands) -> DataFrame:
-    """Each label's value against its band: OK / OUT_OF_BAND (labels
-    without a band: NO_BAND). The rule table has one row per configured
-    band."""
+    """Every band's verdict, OK or OUT_OF_BAND; a label the distribution
+    lacks has the value 0. Labels without a band: NO_BAND."""
     spark = distribution.sparkSession
-    rules = spark.createDataFrame([(a, float(lo), float(hi)) for a, lo, hi in bands],
-                                  "_label string, band_min double, band_max double")
-    j = distribution.join(broadcast_bounded(rules), distribution[label_col] == rules["_label"], "left")
+    rules = literal_table(spark, [(a, float(lo), float(hi)) for a, lo, hi in bands],
+                          "_label string, band_min double, band_max double")
+    j = rules.join(distribution, distribution[label_col] == rules["_label"], "full")
+    j = j.select(F.coalesce(label_col, "_label").alias(label_col), "band_min", "band_max",
+                 F.coalesce(F.col(value_col), F.lit(0).cast(distribution.schema[value_col].dataType)).alias(value_col))
     v = F.col(value_col)
     verdict = (
         F.when(F.col("band_min").isNull(), F.lit("NO_BAND"))
@@ -275,7 +279,7 @@ def band_verdicts(distribution: DataFrame, label_col: str, value_col: str, bands
 
 def status_red_flags(distribution: DataFrame) -> DataFrame:
     """Red flags of a status distribution (``retention_status, pct``) as one
-    row: ACTIVE < 10 %, INACTIVE > 70 %, AT_RISK > ACTIVE, any DQ."""
+    row: ACTIVE < 10 %, INACTIVE > 70 %, AT_RISK > ACTIVE or > 30 %, any DQ."""
     def share(s):
         return F.coalesce(F.max(F.when(F.col("retention_status") == s, F.col("pct"))), F.lit(0.0))
 
@@ -290,10 +294,34 @@ def status_red_flags(distribution: DataFrame) -> DataFrame:
         (F.col("active_pct") < 10).alias("flag_active_below_10"),
         (F.col("inactive_pct") > 70).alias("flag_inactive_above_70"),
         (F.col("at_risk_pct") > F.col("active_pct")).alias("flag_at_risk_above_active"),
+        (F.col("at_risk_pct") > 30).alias("flag_at_risk_above_30"),
         (F.col("dq_pct") > 0).alias("flag_data_quality"),
     )
 
 
+def signal_red_flag(risk: DataFrame) -> DataFrame:
+    """Share of customers for whom no signal fires; a flag above 90 %."""
+    none = ~(F.col("is_frequency_drop") | F.col("is_value_drop") | F.col("is_status_inconsistent"))
+    one = risk.agg(F.round(F.count_if(none).cast("double") * 100.0 / F.count(F.lit(1)).cast("double"), 1).alias("no_signal_pct"))
+    return one.select("no_signal_pct", (F.col("no_signal_pct") > 90).alias("flag_no_signal_above_90"))
+
+
+def alert_red_flags(alerts: DataFrame) -> DataFrame:
+    """Per month with alert rows: triggered CRITICAL and WARNING alerts, a
+    flag for more than 5 CRITICAL, and one when neither this nor the two
+    calendar months before had a WARNING. The series has one row a month."""
+    triggered = F.col("alert_flag")
+    months = alerts.groupBy(F.trunc("alert_date", "month").alias("month")).agg(
+        F.count_if(triggered & (F.col("severity") == "CRITICAL")).alias("critical_count"),
+        F.count_if(triggered & (F.col("severity") == "WARNING")).alias("warning_count"))
+    number = F.year("month") * 12 + F.month("month")
+    last_three = Window.partitionBy().orderBy(number).rangeBetween(-2, 0)
+    return months.select(
+        "month", "critical_count", "warning_count", (F.col("critical_count") > 5).alias("flag_critical_above_5"),
+        ((F.sum("warning_count").over(last_three) == 0) & (F.count(F.lit(1)).over(last_three) == 3))
+        .alias("flag_no_warning_three_months"))
+
+
 def risk_red_flags(distribution: DataFrame) -> DataFrame:
     """Red flags of a risk distribution (``churn_risk_level, pct``): HIGH > 25 %,
     HIGH < 5 %, LOW > 90 %."""

@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.functions.joins import broadcast_bounded
 from cohortwise.config import ACTIVE, HIGH, LOW, MEDIUM, RiskWeights, StatusThresholds
 from cohortwise.functions.dates import date_lit, day_diff, month_diff
 from cohortwise.functions.numeric import exceeds_gap_multiple
@@ -53,14 +52,14 @@ def _weights_as_columns(df: DataFrame, weights: RiskWeights, weights_df: DataFra
                         segment_col: str) -> DataFrame:
     """Attach the weight parameters as columns: literals from ``weights``,
     overridden per segment by ``weights_df`` (one row per configured
-    segment — the broadcast side is bounded by the configuration)."""
+    segment)."""
     if weights_df is None:
         return df.select("*", *[F.lit(int(getattr(weights, f))).alias(c) for c, f in _WEIGHT_FIELDS.items()])
     cfg = weights_df.select(
         F.col("customer_segment").alias("_seg"),
         *[F.col(c).cast("int").alias("_" + c) for c in _WEIGHT_FIELDS if c in weights_df.columns],
     )
-    j = df.join(broadcast_bounded(cfg), df[segment_col].eqNullSafe(cfg["_seg"]), "left")
+    j = df.join(cfg, df[segment_col].eqNullSafe(cfg["_seg"]), "left")
     cols = []
     for c, f in _WEIGHT_FIELDS.items():
         default = F.lit(int(getattr(weights, f)))
@@ -164,8 +163,10 @@ def churn_detection(
     engagement: DataFrame | None = None,
     engagement_min_events: int = 1,
     diagnostics: bool = False,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """C1-C5 — one row per customer with signals, score and level.
+    """C1-C5 — one row per customer with signals, score and level (and the
+    fact columns named in ``keep``).
 
     ``weights.value_drop_enabled`` needs facts built with
     ``with_last_order_value=True``; otherwise the value signal is the
@@ -185,7 +186,7 @@ def churn_detection(
         cols[9:9] = ["engagement_events", "is_low_engagement"]
     if diagnostics:
         cols += ["customer_lifetime_days", "avg_days_between_orders", "orders_per_month_active"]
-    return out.select(*cols)
+    return out.select(*cols, *(keep or []))
 
 
 def engagement_counts(events: DataFrame, reference_date, window_days: int = 30) -> DataFrame:

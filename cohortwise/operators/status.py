@@ -1,10 +1,10 @@
 """Layer 2 — retention status of every customer at a reference date.
 
 A narrow projection over the facts (no shuffle). Several threshold sets
-(A/B comparison) are evaluated either per customer — a cross join with the
-configured sets, whose row count is the number of sets — or, for the
-distribution only, on a histogram of recency values so the customer table
-is scanned once whatever the number of sets.
+(A/B comparison) ride along as one array column, built from literals or read
+once from a configuration table, and are exploded: per customer, or for the
+distribution on a histogram of recency values, so the customer table is
+scanned once whatever the number of sets, and nothing is joined.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.functions.joins import broadcast_bounded
 from cohortwise.config import (
     ACTIVE,
     AT_RISK,
@@ -21,6 +20,7 @@ from cohortwise.config import (
     StatusThresholds,
 )
 from cohortwise.functions.dates import date_lit, day_diff
+from cohortwise.functions.literals import literal_table
 
 STATUS_COLUMNS = [
     "customer_id",
@@ -68,7 +68,7 @@ def retention_status(
 def threshold_sets_df(spark: SparkSession, sets: list[StatusThresholds]) -> DataFrame:
     """U1 / SRC5 — configured threshold sets as a DataFrame (one row per set)."""
     rows = [(s.name, int(s.active_days), int(s.at_risk_days)) for s in sets]
-    return spark.createDataFrame(rows, "threshold_set string, active_days int, at_risk_days int")
+    return literal_table(spark, rows, "threshold_set string, active_days int, at_risk_days int")
 
 
 def active_thresholds(config: DataFrame) -> DataFrame:
@@ -77,14 +77,19 @@ def active_thresholds(config: DataFrame) -> DataFrame:
     return config.where(F.col("active")).select("threshold_set", "active_days", "at_risk_days")
 
 
+def _with_sets(df: DataFrame, sets_df: DataFrame) -> DataFrame:
+    """Every row once per configured set: the configuration is read as one
+    value (an array with an entry per set) and exploded."""
+    sets = sets_df.agg(F.collect_list(F.struct("threshold_set", "active_days", "at_risk_days")).alias("s")).scalar()
+    out = df.withColumn("_sets", sets)
+    return out.select(*df.columns, F.explode("_sets").alias("_set")).select(*df.columns, "_set.*")
+
+
 def status_by_threshold_sets(facts: DataFrame, reference_date, sets_df: DataFrame) -> DataFrame:
-    """X13 per customer — status under every configured set. The sets side
-    holds one row per configured set, so broadcasting it is bounded by the
-    configuration, not by the data."""
+    """X13 per customer — status under every configured set."""
     ref = date_lit(reference_date)
     base = facts.select("customer_id", "last_order_date", day_diff("last_order_date", ref).alias("d"))
-    j = base.crossJoin(broadcast_bounded(sets_df))
-    return j.select(
+    return _with_sets(base, sets_df).select(
         "threshold_set",
         "customer_id",
         "last_order_date",
@@ -96,14 +101,14 @@ def status_by_threshold_sets(facts: DataFrame, reference_date, sets_df: DataFram
 def threshold_set_distribution(facts: DataFrame, reference_date, sets_df: DataFrame) -> DataFrame:
     """X13 distribution — customers per status under every set, from one
     pass over the facts: a histogram of recency values (at most one row per
-    distinct day count) is crossed with the sets and re-aggregated."""
+    distinct day count) is taken under every set and re-aggregated."""
     ref = date_lit(reference_date)
     hist = (
         facts.select(day_diff("last_order_date", ref).alias("d"))
         .groupBy("d")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    j = hist.crossJoin(broadcast_bounded(sets_df)).select(
+    j = _with_sets(hist, sets_df).select(
         "threshold_set",
         status_expr("d", F.col("active_days"), F.col("at_risk_days")).alias("retention_status"),
         "n",
