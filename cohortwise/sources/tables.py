@@ -1,16 +1,19 @@
 """Sinks: the materialized layer tables.
 
-* facts     — partitioned by first-order *month* (a day would make tiny files)
+* facts     — partitioned by first-order *month* (a day would make tiny files);
+              a write replaces the whole table
 * snapshots — partitioned by ``snapshot_date``; a rerun of a day replaces only
               that day (dynamic partition overwrite), so daily writes are
               idempotent; ``keep_recent`` enforces the retention policy
-* cohorts   — partitioned by ``cohort_month``
+* cohorts   — partitioned by ``cohort_month``; a write replaces the whole table
 * distribution — status counts per day (tiny), what the alert reads
-* outbox    — flagged alerts (one row per destination), appended
+* risk      — partitioned by ``snapshot_date`` like the snapshots
+* outbox    — flagged alerts (one row per destination), partitioned by
+              ``alert_date``; a rerun of a day replaces that day's alerts
 
-Within each output partition, rows are spread over ``files_per_partition``
-hash buckets of ``customer_id`` so a large month or day is written by
-several tasks and never lands in a single file / task.
+Before a partitioned write the rows are rebalanced by the partition column:
+AQE splits large partitions over as many tasks as their size asks for and
+merges small ones, so nothing fixes the number of writers.
 """
 
 from __future__ import annotations
@@ -23,30 +26,30 @@ from pyspark.sql import functions as F
 from cohortwise.functions.dates import month_start
 
 
-def _spread(df: DataFrame, part_col: str, files_per_partition: int, key: str = "customer_id") -> DataFrame:
-    if files_per_partition <= 1 or key not in df.columns:
-        return df.repartition(part_col)
-    bucket = F.pmod(F.xxhash64(key), F.lit(int(files_per_partition)))
-    return df.repartition(F.col(part_col), bucket)
+#: Rows of one file of a partitioned table; more go to further files.
+ROWS_PER_FILE = 5_000_000
 
 
-def write_facts(facts: DataFrame, path: str, files_per_partition: int = 4) -> None:
-    """SNK1 — facts table partitioned by ``first_order_month``."""
+def _partitioned(df: DataFrame, part_col: str, mode: str):
+    w = df.hint("rebalance", part_col).write.mode("overwrite").option("partitionOverwriteMode", mode)
+    return w.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(part_col)
+
+
+def write_facts(facts: DataFrame, path: str) -> None:
+    """SNK1 — facts table partitioned by ``first_order_month``; replaces the
+    table, so no month of an earlier write survives."""
     df = facts.withColumn("first_order_month", month_start("first_order_date"))
-    (_spread(df, "first_order_month", files_per_partition)
-     .write.mode("overwrite").partitionBy("first_order_month").parquet(path))
+    _partitioned(df, "first_order_month", "static").parquet(path)
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("first_order_month")
 
 
-def write_snapshot(snapshot: DataFrame, path: str, files_per_partition: int = 4) -> None:
+def write_snapshot(snapshot: DataFrame, path: str) -> None:
     """SNK2 — append / replace the snapshot days present in ``snapshot``;
     other days already in the table are untouched."""
-    (_spread(snapshot, "snapshot_date", files_per_partition)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("snapshot_date").parquet(path))
+    _partitioned(snapshot, "snapshot_date", "dynamic").parquet(path)
 
 
 def read_snapshot(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
@@ -62,19 +65,28 @@ def read_snapshot(spark: SparkSession, path: str, start=None, end=None) -> DataF
 def write_distribution(distribution: DataFrame, path: str) -> None:
     """The daily status distribution (a few rows per day), partitioned by
     ``snapshot_date`` with dynamic overwrite: what the alert reads."""
-    distribution.repartition("snapshot_date").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)
+    _partitioned(distribution, "snapshot_date", "dynamic").parquet(path)
 
 
 def write_cohorts(cohorts: DataFrame, path: str) -> None:
-    """SNK3 — cohort table partitioned by ``cohort_month`` (tiny: cohorts x months)."""
-    cohorts.write.mode("overwrite").partitionBy("cohort_month").parquet(path)
+    """SNK3 — cohort table partitioned by ``cohort_month`` (tiny: cohorts x
+    months); replaces the table."""
+    _partitioned(cohorts, "cohort_month", "static").parquet(path)
+
+
+def write_outbox(routed_alerts: DataFrame, path: str, fmt: str = "json", days=None) -> None:
+    """SNK4 — flagged, routed alerts for downstream delivery. A day written
+    again replaces its alerts; ``days`` names the evaluated days, whose
+    earlier alerts go even if none is flagged now."""
+    for day in days or []:
+        _delete(routed_alerts.sparkSession, f"{path.rstrip('/')}/alert_date={_as_date(day).isoformat()}")
+    w = routed_alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("alert_date")
+    (w.json(path) if fmt == "json" else w.parquet(path))
 
 
-def write_outbox(routed_alerts: DataFrame, path: str, fmt: str = "json") -> None:
-    """SNK4 — append flagged, routed alerts for downstream delivery."""
-    w = routed_alerts.write.mode("append").partitionBy("destination")
-    (w.json(path) if fmt == "json" else w.parquet(path))
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
 def _as_date(d) -> _dt.date:
