@@ -209,19 +209,13 @@ def test_suppression_and_routing(spark):
     assert sorted(r.destination for r in routed) == ["email", "executive-alerts", "retention-monitoring"]
 
 
-def test_broadcast_bounded(spark):
-    from cohortwise.functions.joins import broadcast_bounded
-
-    small = spark.createDataFrame([(1,)], "x int")
-    assert "ResolvedHint" in broadcast_bounded(small)._jdf.queryExecution().analyzed().toString() or \
-        "broadcast" in broadcast_bounded(small)._jdf.queryExecution().optimizedPlan().toString().lower()
-    big = spark.range(0, 200_001)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
-    try:
-        out = broadcast_bounded(big, max_rows=100_000)
-        assert "broadcast" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760b")
+def test_literal_table_is_known_to_be_small(spark):
+    from cohortwise.functions.literals import literal_table
+
+    t = literal_table(spark, [("a", 1.5, None), ("b", 2.5, "2024-01-31")], "k string, x double, d date")
+    assert [tuple(r) for r in t.collect()] == [("a", 1.5, None), ("b", 2.5, D("2024-01-31"))]
+    big = spark.range(0, 200_001).select(F.col("id").cast("string").alias("k"))
+    assert "Broadcast" in big.join(t, "k")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_worked_examples_v3_v4_v6_v7(spark):

@@ -54,7 +54,8 @@ def test_merge_profile_equals_rebuild(spark):
     redelivered = o.where((F.col("customer_id") % 7 == 0) & (F.year("order_date") == 1999))
     prof, led = PR.customer_profile(o.limit(0), c), empty_ledger(spark)
     for batch in (b1, b2, redelivered):
-        prof, led = merge_profile(prof, led, batch, c)
+        prof, fresh = merge_profile(prof, led, batch, c)
+        led = led.unionByName(fresh)
     full = PR.customer_profile(o.unionByName(redelivered), c)
     got, want = _rows(prof), _rows(full)
     assert [r for r in got if r not in want][:2] == [] and len(got) == len(want)

@@ -9,7 +9,7 @@ from cohortwise.operators import facts as FX
 from cohortwise.operators import status as ST
 from cohortwise.sources import tables as T
 from cohortwise.sources import testdata as src
-from cohortwise.streaming.incremental import incremental_facts, latest_version, start_facts_refresh
+from cohortwise.streaming.incremental import incremental_facts, read_facts_version, read_profile_version, start_facts_refresh
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,8 +26,8 @@ def test_snapshot_write_is_idempotent_and_pruned(spark, tmp_dir):
     path = os.path.join(tmp_dir, "snap")
     days = ["2001-07-01", "2001-07-02", "2001-07-03"]
     for d in days:
-        T.write_snapshot(ST.retention_status(f, d), path, files_per_partition=2)
-    T.write_snapshot(ST.retention_status(f, days[1]), path, files_per_partition=2)  # rerun one day
+        T.write_snapshot(ST.retention_status(f, d), path)
+    T.write_snapshot(ST.retention_status(f, days[1]), path)  # rerun one day
     snap = T.read_snapshot(spark, path)
     assert snap.count() == 3 * f.count()
     one = T.read_snapshot(spark, path, "2001-07-02", "2001-07-02")
@@ -74,7 +74,7 @@ def test_streaming_refresh_equals_batch(spark, tmp_dir):
     raw.where(~cut).coalesce(1).write.parquet(os.path.join(inbox, "part2"))
     q = start_facts_refresh(spark, src_dir, schema, to_orders, c, table, ckpt)
     q.awaitTermination(300)
-    got = spark.read.parquet(latest_version(spark, table))
+    got = read_facts_version(spark, table)
     want = FX.base_customers(to_orders(raw), c)
     assert _rows(got.select(*want.columns)) == _rows(want)
 
@@ -157,6 +157,6 @@ def test_streaming_profile_refresh_equals_rebuild(spark, tmp_dir):
     for i, part in enumerate((raw.where(cut), raw.where(~cut), redelivery)):
         part.coalesce(1).write.parquet(os.path.join(inbox, f"part{i}"))
         start_profile_refresh(spark, src_dir, raw.schema, to_orders, c, table, ckpt).awaitTermination(300)
-    got = spark.read.parquet(os.path.join(latest_version(spark, table), "profile"))
+    got = read_profile_version(spark, table)
     want = customer_profile(to_orders(raw.unionByName(redelivery)), c)
     assert _rows(got.select(*want.columns)) == _rows(want)
