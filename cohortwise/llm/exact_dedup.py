@@ -72,8 +72,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows that repeat id and text are one row of the result; which one is
     taken of those that differ in other columns is not defined.
     """
-    kept = groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_keep_id"), "text_sha256")
-    tagged = docs.withColumn("_sha", F.sha2(normalised(text_col), 256))
-    joined = tagged.join(kept, tagged[id_col].cast("long").eqNullSafe(kept["_keep_id"]) &
-                         (tagged["_sha"] == kept["text_sha256"]), "left_semi")
-    return joined.dropDuplicates([id_col, "_sha"]).drop("_sha")
+    kept = groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("keep_id"), "text_sha256")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
+                       F.sha2(normalised(text_col), 256).alias("sha"))  # the row's own names stay inside
+    same = rows["id"].eqNullSafe(kept["keep_id"]) & (rows["sha"] == kept["text_sha256"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "sha"]).select("row.*")

@@ -98,22 +98,22 @@ def sampled(docs: DataFrame, targets: dict | None = None, keep_share: float = KE
     """
     targets = targets or TARGETS
     text = F.col(text_col)
-    keys = {"source": F.coalesce(F.col("source").cast("string"), F.lit(NO_VALUE)),
-            "lang": F.coalesce(F.col("lang").cast("string"), F.lit(NO_VALUE)),
-            "topic": topic if topic is not None else topic_of(text)}
-    tokens = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    cells = written(docs.select(*[c.alias(k) for k, c in keys.items()], tokens.alias("_n")).groupBy(*DIMENSIONS).agg(
-        F.sum("_n").alias("tokens")).where("tokens > 0"), "cells")
+    # the row's own names stay inside a struct, apart from the working columns
+    rows = docs.select(
+        F.struct("*").alias("_row"), F.col(id_col).alias("_id"),
+        F.coalesce(F.col("source").cast("string"), F.lit(NO_VALUE)).alias("source"),
+        F.coalesce(F.col("lang").cast("string"), F.lit(NO_VALUE)).alias("lang"),
+        (topic if topic is not None else topic_of(text)).alias("topic"),
+        F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("_n"))
+    cells = written(rows.groupBy(*DIMENSIONS).agg(F.sum("_n").alias("tokens")).where("tokens > 0"), "cells")
     rates = written(calibrated(fitted(cells, targets, rounds), keep_share).select(*DIMENSIONS, "probability"), "rates")
     rates = rates.select(*[F.col(k).alias(f"_mix_{k}") for k in DIMENSIONS], F.col("probability").alias("_mix_p"))
-    tagged = docs.withColumns({f"_key_{k}": c for k, c in keys.items()})
-    joined = tagged.join(rates, [F.col(f"_key_{k}") == F.col(f"_mix_{k}") for k in DIMENSIONS], "left")
-    coin = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(NO_VALUE)).cast("binary")), 1, 12), 16, 10)
+    joined = rows.join(rates, [F.col(k) == F.col(f"_mix_{k}") for k in DIMENSIONS], "left")
+    coin = F.conv(F.substring(F.md5(F.coalesce(F.col("_id").cast("string"), F.lit(NO_VALUE)).cast("binary")), 1, 12), 16, 10)
     p = F.coalesce("_mix_p", F.lit(1.0))
-    return joined.withColumn("mix", F.struct(
-        F.col("_key_topic").alias("topic"), tokens.alias("n_tokens"), p.alias("probability"),
-        (coin.cast("double") / F.lit(float(1 << 48)) < p).alias("kept"))).drop(
-        *[f"_key_{k}" for k in DIMENSIONS], *[f"_mix_{k}" for k in DIMENSIONS], "_mix_p")
+    return joined.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c != "mix"], F.struct(
+        "topic", F.col("_n").alias("n_tokens"), p.alias("probability"),
+        (coin.cast("double") / F.lit(float(1 << 48)) < p).alias("kept")).alias("mix"))
 
 
 def oracle_sql(targets: dict = TARGETS, keep_share: float = KEEP_SHARE, rounds: int = ROUNDS) -> str:

@@ -81,12 +81,14 @@ def rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         table[row["bucket"]] = row["weight"] if math.isfinite(row["weight"]) else 0.0
     vector = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")  # folded into one literal
 
-    text, n = F.coalesce(F.col(text_col), F.lit("")), F.size("_h")
+    text, n = F.coalesce(F.col("_text"), F.lit("")), F.size("_h")
 
     def total(hashes):
         return F.aggregate(hashes, F.lit(0.0), lambda acc, x: acc + F.get(vector, F.pmod(x, F.lit(buckets)).cast("int")))
 
-    step = hashed(docs, text_col).withColumn(
+    # the row's own names stay inside a struct, apart from the working columns
+    rows = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("_text"))
+    step = hashed(rows, "_text").withColumn(
         "_lines", F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     step = step.withColumns({
         "_base": F.struct(
@@ -105,10 +107,10 @@ def rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
                                                .alias("n_repeat_words"))).drop("_base", "_starts")
     n = F.col("quality.n_words")
     failed = (n < 10) | (F.lit(100) * F.col("quality.n_repeat_words") > F.lit(20) * n)
-    return step.withColumn("quality", F.struct(
+    return step.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c != "quality"], F.struct(
         *[F.col(f"quality.{c}").alias(c) for c in
           ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr")],
-        failed.alias("base_failed"), (~failed & (F.col("quality.llr") >= F.lit(threshold))).alias("kept")))
+        failed.alias("base_failed"), (~failed & (F.col("quality.llr") >= F.lit(threshold))).alias("kept")).alias("quality"))
 
 
 def repeated_starts(ordered: Column) -> Column:

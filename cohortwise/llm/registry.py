@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortwise.llm import (bpe, exact_dedup, html_text, licences, mixing, near_dedup, quality_classifier, quality_rules,
                             substring_dedup, warc)
+from cohortwise.llm.shipping import ship
 from cohortwise.llm.storage import scratch, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,7 @@ ORACLES: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
