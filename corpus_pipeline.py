@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortwise.llm import bpe, exact_dedup, mixing, near_dedup, quality_rules
+from cohortwise.llm.shipping import ship
 from cohortwise.llm.storage import written
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -50,6 +51,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
