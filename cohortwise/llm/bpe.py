@@ -32,10 +32,14 @@ from pyspark.sql import types as T
 from cohortwise.llm.kernels import slices, text_buffer
 
 #: Entries of the piece cache of a Python worker; a full cache starts anew.
-CACHE = 300_000
+CACHE = 100_000
+#: Text bytes encoded at once: a worker holds several arrays and lists of this many entries.
+SLICE = 1 << 20
 #: Pieces of more bytes are merged with a heap.
 LONG = 96
 BLOCK = 256
+#: Rows decoded at once.
+ROWS = 256
 
 # Symbols. "Last": last white space of a run, before a character of another class.
 LETTER, NUMBER, OTHER, SHORT_SUFFIX, LONG_SUFFIX, LAST_SPACE, LAST_WHITE, WHITE = range(8)
@@ -245,15 +249,25 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-_MERGERS: dict[str, Merger] = {}
+_KEPT: dict[tuple[type, str], object] = {}
 
 
-def _merger(key: str, shared) -> Merger:
-    """The worker's merger for a vocabulary; a worker keeps the last one."""
-    if key not in _MERGERS:
-        _MERGERS.clear()
-        _MERGERS[key] = Merger(read_ranks(shared.value))
-    return _MERGERS[key]
+def _kept(kind: type, key: str, shared):
+    """The worker's ``kind`` for a vocabulary; a worker keeps the last one of each kind."""
+    if (kind, key) not in _KEPT:
+        for old in [k for k in _KEPT if k[0] is kind]:
+            del _KEPT[old]
+        _KEPT[kind, key] = kind(read_ranks(shared.value))
+    return _KEPT[kind, key]
+
+
+class Spelling(list):
+    """The bytes of every id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__([b""] * (max(ranks.values()) + 1))
+        for token, rank in ranks.items():
+            self[rank] = token
 
 
 def encode_texts(column: pa.Array, merger: Merger) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -286,11 +300,11 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     key, shared = _vocabulary(docs.sparkSession, ranks_path)
 
     def run(batches):
-        merger = _merger(key, shared)
+        merger = _kept(Merger, key, shared)
         lengths = np.zeros(max(merger.ranks.values()) + 1, np.int64)
         for token, rank in merger.ranks.items():
             lengths[rank] = len(token)
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SLICE):
             ids, offsets, bounds = encode_texts(batch.column(1), merger)
             ends = np.cumsum(lengths[ids]) - np.repeat(offsets[:-1], np.diff(bounds))
             lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x, pa.int32())) for x in (ids, ends)]
@@ -309,15 +323,14 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def run(batches):
-        ranks = _merger(key, shared).ranks
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index("ids"))
-            decoded = [b"".join(map(tokens.__getitem__, x or ())) for x in _id_lists(column)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
-                                             names=[*batch.schema.names, "decoded"])
+        tokens = _kept(Spelling, key, shared)
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                column = batch.column(batch.schema.get_field_index("ids"))
+                decoded = [b"".join(map(tokens.__getitem__, x or ())) for x in _id_lists(column)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
+                                                 names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
 
