@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortwise.functions.literals import literal_table
+
 # Licence texts and statements, by their public identifiers.
 _WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
 OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
@@ -70,7 +72,7 @@ def canonical(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
     """``licence, digest`` of the known texts; as many rows as are given."""
-    given = spark.createDataFrame([(i, t) for i, t in known], "licence string, text string")
+    given = literal_table(spark, known, "licence string, text string")
     return given.select("licence", F.sha2(canonical(F.col("text")), 256).alias("digest")).distinct()
 
 
