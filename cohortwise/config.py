@@ -67,6 +67,7 @@ PROFILES = {
 }
 
 
+# Weights, cut points and multipliers of the churn score.
 @dataclass(frozen=True)
 class RiskWeights:
     """Weights and cut points of the churn score.
@@ -88,6 +89,7 @@ class RiskWeights:
     engagement: int = 0  # extra points for the optional engagement signal
 
 
+# The alert's thresholds, sample floor and baseline rows.
 @dataclass(frozen=True)
 class AlertConfig:
     """Share-vs-baseline alert on one status share."""
@@ -114,3 +116,21 @@ class AlertConfig:
     def with_(self, **kw) -> "AlertConfig":
         return replace(self, **kw)
 
+
+@dataclass(frozen=True)
+class ModelProfile:
+    """What a business model changes: status days, the cohort window in
+    months (None: all) and the alert."""
+
+    thresholds: StatusThresholds
+    cohort_months: int | None = None
+    alert: AlertConfig = AlertConfig()
+
+
+# Adaptations per business model.
+MODELS = {
+    "ecommerce": ModelProfile(PROFILES["ecommerce"]),
+    "saas": ModelProfile(PROFILES["saas_business"], cohort_months=36),
+    "luxury": ModelProfile(PROFILES["luxury_business"], cohort_months=24, alert=AlertConfig(baseline_rows=28)),
+    "fast_fashion": ModelProfile(PROFILES["fast_fashion_business"], cohort_months=6, alert=AlertConfig(baseline_rows=7)),
+}

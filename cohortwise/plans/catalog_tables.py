@@ -231,3 +231,24 @@ def q_forecast_latest_weighted(spark, sf):
     plan = literal_table(spark, [(p, n, "base", 1.0) for p, n in K.PLAN],
                          "plan_month date, new_customers long, scenario string, multiplier double")
     return CH.forecast(K._coh(spark, sf), plan, aov=1000.0, latest_cohorts=6, weighted=True)
+
+
+# --------------------------------------------------------------------------
+# A business model end to end: its status days, cohort window and baseline
+# --------------------------------------------------------------------------
+def _register_model(name):
+    model = C.MODELS[name]
+    hist = [O.ord_cte(), O.cust_cte(), O.history_ctes(K.H_START, K.H_END, model.thresholds, dense=True)]
+
+    @register(f"model_{name}_alerts", O.with_(*hist, O.alert_ctes(model.alert)) + "SELECT * FROM alerts")
+    def q_alerts(spark, sf):
+        return K._alert_out(AL.alert_logic(K._hist(spark, sf, dense=True, th=model.thresholds), model.alert))
+
+    @register(f"model_{name}_cohorts", O.with_(*_BASE, O.cohort_ctes())
+              + f"SELECT * FROM cohort_cells WHERE months_since_acquisition <= {model.cohort_months}")
+    def q_cohorts(spark, sf):
+        return CH.cohort_retention(src.orders(spark, sf), max_months=model.cohort_months)
+
+
+for _name in ("saas", "luxury", "fast_fashion"):
+    _register_model(_name)
