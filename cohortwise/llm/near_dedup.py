@@ -12,11 +12,15 @@ size is a limit. Every link is confirmed on the full shingle sets.
 
 Recall: a pair at the similarity threshold shares a selected token in one tree
 with probability 1 - exp(-BRANCH * 0.75) = 0.85, in one of ``TREES`` with more
-than 0.9999; a pair that must pass several levels still with 0.999.
-
-Only connectivity is wanted, so confirmation goes in two rounds: first the
-best spanning forest of every node, then those pairs alone whose ends the
-forests left apart. Equal sets are merged to one representative beforehand.
+than 0.9999. Nodes beyond ``LEAF`` branch by ``DEEPER``, the inverse of the
+threshold, so a dense node has about as many rows on each level.
+
+Only connectivity is wanted, and pairs never leave a task: first the best
+spanning forest of every node is confirmed; then, in nodes that the forests
+left in parts, the texts that may be linked across parts meet again with their
+full sets, and the task that has them returns confirmed links alone. A pair is
+checked in the first of the small nodes it shares. Equal sets are merged to
+one representative beforehand.
 """
 
 from __future__ import annotations
@@ -33,8 +37,8 @@ from cohortwise.llm.kernels import U64, Words, mix, per_text_unique, slices, tex
 from cohortwise.llm.storage import written
 
 SHINGLE = 5
-TOKENS, TREES, BRANCH = 128, 6, 2.5
-LEAF, DEPTH = 256, 4
+TOKENS, TREES, BRANCH, DEEPER = 128, 6, 2.5, 4 / 3
+LEAF, DEPTH = 4096, 4
 #: Share of equal tokens from which a pair is confirmed; 0.75 lies four standard deviations above.
 ESTIMATE = 0.60
 #: Links need 100 * intersection >= PERCENT * union.
@@ -43,7 +47,7 @@ PERCENT = 75
 _MULTIPLIERS = mix(np.arange(1, TOKENS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 _POSITION = mix(np.arange(TOKENS, dtype=U64) + U64(77))
 _TREE = mix(np.arange(TREES, dtype=U64) + U64(7700))
-_SELECT = U64(int(BRANCH / TOKENS * 2.0**64))
+_SELECT, _SELECT_DEEPER = (U64(int(x / TOKENS * 2.0**64)) for x in (BRANCH, DEEPER))
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -113,54 +117,102 @@ def _forest(tokens: np.ndarray):
         best[closer], parent[closer] = share[i][closer], i
 
 
-def _apart(tokens: np.ndarray, comps: np.ndarray):
-    """Pairs that may be links, of texts not known to be connected."""
-    near = (_equal_share(tokens, tokens) >= ESTIMATE) & (comps[:, None] != comps[None, :])
-    return zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1))))
-
-
-def _node_pairs(cross: bool):
-    """mapInArrow over rows (leaf, rep, comp, tokens) sorted by leaf."""
-
-    def compare(batches):
-        left = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if left is None else pa.concat_tables([left, pa.Table.from_batches([batch])])
-            leaf = table["leaf"].to_numpy()
-            if not len(leaf):
-                continue
-            done = int(np.searchsorted(leaf, leaf[-1], "left"))  # the last node may go on
-            left = table.slice(done).combine_chunks()
-            yield from pairs(table.slice(0, done))
-        if left is not None:
-            yield from pairs(left)
-
-    def pairs(table):
-        if not table.num_rows:
-            return
-        leaf, reps, comps = (table[c].to_numpy() for c in ("leaf", "rep", "comp"))
-        raw, _ = text_like(table["tokens"])
-        tokens = raw.view(np.uint16).reshape(-1, TOKENS)
-        cuts = np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1], True]).tolist()
-        a, b = [], []
-        two = [c for c, d in zip(cuts, cuts[1:]) if d - c == 2]
-        if two:
-            two = np.array(two)
-            near = (tokens[two] == tokens[two + 1]).mean(axis=1) >= ESTIMATE
-            two = two[near & (comps[two] != comps[two + 1])]
-            a.append(reps[two]), b.append(reps[two + 1])
-        for c, d in zip(cuts, cuts[1:]):
+def _by_leaf(batches):
+    """Tables of whole leaves from batches sorted by leaf."""
+    left = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch]) if left is None else pa.concat_tables([left, pa.Table.from_batches([batch])])
+        leaf = table["leaf"].to_numpy()
+        done = int(np.searchsorted(leaf, leaf[-1], "left"))  # the last leaf may go on
+        left = table.slice(done).combine_chunks()
+        if done:
+            yield table.slice(0, done)
+    if left is not None:
+        yield left
+
+
+def _cuts(table: pa.Table) -> list[int]:
+    leaf = table["leaf"].to_numpy()
+    return np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1], True]).tolist()
+
+
+def _tokens(table: pa.Table) -> np.ndarray:
+    return text_like(table["tokens"])[0].view(np.uint16).reshape(-1, TOKENS)
+
+
+def _forests(batches):
+    """Pairs of the best spanning forest of each leaf; rows (leaf, rep, tokens)."""
+    for table in _by_leaf(batches):
+        reps, tokens, cuts = table["rep"].to_numpy(), _tokens(table), np.array(_cuts(table))
+        two = cuts[:-1][np.diff(cuts) == 2]
+        two = two[(tokens[two] == tokens[two + 1]).mean(axis=1) >= ESTIMATE]
+        a, b = [reps[two]], [reps[two + 1]]
+        for c, d in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             if d - c > 2:
-                found = list(_apart(tokens[c:d], comps[c:d]) if cross else _forest(tokens[c:d]))
+                found = list(_forest(tokens[c:d]))
                 if found:
                     i, j = np.array(found).T
                     a.append(reps[c + i]), b.append(reps[c + j])
-        if a:
-            a, b = np.concatenate(a), np.concatenate(b)
+        a, b = np.concatenate(a), np.concatenate(b)
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _open_pairs(tokens, comps, firsts, leaf) -> np.ndarray:
+    """Upper triangle of pairs that may be links, are not known to be connected,
+    and share no smaller leaf in which they are checked already."""
+    near = np.triu((_equal_share(tokens, tokens) >= ESTIMATE) & (comps[:, None] != comps[None, :]), 1)
+    for i in np.flatnonzero(near.any(axis=1)).tolist():
+        own = firsts[i][firsts[i] < leaf]
+        if len(own):
+            others = np.flatnonzero(near[i])
+            before = np.array([np.isin(own, firsts[j], assume_unique=True).any() for j in others.tolist()])
+            near[i, others[before]] = False
+    return near
+
+
+def _with_open_pairs(batches):
+    """(leaf, rep) of the texts with such a pair; rows (leaf, rep, comp, firsts, tokens)."""
+    for table in _by_leaf(batches):
+        reps, comps, leaf, tokens = table["rep"].to_numpy(), table["comp"].to_numpy(), table["leaf"].to_numpy(), _tokens(table)
+        firsts = [np.array(x, np.int64) for x in table["firsts"].to_pylist()]
+        keep = []
+        for c, d in zip(cuts := _cuts(table), cuts[1:]):
+            if d - c > 1:
+                near = _open_pairs(tokens[c:d], comps[c:d], firsts[c:d], leaf[c])
+                keep.append(c + np.flatnonzero(near.any(axis=0) | near.any(axis=1)))
+        keep = np.concatenate(keep) if keep else np.zeros(0, int)
+        yield pa.RecordBatch.from_arrays([pa.array(leaf[keep]), pa.array(reps[keep])], names=["leaf", "rep"])
+
+
+def _exact_links(batches):
+    """Confirmed links across parts; rows (leaf, rep, comp, firsts, tokens, text)."""
+    for table in _by_leaf(batches):
+        reps, comps, leaf, tokens = table["rep"].to_numpy(), table["comp"].to_numpy(), table["leaf"].to_numpy(), _tokens(table)
+        firsts = [np.array(x, np.int64) for x in table["firsts"].to_pylist()]
+        links = []
+        for c, d in zip(cuts := _cuts(table), cuts[1:]):
+            near = _open_pairs(tokens[c:d], comps[c:d], firsts[c:d], leaf[c])
+            values, bounds = shingle_sets(table["text"].slice(c, d - c))
+            sizes, part = np.diff(bounds), comps[c:d].copy()
+            for i in np.flatnonzero(near.any(axis=1)).tolist():
+                others = np.flatnonzero(near[i] & (part != part[i]))
+                if not len(others):
+                    continue
+                own = values[bounds[i]:bounds[i + 1]]
+                all_of = np.concatenate([values[bounds[j]:bounds[j + 1]] for j in others.tolist()])
+                found = own[np.minimum(np.searchsorted(own, all_of), len(own) - 1)] == all_of
+                starts = np.concatenate([[0], np.cumsum(sizes[others])[:-1]])
+                both = np.add.reduceat(found, starts, dtype=np.int64)
+                for j in others[100 * both >= PERCENT * (sizes[i] + sizes[others] - both)].tolist():
+                    if part[i] != part[j]:
+                        links.append((reps[c + i], reps[c + j]))
+                        part[part == part[j]] = part[i]
+        if links:
+            a, b = np.array(links).T
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return compare
-
 
 def text_like(column) -> tuple[np.ndarray, np.ndarray]:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -169,11 +221,19 @@ def text_like(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets
 
 
-def _compared(nodes: DataFrame, reps: DataFrame, cross: bool) -> DataFrame:
-    """Candidate pairs a < b of nodes (leaf, rep, comp), each leaf of bounded size."""
-    rows = nodes.join(reps.select("rep", "tokens"), "rep").select("leaf", "rep", "comp", "tokens")
-    return rows.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(
-        _node_pairs(cross), "a long, b long").where("a < b").distinct()
+def _leaves(rows: DataFrame) -> DataFrame:
+    return rows.repartition("leaf").sortWithinPartitions("leaf")
+
+
+def _links_across(rows: DataFrame, reps: DataFrame, texts) -> DataFrame:
+    """Links (a, b) between parts, of rows (leaf, rep, comp, firsts) with
+    leaves of bounded size; ``texts``: ids to a table (id, text)."""
+    full = written(rows.join(reps.select("rep", "tokens"), "rep").select("leaf", "rep", "comp", "firsts", "tokens"), "across")
+    some = written(_leaves(full).mapInArrow(_with_open_pairs, "leaf long, rep long"), "open")
+    of = texts(some.select(F.col("rep").alias("id")).distinct())
+    meet = full.join(some, ["leaf", "rep"], "left_semi").join(of, F.col("rep") == F.col("id")).select(
+        "leaf", "rep", "comp", "firsts", "tokens", "text")
+    return written(_leaves(meet).mapInArrow(_exact_links, "a long, b long").distinct(), "links")
 
 
 def _confirm(batches):
@@ -216,7 +276,7 @@ def _branched(batches):
         tokens = raw.view(np.uint16).reshape(-1, TOKENS)
         for start in range(0, len(node), 4096):
             part = mix((tokens[start:start + 4096].astype(U64) + _POSITION) ^ mix(node[start:start + 4096])[:, None])
-            row, token = np.nonzero(part < _SELECT)
+            row, token = np.nonzero(part < _SELECT_DEEPER)
             child = mix(part[row, token] + U64(1)).view(np.int64)
             at = pa.array(row + start)
             yield pa.RecordBatch.from_arrays(
@@ -229,10 +289,10 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(stats.where("_lo < _hi").select("node", "n"), "node")
 
 
-def _leaf(n) -> F.Column:
+def _leaf(n, limit: int) -> F.Column:
     """Small nodes as they are, large ones in random blocks."""
-    return F.when(n <= LEAF, F.col("node")).otherwise(
-        F.xxhash64("node", F.pmod(F.xxhash64("rep", "node"), F.ceil(n / F.lit(LEAF)))))
+    return F.when(n <= limit, F.col("node")).otherwise(
+        F.xxhash64("node", F.pmod(F.xxhash64("rep", "node"), F.ceil(n / F.lit(limit)))))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,47 +316,50 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = reps.select(F.explode("paths").alias("node"), "rep", F.col("rep").alias("comp")).dropDuplicates(["node", "rep"])
     nodes = written(_sized(rows), "nodes")
 
+    def texts_of(ids):
+        return written(source.select(F.col("_id").alias("id"), F.col("_text").alias("text")).join(ids, "id", "left_semi"), "texts")
+
     # round 1: the forests of all nodes
-    forest = written(_compared(nodes.withColumn("leaf", _leaf(F.col("n"))), reps, cross=False), "forest")
+    whole = nodes.withColumn("leaf", _leaf(F.col("n"), LEAF)).join(reps.select("rep", "tokens"), "rep")
+    forest = written(_leaves(whole.select("leaf", "rep", "tokens")).mapInArrow(_forests, "a long, b long")
+                     .where("a < b").distinct(), "forest")
     ids = forest.select(F.col("a").alias("id")).union(forest.select("b")).distinct()
-    texts = written(source.select(F.col("_id").alias("id"), F.col("_text").alias("text")).join(ids, "id", "left_semi"), "texts")
+    texts = texts_of(ids)  # of every text with a near one in some node
     links = written(_links(forest, texts), "links")
     known = connected(links)
 
     # round 2: what the forests left apart
-    def with_comps(x):
-        return x.select("node", "rep").join(known, x["rep"] == known["id"], "left").select(
-            "node", "rep", F.coalesce("comp", "rep").alias("comp"))
+    parts = nodes.select("node", "rep").join(known, F.col("rep") == F.col("id"), "left").select(
+        "node", "rep", F.coalesce("comp", "rep").alias("comp"))
+    mixed = written(_sized(parts), "mixed")
+    small = mixed.where(F.col("n") <= LEAF)
+    firsts = small.groupBy("rep").agg(F.collect_list("node").alias("firsts"))  # at most the nodes of a text
+    found = [_links_across(small.select(F.col("node").alias("leaf"), "rep", "comp").join(firsts, "rep"), reps, lambda _: texts)]
+
+    def alone(x):  # leaves that no other shares pairs with
+        return x.select("leaf", "rep", "comp", F.array().cast("array<long>").alias("firsts"))
 
-    mixed = _sized(with_comps(nodes))
-    found = [_compared(mixed.where(F.col("n") <= LEAF).withColumn("leaf", F.col("node")), reps, cross=True)]
-    large = written(mixed.where(F.col("n") > LEAF), "large")
+    large = mixed.where(F.col("n") > LEAF)
     for _ in range(DEPTH):
         if large.isEmpty():
             break
         children = large.join(reps.select("rep", "tokens"), "rep").select("node", "rep", "comp", "tokens").mapInArrow(
             _branched, "node long, rep long, comp long").dropDuplicates(["node", "rep"])
         deeper = written(_sized(children), "children")
-        found.append(_compared(deeper.where(F.col("n") <= LEAF).withColumn("leaf", F.col("node")), reps, cross=True))
+        found.append(_links_across(alone(deeper.withColumn("leaf", _leaf(F.col("n"), LEAF))), reps, texts_of))
         large = deeper.where(F.col("n") > LEAF)
     else:
         if not large.isEmpty():  # dense and mixed: every block of a node against every other
-            blocks = F.ceil(F.col("n") / F.lit(LEAF)).cast("long")
+            blocks = F.ceil(F.col("n") / F.lit(LEAF // 2)).cast("long")
             own = large.withColumn("_b", F.pmod(F.xxhash64("rep"), blocks)).withColumn(
                 "_o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-            found.append(_compared(own.withColumn("leaf", F.xxhash64(
-                "node", F.least("_b", "_o"), F.greatest("_b", "_o"))), reps, cross=True))
-    rest = found[0]
-    for more in found[1:]:
-        rest = rest.union(more)
-    rest = written(rest.distinct(), "rest")
-    if not rest.isEmpty():
-        wanted = rest.select(F.col("a").alias("id")).union(rest.select("b")).distinct()
-        missing = wanted.join(ids, "id", "left_anti")
-        if not missing.isEmpty():
-            texts = texts.union(written(source.select(F.col("_id").alias("id"), F.col("_text").alias("text"))
-                                        .join(missing, "id", "left_semi"), "texts"))
-        known = connected(links.union(written(_links(rest, texts), "links")))
+            found.append(_links_across(alone(own.withColumn("leaf", F.xxhash64(
+                "node", F.least("_b", "_o"), F.greatest("_b", "_o")))), reps, texts_of))
+    more = found[0]
+    for x in found[1:]:
+        more = more.union(x)
+    if not more.isEmpty():
+        known = connected(links.union(more))
 
     labels = reps.select("set_id", "rep").join(known, F.col("rep") == known["id"], "left").select(
         "set_id", F.coalesce("comp", "rep").alias("component_id"))
