@@ -72,8 +72,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows that repeat id and text are one row of the result; which one is
     taken of those that differ in other columns is not defined.
     """
-    kept = groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("keep_id"), "text_sha256")
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"),
-                       F.sha2(normalised(text_col), 256).alias("sha"))  # the row's own names stay inside
-    same = rows["id"].eqNullSafe(kept["keep_id"]) & (rows["sha"] == kept["text_sha256"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "sha"]).select("row.*")
+    def key(row_id, sha):  # one column, so that join and final choice share a partitioning
+        return F.concat_ws("|", sha, row_id.cast("string"))
+
+    kept = groups(docs, id_col, text_col).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("key"))
+    rows = docs.select(F.struct("*").alias("row"),  # the row's own names stay inside
+                       key(F.col(id_col).cast("long"), F.sha2(normalised(text_col), 256)).alias("key"))
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
