@@ -20,6 +20,8 @@ BASE_INVERSE = pow(BASE, -1, 1 << 64)
 MIX_A, MIX_B = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 #: Text bytes handled at once; longer single texts are handled alone.
 SLICE_BYTES = 4 << 20
+#: Rows handled at once: many tiny texts must not make wide arrays.
+SLICE_ROWS = 4096
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -49,7 +51,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of rows holding about ``limit`` text bytes."""
+    """The batches cut into runs of at most ``SLICE_ROWS`` rows holding about ``limit`` text bytes."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -57,7 +59,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
         start = 0
         while start < batch.num_rows:
             stop = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1
-            stop = min(max(stop, start + 1), batch.num_rows)
+            stop = min(max(stop, start + 1), start + SLICE_ROWS, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
 
