@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortwise.llm.storage import written
+
 #: Payloads of at least so many bytes are archived once and revisited.
 REVISIT_FROM = 0
 RECORDS_PER_FILE = 6000
@@ -39,7 +41,7 @@ def base32_sha1(data: Column) -> Column:
 
 
 def _record_id(kind: str, capture: Column, nth: Column) -> Column:
-    hexes = F.md5(F.concat(F.lit(kind + ":"), capture, F.lit(":"), nth.cast("string")).cast("binary"))
+    hexes = F.md5(F.concat(F.lit(kind + ":"), F.hex(capture), F.lit(":"), nth.cast("string")).cast("binary"))
     parts = [F.substring(hexes, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -64,14 +66,20 @@ def write_archives(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html"))
-    rows = rows.withColumn("sha", F.sha2("html", 256)).withColumn(
-        "capture", F.sha2(F.to_json(F.struct("page_id", "url", "sha")), 256))
-    same = rows.where(F.octet_length("html") >= revisit_from)
-    winners = same.groupBy("sha").agg(F.max(F.struct("page_id", "capture")).alias("win"))
-    first = same.select("sha", "capture").distinct().join(winners, "sha").select("capture", F.col("win.capture").alias("first"))
-    kept = rows.groupBy("capture").agg(F.first("page_id").alias("page_id"), F.first("url").alias("url"),
-                                       F.first("html").alias("html"), F.count(F.lit(1)).cast("int").alias("copies"))
-    each = kept.join(first, "capture", "left").withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    rows = rows.withColumn("sha", F.unhex(F.sha2("html", 256)))
+    rows = rows.withColumn("capture", F.unhex(F.md5(F.to_json(F.struct("page_id", "url", F.hex("sha").alias("sha"))))))
+    # what is not a response of its own: revisits, and rows that occur more than once; payloads stay out of it
+    distinct = rows.select("capture", "sha", "page_id", (F.octet_length("html") >= revisit_from).alias("shared")).groupBy(
+        "capture").agg(F.first("sha").alias("sha"), F.first("page_id").alias("page_id"), F.first("shared").alias("shared"),
+                       F.count(F.lit(1)).cast("int").alias("copies"))
+    winners = distinct.where("shared").groupBy("sha").agg(F.max(F.struct("page_id", "capture")).alias("win"))
+    judged = distinct.join(winners, "sha", "left").select(
+        "capture", F.when(F.col("shared"), F.col("win.capture")).alias("first"), "copies")
+    odd = written(judged.where("first <> capture OR copies > 1"), "revisits")
+    tagged = rows.drop("sha").join(odd, "capture", "left")
+    once = tagged.where("copies IS NULL OR copies = 1").withColumn("nth", F.lit(1))
+    more = tagged.where("copies > 1").dropDuplicates(["capture"]).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    each = once.unionByName(more)
     revisit = F.col("first").isNotNull() & ((F.col("first") != F.col("capture")) | (F.col("nth") > 1))
     uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     own = {k: _record_id(k, F.col("capture"), F.col("nth")) for k in ("request", "capture", "metadata")}
