@@ -29,25 +29,35 @@ from cohortwise.llm.kernels import SPACE, U64, Words, mix, slices
 WINDOW = 13
 #: The longest block of which every window must hold one in full.
 BLOCK = (WINDOW + 1) // 2
+_CODEC = pa.Codec("zstd", compression_level=1)
 PACKED = "bucket int, owners binary, hashes binary, extra binary, owner binary, place binary"
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Unsigned integers as byte planes, high planes of zeros left out."""
+    """Unsigned integers as compressed byte planes, high planes of zeros left out."""
     planes = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8).T
     used = 8
     while used > 1 and not planes[used - 1].any():
         used -= 1
-    return bytes([used]) + np.ascontiguousarray(planes[:used]).tobytes()
+    body = np.ascontiguousarray(planes[:used])
+    return bytes([used]) + len(values).to_bytes(4, "little") + _CODEC.compress(body, asbytes=True)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    used, body = data[0], np.frombuffer(data, np.uint8, offset=1)
-    out = np.zeros((len(body) // used, 8), np.uint8)
-    out[:, :used] = body.reshape(used, -1).T
+    used, n = data[0], int.from_bytes(data[1:5], "little")
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :used] = np.frombuffer(_CODEC.decompress(data[5:], n * used), np.uint8).reshape(used, n).T
     return out.reshape(-1).view("<u8")
 
 
+def packed_flags(flags: np.ndarray) -> bytes:
+    return len(flags).to_bytes(4, "little") + np.packbits(flags).tobytes()
+
+
+def unpacked_flags(data: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8, offset=4), count=int.from_bytes(data[:4], "little"))
+
+
 def steps(values: np.ndarray) -> np.ndarray:
     out = values.copy()
     out[1:] -= values[:-1]
@@ -70,7 +80,7 @@ class Rows:
             part = order[a:b]
             present, local = np.unique(owner[part], return_inverse=True)
             values = (int(bucket[a]), np.stack([ids[present], texts[present]]).tobytes(), packed(steps(hashes[a:b])),
-                      packed(extra[part]), packed(local), packed(place[part]) if place is not None else None)
+                      (packed_flags if extra.dtype == bool else packed)(extra[part]), packed(local), packed(place[part]) if place is not None else None)
             for column, value in zip(columns, values):
                 column.append(value)
         return pa.RecordBatch.from_arrays(
@@ -78,12 +88,12 @@ class Rows:
             names=["bucket", "owners", "hashes", "extra", "owner", "place"])
 
 
-def _bucket(table: pa.Table):
+def _bucket(table: pa.Table, flags: bool):
     """All entries of a bucket: hashes, extra, ids, text hashes, owner numbers, places."""
     parts, base = [], 0
     for row in table.select(["owners", "hashes", "extra", "owner", "place"]).to_pylist():
         owners = np.frombuffer(row["owners"], np.int64).reshape(2, -1)
-        parts.append((np.cumsum(unpacked(row["hashes"]), dtype=U64), unpacked(row["extra"]), owners,
+        parts.append((np.cumsum(unpacked(row["hashes"]), dtype=U64), (unpacked_flags if flags else unpacked)(row["extra"]), owners,
                       unpacked(row["owner"]).astype(np.int64) + base,
                       unpacked(row["place"]) if row["place"] is not None else None))
         base += owners.shape[1]
@@ -94,7 +104,7 @@ def _bucket(table: pa.Table):
 
 
 def _by_owner(owners: np.ndarray, owner: np.ndarray, values: np.ndarray, width: str) -> pa.Table:
-    """(doc_id, text_hash, found): the values of each owner as bytes."""
+    """(key_id, text_hash, found): the values of each owner as bytes."""
     order = np.argsort(owner, kind="stable")
     owner, values = owner[order], values[order].astype(width)
     cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, int)
@@ -102,10 +112,10 @@ def _by_owner(owners: np.ndarray, owner: np.ndarray, values: np.ndarray, width:
     found = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [
         None, pa.py_buffer((cuts * size).astype(np.int64).tobytes()), pa.py_buffer(values.tobytes())]).cast(pa.binary())
     who = owner[cuts[:-1]]
-    return pa.table({"doc_id": pa.array(owners[0][who]), "text_hash": pa.array(owners[1][who]), "found": found})
+    return pa.table({"key_id": pa.array(owners[0][who]), "text_hash": pa.array(owners[1][who]), "found": found})
 
 
-FOUND = "doc_id long, text_hash long, found binary"
+FOUND = "key_id long, text_hash long, found binary"
 
 
 def anchors(rows: DataFrame, buckets: int) -> DataFrame:
@@ -113,17 +123,17 @@ def anchors(rows: DataFrame, buckets: int) -> DataFrame:
     probes, and probes that hit a block of a text with a smaller id."""
 
     def emit(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "body"):
             words = Words(batch.column(2))
             hashes, valid = words.windows(BLOCK)
             at = np.flatnonzero(valid)
             owner = np.repeat(np.arange(batch.num_rows), words.count)[at]
             block = (at - words.first[owner]) % BLOCK == 0
             yield Rows(buckets).batch(batch.column(0).to_numpy(), batch.column(1).to_numpy(), hashes[at] >> U64(16), 48,
-                                      block.astype(U64), owner, None)
+                                      block, owner, None)
 
     def match(table: pa.Table) -> pa.Table:
-        hashes, block, owners, owner, _ = _bucket(table)
+        hashes, block, owners, owner, _ = _bucket(table, flags=True)
         ids, block = owners[0][owner], block.astype(bool)
         index, at = np.unique(hashes[block], return_inverse=True)
         if not len(index):
@@ -145,7 +155,7 @@ def repeats(rows: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
     smaller id; ``found``: the texts' anchors."""
 
     def emit(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "body"):
             words = Words(batch.column(2))
             hashes, valid = words.windows(BLOCK)
             owner = np.repeat(np.arange(batch.num_rows), words.count)
@@ -168,7 +178,7 @@ def repeats(rows: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
                                       second[at] >> U64(32), owner[at], at - words.first[owner[at]])
 
     def match(table: pa.Table) -> pa.Table:
-        hashes, extra, owners, owner, places = _bucket(table)
+        hashes, extra, owners, owner, places = _bucket(table, flags=False)
         ids = owners[0][owner]
         order = np.lexsort((ids, extra, hashes))
         hashes, extra, ids, owner, places = (x[order] for x in (hashes, extra, ids, owner, places))
@@ -177,13 +187,13 @@ def repeats(rows: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
         later = ids > least
         return _by_owner(owners, owner[later], places[later], "<u4")
 
-    joined = rows.join(found.groupBy("doc_id", "text_hash").agg(F.collect_list("found").alias("found")),
-                       ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "found")
+    joined = rows.join(found.groupBy("key_id", "text_hash").agg(F.collect_list("found").alias("found")),
+                       ["key_id", "text_hash"]).select("key_id", "text_hash", "body", "found")
     return joined.mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(match, FOUND)
 
 
 def _kept(batches):
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "body"):
         words = Words(batch.column(1))
         n = len(words.start)
         cover = np.zeros(n + 1, np.int64)
@@ -219,10 +229,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("text"))
-    named = rows.where("doc_id IS NOT NULL")
-    cut = repeats(named, anchors(named, buckets), buckets).groupBy("doc_id", "text_hash").agg(
+    # the texts are joined twice; names of their own keep both plans alike, so that Spark shuffles them once
+    rows = docs.select(F.col(id_col).cast("long").alias("key_id"),
+                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("body"))
+    named = rows.where("key_id IS NOT NULL")
+    cut = repeats(named, anchors(named, buckets), buckets).groupBy("key_id", "text_hash").agg(
         F.collect_list("found").alias("found"))
-    return rows.join(cut, ["doc_id", "text_hash"], "left").select("doc_id", "text", "found").mapInArrow(
+    joined = named.join(cut, ["key_id", "text_hash"], "left").select("key_id", "body", "found")
+    unnamed = rows.where("key_id IS NULL").select("key_id", "body", F.lit(None).cast("array<binary>").alias("found"))
+    return joined.unionByName(unnamed).mapInArrow(
         _kept, "doc_id long, n_words long, n_removed long, kept_text string")
