@@ -61,31 +61,50 @@ SPELLINGS = [("licence", "license"), ("licences", "licenses"), ("licenced", "lic
 COPYRIGHT_LINE = r"\n[ \t]*(copyright|\(c\)|©)[^\n]*"
 
 
+def plain(text: Column) -> Column:
+    """Lower case without copyright lines, everything but letters, digits and
+    line ends as single spaces. Starts with a line end."""
+    kept = F.regexp_replace(F.concat(F.lit("\n"), F.lower(text)), COPYRIGHT_LINE, "\n ")
+    return F.regexp_replace(kept, r"[^\p{L}\p{N}\n]+", " ")
+
+
+def unified(unit: Column) -> Column:
+    """A plain line with equivalent spellings unified."""
+    unit = F.concat(F.lit(" "), F.trim(unit), F.lit(" "))
+    for variant, kept in SPELLINGS:
+        unit = F.replace(unit, F.lit(f" {variant} "), F.lit(f" {kept} "))
+    return F.trim(unit)
+
+
+def one_line(unit: Column) -> Column:
+    return F.regexp_replace(unit, "[ \n]+", " ")
+
+
 def canonical(text: Column) -> Column:
     """The canonical form; empty if nothing but copyright lines and punctuation is left."""
-    plain = F.regexp_replace(F.concat(F.lit("\n"), F.lower(text)), COPYRIGHT_LINE, "\n ")
-    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-    for variant, kept in SPELLINGS:
-        plain = F.replace(plain, F.lit(f" {variant} "), F.lit(f" {kept} "))
-    return F.trim(plain)
+    return unified(one_line(plain(text)))
+
+
+def first_word(unit: Column) -> Column:
+    return F.regexp_extract(unit, "[^ \\n]+", 0)
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """``licence, digest`` of the known texts; as many rows as are given."""
+    """``licence, digest, first`` (its first word) of the known texts; as many rows as are given."""
     given = literal_table(spark, known, "licence string, text string")
-    return given.select("licence", F.sha2(canonical(F.col("text")), 256).alias("digest")).distinct()
-
+    return given.select("licence", canonical(F.col("text")).alias("form")).select(
+        "licence", F.sha2("form", 256).alias("digest"), first_word(F.col("form")).alias("first")).distinct()
 
-def units(text: Column) -> Column:
-    """(kind, unit) structs of a text: the whole, its paragraphs, its lines."""
-    text = F.coalesce(text, F.lit(""))
 
+def units(text: Column, form: Column) -> Column:
+    """(kind, unit) structs of a text, given with its plain form: the whole,
+    its paragraphs, its lines."""
     def of(kind, parts):
         return F.transform(parts, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("unit")))
 
-    return F.concat(of("whole", F.array(text)), of("paragraph", F.when(
-        F.contains(text, F.lit("\n\n")), F.split(text, "\n\n+")).otherwise(F.array().cast("array<string>"))),
-        of("line", F.split(text, "\n")))
+    paragraphs = F.when(F.contains(text, F.lit("\n\n")), F.split(form, "\n\n+")).otherwise(F.array().cast("array<string>"))
+    return F.concat(of("whole", F.array(form)), of("paragraph", paragraphs),
+                    of("line", F.split(F.substring(form, 2, 2**31 - 1), "\n")))
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,8 +120,14 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("row", F.sha2(F.to_json(F.struct("doc_id", F.xxhash64("text").alias("x"), F.length("text").alias("n"))), 256))
-    each = rows.select("row", F.explode(units(F.col("text"))).alias("u")).select("row", "u.kind", canonical(F.col("u.unit")).alias("form"))
-    hits = each.where("form <> ''").select("row", "kind", F.sha2("form", 256).alias("digest")).join(F.broadcast(known), "digest")
+    each = rows.select("row", "text", plain(F.coalesce("text", F.lit(""))).alias("form")).select(
+        "row", F.explode(units(F.coalesce("text", F.lit("")), F.col("form"))).alias("u")).select("row", "u.kind", "u.unit")
+    # a unit equal to a known text begins with its first word, or with a spelling that may become it
+    begins = known.select("first").union(literal_table(
+        docs.sparkSession, sorted({(variant.split()[0],) for variant, _ in SPELLINGS}), "first string")).distinct()
+    some = each.withColumn("first", first_word(F.col("unit"))).join(F.broadcast(begins), "first", "left_semi")
+    hits = some.select("row", "kind", F.sha2(unified(one_line(F.col("unit"))), 256).alias("digest")).join(
+        F.broadcast(known.select("licence", "digest")), "digest")
     # a repeated row finds its units as often as it occurs: count them once
     found = hits.groupBy("row").agg(
         F.min(F.when(F.col("kind") == "whole", F.col("licence"))).alias("whole_licence"),
