@@ -103,19 +103,46 @@ def _bucket(table: pa.Table, flags: bool):
     return hashes, extra, owners, owner, places
 
 
-def _by_owner(owners: np.ndarray, owner: np.ndarray, values: np.ndarray, width: str) -> pa.Table:
-    """(key_id, text_hash, found): the values of each owner as bytes."""
+FOUND = "key_id long, text_hash long, found binary"
+GROUPED = "part int, owners binary, found binary, owner binary"
+
+
+def _by_part(owners: np.ndarray, owner: np.ndarray, values: np.ndarray, parts: int) -> pa.Table:
+    """What a bucket found, as one packed row per part of the texts."""
+    part = (owners[1] % parts)[owner]
+    order = np.argsort(part, kind="stable")
+    part, owner, values = part[order], owner[order], values[order].astype(U64)
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, int)
+    columns = [[], [], [], []]
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        present, local = np.unique(owner[a:b], return_inverse=True)
+        for column, value in zip(columns, (int(part[a]), owners[:, present].tobytes(), packed(values[a:b]), packed(local))):
+            column.append(value)
+    return pa.table([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+                    names=["part", "owners", "found", "owner"])
+
+
+def _by_text(table: pa.Table) -> pa.Table:
+    """(key_id, text_hash, found): all that the buckets found in each text of a part."""
+    owners, owner, values, base = [], [], [], 0
+    for row in table.select(["owners", "found", "owner"]).to_pylist():
+        owners.append(np.frombuffer(row["owners"], np.int64).reshape(2, -1))
+        owner.append(unpacked(row["owner"]).astype(np.int64) + base)
+        values.append(unpacked(row["found"]))
+        base += owners[-1].shape[1]
+    owners, owner, values = np.concatenate(owners, axis=1), np.concatenate(owner), np.concatenate(values)
+    texts, same = np.unique(owners, axis=1, return_inverse=True)
+    owner = same.reshape(-1)[owner]
     order = np.argsort(owner, kind="stable")
-    owner, values = owner[order], values[order].astype(width)
-    cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, int)
-    size = np.dtype(width).itemsize
-    found = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [
-        None, pa.py_buffer((cuts * size).astype(np.int64).tobytes()), pa.py_buffer(values.tobytes())]).cast(pa.binary())
+    owner, values = owner[order], values[order]
+    cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
     who = owner[cuts[:-1]]
-    return pa.table({"key_id": pa.array(owners[0][who]), "text_hash": pa.array(owners[1][who]), "found": found})
+    found = [values[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+    return pa.table({"key_id": pa.array(texts[0][who]), "text_hash": pa.array(texts[1][who]), "found": pa.array(found, pa.binary())})
 
 
-FOUND = "key_id long, text_hash long, found binary"
+def _gathered(grouped: DataFrame) -> DataFrame:
+    return grouped.groupBy("part").applyInArrow(_by_text, FOUND)
 
 
 def anchors(rows: DataFrame, buckets: int) -> DataFrame:
@@ -137,7 +164,7 @@ def anchors(rows: DataFrame, buckets: int) -> DataFrame:
         ids, block = owners[0][owner], block.astype(bool)
         index, at = np.unique(hashes[block], return_inverse=True)
         if not len(index):
-            return _by_owner(owners, owner[:0], hashes[:0], "<u8")
+            return _by_part(owners, owner[:0], hashes[:0], buckets)
         least = np.full(len(index), np.iinfo(np.int64).max)
         np.minimum.at(least, at, ids[block])
         slot = np.minimum(np.searchsorted(index, hashes), len(index) - 1)
@@ -145,9 +172,9 @@ def anchors(rows: DataFrame, buckets: int) -> DataFrame:
         most = np.full(len(index), np.iinfo(np.int64).min)
         np.maximum.at(most, slot[known], ids[known])
         hit = known & ((least[slot] < ids) | (block & (most[slot] > ids)))
-        return _by_owner(owners, owner[hit], hashes[hit], "<u8")
+        return _by_part(owners, owner[hit], hashes[hit], buckets)
 
-    return rows.mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(match, FOUND)
+    return _gathered(rows.mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(match, GROUPED))
 
 
 def repeats(rows: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
@@ -159,7 +186,7 @@ def repeats(rows: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
             words = Words(batch.column(2))
             hashes, valid = words.windows(BLOCK)
             owner = np.repeat(np.arange(batch.num_rows), words.count)
-            own = [np.frombuffer(b"".join(x or ()), "<u8") for x in batch.column(3).to_pylist()]
+            own = [np.frombuffer(x or b"", "<u8") for x in batch.column(3).to_pylist()]
             salt = np.arange(batch.num_rows, dtype=U64) * U64(0x9E3779B97F4A7C15)
             wanted = np.unique(mix(np.concatenate(own) ^ np.repeat(salt, [len(x) for x in own])))
             if not len(wanted):
@@ -185,11 +212,10 @@ def repeats(rows: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
         start = np.r_[True, (hashes[1:] != hashes[:-1]) | (extra[1:] != extra[:-1])]
         least = ids[np.flatnonzero(start)[np.cumsum(start) - 1]]
         later = ids > least
-        return _by_owner(owners, owner[later], places[later], "<u4")
+        return _by_part(owners, owner[later], places[later], buckets)
 
-    joined = rows.join(found.groupBy("key_id", "text_hash").agg(F.collect_list("found").alias("found")),
-                       ["key_id", "text_hash"]).select("key_id", "text_hash", "body", "found")
-    return joined.mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(match, FOUND)
+    joined = rows.join(found, ["key_id", "text_hash"]).select("key_id", "text_hash", "body", "found")
+    return _gathered(joined.mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(match, GROUPED))
 
 
 def _kept(batches):
@@ -197,7 +223,7 @@ def _kept(batches):
         words = Words(batch.column(1))
         n = len(words.start)
         cover = np.zeros(n + 1, np.int64)
-        places = [np.frombuffer(b"".join(x or ()), "<u4") for x in batch.column(2).to_pylist()]
+        places = [np.frombuffer(x or b"", "<u8") for x in batch.column(2).to_pylist()]
         at = np.concatenate(places).astype(np.int64) + np.repeat(words.first[:-1], [len(x) for x in places])
         np.add.at(cover, at, 1)
         np.add.at(cover, at + WINDOW, -1)
@@ -233,9 +259,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("long").alias("key_id"),
                        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("body"))
     named = rows.where("key_id IS NOT NULL")
-    cut = repeats(named, anchors(named, buckets), buckets).groupBy("key_id", "text_hash").agg(
-        F.collect_list("found").alias("found"))
+    cut = repeats(named, anchors(named, buckets), buckets)
     joined = named.join(cut, ["key_id", "text_hash"], "left").select("key_id", "body", "found")
-    unnamed = rows.where("key_id IS NULL").select("key_id", "body", F.lit(None).cast("array<binary>").alias("found"))
+    unnamed = rows.where("key_id IS NULL").select("key_id", "body", F.lit(None).cast("binary").alias("found"))
     return joined.unionByName(unnamed).mapInArrow(
         _kept, "doc_id long, n_words long, n_removed long, kept_text string")
