@@ -12,8 +12,12 @@ size is a limit. Every link is confirmed on the full shingle sets.
 
 Recall: a pair at the similarity threshold shares a selected token in one tree
 with probability 1 - exp(-BRANCH * 0.75) = 0.85, in one of ``TREES`` with more
-than 0.9999. Nodes beyond ``LEAF`` branch by ``DEEPER``, the inverse of the
-threshold, so a dense node has about as many rows on each level.
+than 0.9999. Nodes beyond ``LEAF`` branch by ``DEEPER``: such a pair shares
+``DEEPER * 0.75`` = 2.25 children of each on average, well over one, so the
+nodes it shares do not die out from level to level. A pair whose shared nodes
+all stay large is lost with probability exp(-TREES * BRANCH * 0.75 * 0.85),
+under 1e-4, however deep. The price is up to ``DEEPER`` times the rows on each
+level of a dense node.
 
 Only connectivity is wanted, and pairs never leave a task: first the best
 spanning forest of every node is confirmed; then, in nodes that the forests
@@ -37,7 +41,7 @@ from cohortwise.llm.kernels import U64, Words, mix, per_text_unique, slices, tex
 from cohortwise.llm.storage import written
 
 SHINGLE = 5
-TOKENS, TREES, BRANCH, DEEPER = 128, 6, 2.5, 4 / 3
+TOKENS, TREES, BRANCH, DEEPER = 128, 6, 2.5, 3.0
 LEAF, DEPTH = 4096, 4
 #: Share of equal tokens from which a pair is confirmed; 0.75 lies four standard deviations above.
 ESTIMATE = 0.60

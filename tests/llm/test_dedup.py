@@ -122,6 +122,27 @@ def test_near_large_nodes_branch_and_fall_back(spark, monkeypatch):
     assert got == want
 
 
+def test_near_threshold_pairs_survive_large_nodes():
+    """Isolated pairs at similarity 0.75 whose nodes are large on every level still share one."""
+    import pyarrow as pa
+
+    n = 1500
+    texts = [" ".join([f"p{i}c{k}" for k in range(64)] + [f"p{i}{side}{k}" for k in range(10)]) for i in range(n) for side in "ab"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2 * n)), pa.array(texts)], names=["_id", "_text"])
+    paths, tokens = [], []
+    for out in near_dedup._signatures([batch]):
+        paths += out.column(4).to_pylist()
+        tokens += out.column(3).to_pylist()
+    rows = {(node, i) for i, own in enumerate(paths) for node in own}
+    for _ in range(near_dedup.DEPTH + 1):
+        rows = sorted((node, i) for node, i in rows if (node, i ^ 1) in rows)
+        assert n - len({i // 2 for _, i in rows}) <= 1
+        ids = pa.array([i for _, i in rows])
+        level = pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows]), ids, ids, pa.array([tokens[i] for _, i in rows])],
+                                           names=["node", "rep", "comp", "tokens"])
+        rows = {x for out in near_dedup._branched([level]) for x in zip(out.column(0).to_pylist(), out.column(1).to_pylist())}
+
+
 def test_near_on_corpus(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     want = near_brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
