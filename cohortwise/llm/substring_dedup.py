@@ -108,8 +108,9 @@ GROUPED = "part int, owners binary, found binary, owner binary"
 
 
 def _by_part(owners: np.ndarray, owner: np.ndarray, values: np.ndarray, parts: int) -> pa.Table:
-    """What a bucket found, as one packed row per part of the texts."""
-    part = (owners[1] % parts)[owner]
+    """What a bucket found, as one packed row per part of the texts; copies of
+    a text differ in their ids, so they spread over the parts."""
+    part = (mix(owners[1].view(U64) ^ mix(owners[0].view(U64))) % U64(parts))[owner]
     order = np.argsort(part, kind="stable")
     part, owner, values = part[order], owner[order], values[order].astype(U64)
     cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, int)

@@ -207,6 +207,16 @@ def test_packing_round_trip():
         assert (substring_dedup.unpacked(substring_dedup.packed(x)) == x).all()
 
 
+def test_copies_of_a_text_spread_over_the_parts():
+    import numpy as np
+
+    n = 4000
+    owners = np.stack([np.arange(n), np.full(n, -12345)])
+    rows = substring_dedup._by_part(owners, np.arange(n), np.arange(n), 16).to_pylist()
+    sizes = [len(substring_dedup.unpacked(r["found"])) for r in rows]
+    assert len({r["part"] for r in rows}) == 16 and sum(sizes) == n and max(sizes) < 2 * n / 16
+
+
 def test_spark_only_moves_bounded_groups(spark):
     """A group of equal texts leaves the first stage in at most ``SALTS`` rows a task."""
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("all the same").alias("text")).repartition(2)
