@@ -59,12 +59,22 @@ SPELLINGS = [("licence", "license"), ("licences", "licenses"), ("licenced", "lic
              ("copyright owner", "copyright holder"), ("copyright owners", "copyright holders"), ("per cent", "percent"),
              ("https", "http"), ("v2 0", "version 2 0"), ("v3", "version 3")]
 COPYRIGHT_LINE = r"\n[ \t]*(copyright|\(c\)|©)[^\n]*"
+# A notice names a year, a sign or a holder; a body line that happens to be wrapped before "copyright notice" is none.
+_BODY = r"(?![ \t,]+(?:notices?|holders?|owners?|licen[cs]es?|statements?|laws?|patents?|and|or)\b)"
+NOTICE_LINE = rf"\n[ \t]*(?:copyright\b(?![ \t]*(?:\n|$)){_BODY}|\(c\){_BODY}|©)[^\n]*"
+# Title lines of the standard files.
+TITLES = {"MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+          "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"]}
+
+
+def unix_lines(text: Column) -> Column:
+    return F.replace(text, F.lit("\r\n"), F.lit("\n"))
 
 
 def plain(text: Column) -> Column:
-    """Lower case without copyright lines, everything but letters, digits and
+    """Lower case without copyright notices, everything but letters, digits and
     line ends as single spaces. Starts with a line end."""
-    kept = F.regexp_replace(F.concat(F.lit("\n"), F.lower(text)), COPYRIGHT_LINE, "\n ")
+    kept = F.regexp_replace(F.concat(F.lit("\n"), F.lower(unix_lines(text))), NOTICE_LINE, "\n ")
     return F.regexp_replace(kept, r"[^\p{L}\p{N}\n]+", " ")
 
 
@@ -90,8 +100,9 @@ def first_word(unit: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """``licence, digest, first`` (its first word) of the known texts; as many rows as are given."""
-    given = literal_table(spark, known, "licence string, text string")
+    """``licence, digest, first`` (its first word) of the known texts, full texts also under their titles."""
+    titled = [(i, f"{title}\n\n{t}") for i, t in known if "\n\n" in t for title in TITLES.get(i, [])]
+    given = literal_table(spark, known + titled, "licence string, text string")
     return given.select("licence", canonical(F.col("text")).alias("form")).select(
         "licence", F.sha2("form", 256).alias("digest"), first_word(F.col("form")).alias("first")).distinct()
 
@@ -121,7 +132,7 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("row", F.sha2(F.to_json(F.struct("doc_id", F.xxhash64("text").alias("x"), F.length("text").alias("n"))), 256))
     each = rows.select("row", "text", plain(F.coalesce("text", F.lit(""))).alias("form")).select(
-        "row", F.explode(units(F.coalesce("text", F.lit("")), F.col("form"))).alias("u")).select("row", "u.kind", "u.unit")
+        "row", F.explode(units(unix_lines(F.coalesce("text", F.lit(""))), F.col("form"))).alias("u")).select("row", "u.kind", "u.unit")
     # a unit equal to a known text begins with its first word, or with a spelling that may become it
     begins = known.select("first").union(literal_table(
         docs.sparkSession, sorted({(variant.split()[0],) for variant, _ in SPELLINGS}), "first string")).distinct()

@@ -148,6 +148,32 @@ def test_licences(spark, edges, nothing):
     assert licences.scan(edges, known).count() == len(EDGES) and licences.scan(nothing, known).count() == 0
 
 
+def test_licences_as_published(spark):
+    isc = """ISC License
+
+Copyright (c) 2020, Some Body
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+    mit = licences.KNOWN[0][1].replace("\n\n", "\0").replace("\n", " ").replace("\0", "\n\n")
+    wrapped = mit.replace("above copyright", "above\ncopyright").replace("OR COPYRIGHT HOLDERS", "OR\nCOPYRIGHT HOLDERS")
+    docs = spark.createDataFrame([
+        (1, isc), (2, isc.replace("\n", "\r\n")), (3, isc.split("\n", 2)[2]), (4, "MIT License\n\nCopyright 2021 A B\n\n" + wrapped),
+        (5, "© A B\n" + wrapped), (6, "MIT License"), (7, "(c) A B\n\nother\n" + wrapped)], "doc_id long, text string")
+    got = {r.doc_id: r.whole_licence for r in licences.scan(docs, licences.known_digests(spark)).collect()}
+    assert got == {1: "ISC", 2: "ISC", 3: "ISC", 4: "MIT", 5: "MIT", 6: None, 7: None}
+
+
 def test_mixing_meets_marginals(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(["w"] * rng.randrange(5, 40)) + rng.choice(("", " a@b", " | x")), rng.choice("aab"), rng.choice(["en", "de"]))
