@@ -35,6 +35,7 @@ BOILERPLATE_NAMES = frozenset("""ad ads adv advert adverts advertisement adverti
 BOILERPLATE_ROLES = frozenset("navigation banner complementary contentinfo search dialog alert alertdialog form menu menubar".split())
 PARAGRAPHS = frozenset("p pre blockquote td dd figcaption".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+SECTIONS = frozenset("section ul ol dl table".split())
 #: Elements that a start tag of this kind ends, up to the nearest container.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
         "option": {"option"}}
@@ -48,17 +49,17 @@ WHITE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "points", "length", "linked", "content")
+    __slots__ = ("tag", "parent", "children", "cut", "points", "length", "linked", "content", "named")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool = False, content: bool = False):
         self.tag, self.parent, self.children = tag, parent, []
-        self.cut, self.content = cut, content  # boilerplate; named as an article's body
+        self.cut, self.content, self.named = cut, content, False  # boilerplate; named as an article's body; as boilerplate
         self.points, self.length, self.linked = 0.0, 0, 0
 
 
-def _named(tag: str, attributes: str) -> tuple[bool, bool]:
-    """(boilerplate, content) by the attributes of a start tag."""
-    cut = content = False
+def _named(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """(boilerplate, boilerplate by class or id alone, content) by the attributes of a start tag."""
+    cut = content = named = False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "role":
@@ -73,8 +74,9 @@ def _named(tag: str, attributes: str) -> tuple[bool, bool]:
         elif name == "style":
             cut |= "display:none" in value.replace(" ", "").lower()
         else:
-            cut |= any(w.lower() in BOILERPLATE_NAMES for w in WORDS.findall(value))
-    return (cut and tag not in ("html", "body", "article", "main")), content
+            named |= any(w.lower() in BOILERPLATE_NAMES for w in WORDS.findall(value))
+    free = tag in ("html", "body", "article", "main")
+    return cut and not free, named and not free and not content, content
 
 
 def parse(page: str) -> Node:
@@ -138,8 +140,9 @@ def parse(page: str) -> Node:
 
 
 def _opened(parent: Node, tag: str, attributes: str) -> Node:
-    cut, content = _named(tag, attributes) if attributes else (False, False)
+    cut, named, content = _named(tag, attributes) if attributes else (False, False, False)
     child = Node(tag, parent, cut or tag in BOILERPLATE, content or tag in ("article", "main"))
+    child.named = named
     parent.children.append(child)
     return child
 
@@ -150,9 +153,42 @@ def _ancestors(node: Node):
         yield node
 
 
+def _cut_by_name(root: Node) -> None:
+    """Cuts the elements with a boilerplate name, but not what is around the
+    content: the longest article or main if none stands free of such names, or
+    more than half of the text of a page without one."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, Node) and not node.cut:
+            order.append(node)
+            stack.extend(reversed(node.children))
+    place = {id(x): i for i, x in enumerate(order)}
+    end, text, above, linked = list(range(1, len(order) + 1)), [0] * len(order), [0] * len(order), [False] * len(order)
+    for i, node in enumerate(order):
+        up = place.get(id(node.parent), i)
+        linked[i] = linked[up] or node.tag == "a"
+        above[i] = (above[up] if up != i else 0) + node.named
+        if not linked[i]:
+            text[i] = sum(len(x.strip()) for x in node.children if isinstance(x, str))
+    for i in range(len(order) - 1, 0, -1):
+        up = place[id(order[i].parent)]
+        end[up], text[up] = max(end[up], end[i]), text[up] + text[i]
+    articles = [i for i, x in enumerate(order) if x.content]
+    longest = max(articles, key=lambda i: text[i], default=-1)
+    enclosed = all(above[i] for i in articles)
+    cut_to = 0
+    for i, node in enumerate(order):
+        if not node.named or i < cut_to:
+            continue
+        if not (enclosed and i < longest < end[i] if articles else 2 * text[i] > text[0]):
+            node.cut, cut_to = True, end[i]
+
+
 def _prepared(root: Node) -> list[Node]:
     """Elements in page order, boilerplate left out, with the length of their
     text and of the part of it in links."""
+    _cut_by_name(root)
     order, stack = [], [(root, False, False)]
     while stack:
         node, linked, in_article = stack.pop()
@@ -208,7 +244,7 @@ def article_nodes(root: Node) -> list[Node]:
             kept.append(sibling)
         elif isinstance(sibling, Node) and not sibling.cut and sibling.length and (
                 sibling.points * (1 - _density(sibling)) >= least
-                or sibling.tag in PARAGRAPHS | HEADINGS and _density(sibling) < 0.25 and around is None):
+                or sibling.tag in PARAGRAPHS | HEADINGS | SECTIONS and _density(sibling) < 0.25 and around is None):
             kept.append(sibling)
     return kept
 

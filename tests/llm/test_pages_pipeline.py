@@ -59,6 +59,23 @@ def test_html_article():
         "Third para is here, long enough, to count as, content."]
 
 
+def test_html_wrappers_with_boilerplate_names():
+    text = "".join(f"<p>Sentence {i} of the text, which is long enough, to count.</p>" for i in range(4))
+    want = [f"Sentence {i} of the text, which is long enough, to count." for i in range(4)]
+    around = '<div class="sidebar"><p>Side, text.</p></div>'
+    comment = '<div class="comments"><article><p>Great, so great, really.</p></article></div>'
+    for name in ('class="layout with-sidebar"', 'id="page" class="header-fixed"', 'class="legal content"'):
+        for page in (f"<div {name}><article>{text}</article>{comment}{around}</div>", f"{comment}<div {name}><article>{text}</article></div>",
+                     f"<div {name}>{around}<div>{text}</div></div>", f"{around}<div {name}>{text}</div>"):
+            assert html_text.main_text(f"<body>{page}</body>").split("\n") == want, page
+
+
+def test_html_short_sections_and_lists_stay():
+    text = "".join(f"<p>Sentence {i} of the text, which is long enough, to count, and more.</p>" for i in range(9))
+    page = f"<body><section>{text}</section><section><p>Short end.</p></section><ul><li>one</li><li>two</li></ul><div class=ad>Buy</div></body>"
+    assert html_text.main_text(page).split("\n")[9:] == ["Short end.", "one", "two"]
+
+
 def test_html_corpus_articles(spark):
     """The corpus marks its articles: what is read equals the marked part."""
     import html as entities
