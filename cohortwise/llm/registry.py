@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.llm import (bpe, exact_dedup, html_text, licences, mixing, near_dedup, quality_classifier, quality_rules,
-                            substring_dedup, warc)
+from cohortwise.llm import (bpe, exact_dedup, fill_middle, html_text, licences, mixing, near_dedup, quality_classifier, quality_rules,
+                            sharding, substring_dedup, warc)
 from cohortwise.llm.shipping import ship
 from cohortwise.llm.storage import scratch, written
 
@@ -124,3 +124,15 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_licence_scan", licences.oracle_sql())
 def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"), licences.known_digests(spark))
+
+
+@query("op12_fill_middle", fill_middle.oracle_sql())
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_middle.transform(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("fim_text", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("form"), F.col("fim_text")), 256).alias("restored_sha256"))
+
+
+@query("op13_sharding", sharding.oracle_sql())
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.documents(table(spark, sf_dir, "documents"))
