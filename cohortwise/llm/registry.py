@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwise.llm import (bpe, exact_dedup, fill_middle, html_text, licences, mixing, near_dedup, quality_classifier, quality_rules,
-                            sharding, substring_dedup, warc)
+from cohortwise.llm import (bpe, exact_dedup, fill_middle, hard_negatives, html_text, licences, mixing, near_dedup,
+                            quality_classifier, quality_rules, sharding, substring_dedup, warc)
 from cohortwise.llm.shipping import ship
 from cohortwise.llm.storage import scratch, written
 
@@ -126,6 +126,13 @@ def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"), licences.known_digests(spark))
 
 
+@query("op11_hard_negatives", hard_negatives.oracle_sql())
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.select("vec_id", moved.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
+
+
 @query("op12_fill_middle", fill_middle.oracle_sql())
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = fill_middle.transform(table(spark, sf_dir, "documents"))

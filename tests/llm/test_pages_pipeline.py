@@ -113,7 +113,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in registry.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in registry.QUERIES}
     assert set(registry.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
