@@ -5,6 +5,10 @@
 * snapshots — partitioned by ``snapshot_date``; a rerun of a day replaces only
               that day (dynamic partition overwrite), so daily writes are
               idempotent; ``keep_recent`` enforces the retention policy
+* snapshot runs — the snapshots of all days as one row per customer and status
+              run, partitioned by the month in which the run ends; a day is read
+              back by ``read_snapshot_days``, ``expire_runs`` drops what ended
+              before the days to keep
 * cohorts   — partitioned by ``cohort_month``; a write replaces the whole table
 * distribution — status counts per day (tiny), what the alert reads
 * risk      — partitioned by ``snapshot_date`` like the snapshots
@@ -62,6 +66,36 @@ def read_snapshot(spark: SparkSession, path: str, start=None, end=None) -> DataF
     return df
 
 
+#: Partition of the runs that have not ended.
+OPEN_MONTH = _dt.date(9999, 12, 1)
+
+
+def write_snapshot_runs(runs: DataFrame, path: str) -> None:
+    """SNK2 as intervals — ``customer_id, last_order_date, retention_status,
+    from_day, to_day`` (see ``operators.runs.status_runs``); replaces the table.
+    Rows grow with order days, not with customers x days."""
+    ended = F.coalesce(month_start("to_day"), F.lit(OPEN_MONTH))
+    _partitioned(runs.withColumn("ended_month", ended), "ended_month", "static").parquet(path)
+
+
+def read_snapshot_days(spark: SparkSession, path: str, days: list) -> DataFrame:
+    """SRC4 — the snapshots of some days off the run table: runs that ended in
+    an earlier month are pruned as partitions, later ones by ``from_day``."""
+    from cohortwise.operators.runs import as_of
+
+    wanted = [_as_date(d) for d in days]
+    runs = spark.read.parquet(path).where((F.col("ended_month") >= F.lit(min(wanted).replace(day=1)))
+                                          & (F.col("from_day") <= F.lit(max(wanted))))
+    return as_of(runs, wanted)
+
+
+def expire_runs(spark: SparkSession, path: str, reference_date, keep_days: int = 90) -> list[str]:
+    """X24 on the run table — drops the months of runs that all ended before
+    ``reference_date - keep_days``; days from there on read as before."""
+    cutoff = (_as_date(reference_date) - _dt.timedelta(days=int(keep_days))).replace(day=1)
+    return _drop_partitions(spark, path, "ended_month", cutoff)
+
+
 def write_distribution(distribution: DataFrame, path: str) -> None:
     """The daily status distribution (a few rows per day), partitioned by
     ``snapshot_date`` with dynamic overwrite: what the alert reads."""
@@ -97,19 +131,20 @@ def keep_recent(spark: SparkSession, path: str, reference_date, keep_days: int =
     """X24 — drop snapshot partitions older than ``reference_date - keep_days``.
     Works on partition directories (metadata only, no data is read);
     returns the removed partition values."""
-    cutoff = _as_date(reference_date) - _dt.timedelta(days=int(keep_days))
+    return _drop_partitions(spark, path, "snapshot_date", _as_date(reference_date) - _dt.timedelta(days=int(keep_days)))
+
+
+def _drop_partitions(spark: SparkSession, path: str, column: str, before: _dt.date) -> list[str]:
+    """Deletes the folders of a date partition column below ``before``."""
     jvm = spark.sparkContext._jvm
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
     root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     removed = []
-    if not fs.exists(root):
-        return removed
-    for st in fs.listStatus(root):
+    for st in fs.listStatus(root) if fs.exists(root) else []:
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("snapshot_date="):
+        if st.isDirectory() and name.startswith(f"{column}="):
             day = _dt.date.fromisoformat(name.split("=", 1)[1])
-            if day < cutoff:
+            if day < before:
                 fs.delete(st.getPath(), True)
                 removed.append(day.isoformat())
     return sorted(removed)
