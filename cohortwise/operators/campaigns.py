@@ -126,7 +126,7 @@ def score_trend(before: DataFrame, after: DataFrame, min_increase: int = 20) ->
 
 def alert_drilldown(alerts: DataFrame, orders: DataFrame | None, thresholds=None, statuses=("AT_RISK",),
                     intervals: DataFrame | None = None, by: list[str] | None = None, end=None,
-                    risk: DataFrame | None = None) -> DataFrame:
+                    risk: DataFrame | None = None, top: int | None = None) -> DataFrame:
     """X20 — the customers behind each flagged alert: customers of the alert's
     scope whose status on the alert date (as-of facts) is in ``statuses``,
     with revenue to date, ordered by alert date and revenue (desc).
@@ -134,7 +134,11 @@ def alert_drilldown(alerts: DataFrame, orders: DataFrame | None, thresholds=None
     ``by``: the scope keys of the alerts; ``intervals`` (with revenue and
     these keys) can be shared with the history behind the alerts, else they
     are built from ``orders`` up to ``end``. ``risk``: a risk table
-    (``customer_id, churn_risk_level``) whose level is added."""
+    (``customer_id, churn_risk_level``) whose level is added. ``top``: only so
+    many customers of each alert, by revenue (see ``top_of_alerts``).
+
+    The alerts are read as one value. Intervals that they and this share should
+    be a written table, so that orders are read once."""
     from cohortwise.config import StatusThresholds
     from cohortwise.operators.history import customer_status_on_dates, order_day_intervals
 
@@ -147,12 +151,43 @@ def alert_drilldown(alerts: DataFrame, orders: DataFrame | None, thresholds=None
         F.col("snapshot_date").alias("alert_date"), *keys, "severity", "customer_id", "last_order_date",
         "days_since_last_order", "retention_status", "total_revenue",
     )
+    if top is not None:
+        out = top_of_alerts(out, top, keys)
     if risk is not None:
         out = out.join(risk.select("customer_id", "churn_risk_level"), "customer_id", "left").select(
             *out.columns, "churn_risk_level")
     return out.orderBy("alert_date", *keys, F.desc("total_revenue"), "customer_id")
 
 
+def top_of_alerts(customers: DataFrame, k: int, by: list[str] | None = None) -> DataFrame:
+    """The ``k`` customers with most revenue behind each alert (``alert_date``
+    and ``by``), ties by ``customer_id``. Spark turns the rank limit into a
+    limit per task before the shuffle, so at most ``k`` rows per alert and task
+    move, and nothing is sorted globally. Null revenue comes last."""
+    from pyspark.sql.window import Window
+
+    order = Window.partitionBy("alert_date", *(by or [])).orderBy(F.desc_nulls_last("total_revenue"), "customer_id")
+    return customers.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= int(k)).drop("_rank")
+
+
+def alert_drilldown_from_runs(alerts: DataFrame, risk_runs: DataFrame, statuses=("AT_RISK",), top: int | None = None) -> DataFrame:
+    """X20 from a stored table of risk runs: the customers behind each flagged
+    (global) alert with status, revenue and risk level *of the alert's day*."""
+    from cohortwise.functions.dates import day_diff
+
+    # read as one value, at most one entry per calendar day
+    flagged = alerts.where(F.col("alert_flag")).agg(F.collect_set(F.struct("alert_date", "severity")).alias("flagged")).scalar()
+    runs = risk_runs.where(F.col("retention_status").isin(list(statuses))).withColumn("_flagged", flagged)
+    within = F.filter("_flagged", lambda a: (a["alert_date"] >= F.col("from_day")) & (
+        F.col("to_day").isNull() | (a["alert_date"] < F.col("to_day"))))
+    hits = runs.withColumn("_alert", F.explode(within))
+    out = hits.select(
+        "_alert.alert_date", "_alert.severity", "customer_id", "last_order_date",
+        day_diff("last_order_date", "_alert.alert_date").alias("days_since_last_order"), "retention_status", "total_revenue",
+        "churn_risk_score", "churn_risk_level")
+    return out if top is None else top_of_alerts(out, top)
+
+
 def targeted_conversion(targets: DataFrame, after: DataFrame, level: str = "LOW") -> DataFrame:
     """Outcome of a campaign: the exported list (``customer_id,
     churn_risk_level`` at the time) against a later risk table. One row per

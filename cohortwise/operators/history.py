@@ -114,29 +114,30 @@ def customer_status_on_dates(intervals: DataFrame, dates: DataFrame,
     is returned as ``total_revenue``). Other columns of ``dates`` are kept;
     ``by`` names those that the intervals have too and that must agree.
 
-    An equi-join on the month: an interval is listed under the months it
-    touches between the first and the last date, a date under its own."""
+    The dates come as one array (per scope ``by``: an equi-join on the scope),
+    at most a row per calendar day; each interval lists those that lie in it.
+    For all days of a long window, ``runs.daily_snapshots`` needs no dates."""
     from cohortwise.functions.dates import day_diff
     from cohortwise.operators.status import status_expr
 
     keys = list(by or [])
     keep = [c for c in dates.columns if c != "snapshot_date"]
-    side = dates.select(F.col("snapshot_date"), *[F.col(c).alias(f"_d_{c}") for c in keep],
-                        F.trunc("snapshot_date", "month").alias("_dm"))
-    span = dates.agg(F.struct(F.min("snapshot_date").alias("lo"), F.max("snapshot_date").alias("hi")).alias("span")).scalar()
-    iv = intervals.withColumn("_span", span)
-    low = F.greatest("o", "e", F.col("_span.lo"))
-    high = F.least(F.coalesce(F.date_sub("nx", 1), F.col("_span.hi")), F.col("_span.hi"))
-    iv = iv.withColumn("_low", low).withColumn("_high", high).where(F.col("_low") <= F.col("_high")).withColumn(
-        "_im", F.explode(F.sequence(F.trunc("_low", "month"), F.trunc("_high", "month"), F.expr("INTERVAL 1 MONTH"))))
-    same = [F.col("_im") == F.col("_dm"), *[F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in keys]]
-    j = iv.join(side, same, "inner").where(F.col("snapshot_date").between(F.col("_low"), F.col("_high")))
+    entry = F.collect_list(F.struct("snapshot_date", *[c for c in keep if c not in keys]))
+    if keys:
+        listed = dates.groupBy(*[F.col(k).alias(f"_d_{k}") for k in keys]).agg(entry.alias("_dates"))
+        iv = intervals.join(listed, [F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in keys])
+    else:
+        iv = intervals.withColumn("_dates", dates.agg(entry.alias("_dates")).scalar())
+    low, nx = F.greatest("o", "e"), F.col("nx")
+    within = F.filter("_dates", lambda x: (x["snapshot_date"] >= low) & (nx.isNull() | (x["snapshot_date"] < nx)))
+    extra = ["revenue_to_date"] if "revenue_to_date" in intervals.columns else []
+    j = iv.select("customer_id", "o", *keys, *extra, F.explode(within).alias("_at")).select(
+        "customer_id", "o", *keys, *extra, "_at.*")
     days = day_diff("o", "snapshot_date")
-    extra = [F.col("revenue_to_date").alias("total_revenue")] if "revenue_to_date" in intervals.columns else []
     return j.select(
-        "snapshot_date", *[F.col(f"_d_{c}").alias(c) for c in keep], "customer_id", F.col("o").alias("last_order_date"),
-        days.alias("days_since_last_order"),
-        status_expr(days, thresholds.active_days, thresholds.at_risk_days).alias("retention_status"), *extra,
+        "snapshot_date", *keep, "customer_id", F.col("o").alias("last_order_date"), days.alias("days_since_last_order"),
+        status_expr(days, thresholds.active_days, thresholds.at_risk_days).alias("retention_status"),
+        *[F.col(c).alias("total_revenue") for c in extra],
     )
 
 
@@ -173,8 +174,6 @@ def status_history(
     iv = intervals if intervals is not None else order_day_intervals(orders, end, attributes, keys)
     ev = _status_events(iv, thresholds, keys)
     s, t = date_lit(start), date_lit(end)
-    # events before the window accumulate on its first day; after it, drop
-    ev = ev.where(F.col("day") <= t).withColumn("day", F.greatest(F.col("day"), s))
     statuses = F.array(*[F.lit(x) for x in (ACTIVE, AT_RISK, INACTIVE)])
     if keys:
         # every scope present gets every status on the first day (zero delta):
@@ -183,8 +182,34 @@ def status_history(
         marks = entry.select(*keys, F.explode(statuses).alias("retention_status")).select(
             *keys, "retention_status", s.alias("day"), F.lit(0).alias("delta"))
     else:
-        marks = iv.sparkSession.range(1).select(
-            F.explode(statuses).alias("retention_status"), s.alias("day"), F.lit(0).alias("delta"))
+        marks = _status_marks(iv.sparkSession, start)
+    return _counts_by_day(ev, marks, keys, start, end, dense)
+
+
+def _status_marks(spark, start) -> DataFrame:
+    """A zero event of every status on the first day."""
+    statuses = F.array(*[F.lit(x) for x in (ACTIVE, AT_RISK, INACTIVE)])
+    return spark.range(1).select(F.explode(statuses).alias("retention_status"), date_lit(start).alias("day"), F.lit(0).alias("delta"))
+
+
+def history_from_runs(runs: DataFrame, start, end, dense: bool = False) -> DataFrame:
+    """The daily history of status (or risk) runs: +1 on the first day of a
+    run, -1 on the day after its last."""
+    from cohortwise.operators.runs import run_events
+
+    return history_from_events(run_events(runs, ["retention_status"]), start, end, dense)
+
+
+def history_from_events(events: DataFrame, start, end, dense: bool = False) -> DataFrame:
+    """The daily history of events (``retention_status, day, delta``), such as
+    a stored series of their daily sums."""
+    return _counts_by_day(events.select("retention_status", "day", "delta"), _status_marks(events.sparkSession, start), [], start, end, dense)
+
+
+def _counts_by_day(ev: DataFrame, marks: DataFrame, keys: list[str], start, end, dense: bool) -> DataFrame:
+    s, t = date_lit(start), date_lit(end)
+    # events before the window accumulate on its first day; after it, drop
+    ev = ev.where(F.col("day") <= t).withColumn("day", F.greatest(F.col("day"), s))
     daily = ev.unionByName(marks).groupBy(*keys, "retention_status", "day").agg(F.sum("delta").alias("delta"))
     w = Window.partitionBy(*keys, "retention_status").orderBy("day")
     runs = daily.select(

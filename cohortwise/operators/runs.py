@@ -171,25 +171,33 @@ def flow_matrix(runs: DataFrame, start, end, col: str = "retention_status") -> D
     return moves.unionByName(stays).select("snapshot_date", F.col("from").alias(f"from_{col}"), F.col("to").alias(f"to_{col}"), "customer_count")
 
 
-def as_of(runs: DataFrame, days: list, keep: list[str] | None = None) -> DataFrame:
-    """Snapshots (``STATUS_COLUMNS``) of a few days from status runs, without
-    a join: each run is listed under those of the ``days`` that lie in it."""
-    wanted = F.array(*[date_lit(d) for d in days])
+def on_days(runs: DataFrame, days: list) -> DataFrame:
+    """The runs with ``snapshot_date`` and that day's ``days_since_last_order``,
+    each under those of a few ``days`` that lie in it; nothing is joined."""
     open_ = F.col("to_day").isNull()
-    within = F.filter(wanted, lambda d: (d >= F.col("from_day")) & (open_ | (d < F.col("to_day"))))
-    rows = runs.withColumn("snapshot_date", F.explode(within))
-    return rows.withColumn("days_since_last_order", day_diff("last_order_date", "snapshot_date")).select(*STATUS_COLUMNS, *(keep or []))
+    within = F.filter(F.array(*[date_lit(d) for d in days]), lambda d: (d >= F.col("from_day")) & (open_ | (d < F.col("to_day"))))
+    return runs.withColumn("snapshot_date", F.explode(within)).withColumn(
+        "days_since_last_order", day_diff("last_order_date", "snapshot_date"))
+
+
+def as_of(runs: DataFrame, days: list, keep: list[str] | None = None) -> DataFrame:
+    """Snapshots (``STATUS_COLUMNS``) of a few days from status runs."""
+    return on_days(runs, days).select(*STATUS_COLUMNS, *(keep or []))
 
 
-def risk_as_of(runs: DataFrame, days: list) -> DataFrame:
+def risk_as_of(runs: DataFrame, days: list, keep: list[str] | None = None) -> DataFrame:
     """Risk rows with ``snapshot_date`` of a few days from risk runs; scores
     and levels are the run's, recency is that of the day."""
-    wanted = F.array(*[date_lit(d) for d in days])
-    open_ = F.col("to_day").isNull()
-    within = F.filter(wanted, lambda d: (d >= F.col("from_day")) & (open_ | (d < F.col("to_day"))))
-    rows = runs.withColumn("snapshot_date", F.explode(within)).withColumn(
-        "days_since_last_order", day_diff("last_order_date", "snapshot_date"))
-    return rows.select(*RISK_COLUMNS, "snapshot_date")
+    return on_days(runs, days).select(*RISK_COLUMNS, "snapshot_date", *(keep or []))
+
+
+def daily_snapshots(runs: DataFrame, start, end) -> DataFrame:
+    """Snapshots (``STATUS_COLUMNS``) of every day of [start, end] from status
+    runs: a row per customer and day, as the daily table holds them."""
+    s, t = date_lit(start), date_lit(end)
+    first, last = F.greatest("from_day", s), F.least(F.coalesce(F.date_sub("to_day", 1), t), t)
+    days = runs.where(first <= last).withColumn("snapshot_date", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 DAY"))))
+    return days.withColumn("days_since_last_order", day_diff("last_order_date", "snapshot_date")).select(*STATUS_COLUMNS)
 
 
 def level_changes(runs: DataFrame, start, end, min_increase: int = 20) -> DataFrame:

@@ -20,7 +20,7 @@ from cohortwise.config import (
     StatusThresholds,
 )
 from cohortwise.functions.dates import date_lit, day_diff
-from cohortwise.functions.literals import literal_table
+from cohortwise.functions.literals import literal_rows, literal_table
 
 STATUS_COLUMNS = [
     "customer_id",
@@ -77,15 +77,18 @@ def active_thresholds(config: DataFrame) -> DataFrame:
     return config.where(F.col("active")).select("threshold_set", "active_days", "at_risk_days")
 
 
-def _with_sets(df: DataFrame, sets_df: DataFrame) -> DataFrame:
-    """Every row once per configured set: the configuration is read as one
-    value (an array with an entry per set) and exploded."""
-    sets = sets_df.agg(F.collect_list(F.struct("threshold_set", "active_days", "at_risk_days")).alias("s")).scalar()
-    out = df.withColumn("_sets", sets)
-    return out.select(*df.columns, F.explode("_sets").alias("_set")).select(*df.columns, "_set.*")
+def _with_sets(df: DataFrame, sets: DataFrame | list[StatusThresholds]) -> DataFrame:
+    """Every row once per configured set: given as a list, the sets are one
+    literal array; a configuration table is read as one value. Exploded."""
+    if isinstance(sets, DataFrame):
+        entries = sets.agg(F.collect_list(F.struct("threshold_set", "active_days", "at_risk_days")).alias("s")).scalar()
+    else:
+        entries = literal_rows([(s.name, int(s.active_days), int(s.at_risk_days)) for s in sets],
+                               "threshold_set string, active_days int, at_risk_days int")
+    return df.select(*df.columns, F.explode(entries).alias("_set")).select(*df.columns, "_set.*")
 
 
-def status_by_threshold_sets(facts: DataFrame, reference_date, sets_df: DataFrame) -> DataFrame:
+def status_by_threshold_sets(facts: DataFrame, reference_date, sets_df: DataFrame | list[StatusThresholds]) -> DataFrame:
     """X13 per customer — status under every configured set."""
     ref = date_lit(reference_date)
     base = facts.select("customer_id", "last_order_date", day_diff("last_order_date", ref).alias("d"))
@@ -98,7 +101,7 @@ def status_by_threshold_sets(facts: DataFrame, reference_date, sets_df: DataFram
     )
 
 
-def threshold_set_distribution(facts: DataFrame, reference_date, sets_df: DataFrame) -> DataFrame:
+def threshold_set_distribution(facts: DataFrame, reference_date, sets_df: DataFrame | list[StatusThresholds]) -> DataFrame:
     """X13 distribution — customers per status under every set, from one
     pass over the facts: a histogram of recency values (at most one row per
     distinct day count) is taken under every set and re-aggregated."""

@@ -3,9 +3,10 @@ intervals. Each oracle computes the as-of facts of every customer on every day."
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from cohortwise import config as C
+from cohortwise.functions.numeric import money
+from cohortwise.operators import alerts as AL
+from cohortwise.operators import campaigns as CP
 from cohortwise.operators import history as HI
 from cohortwise.operators import runs as RU
 from cohortwise.plans import catalog as K
@@ -25,7 +26,7 @@ def every_day(start: str, end: str, th: C.StatusThresholds, w: C.RiskWeights = C
     return O.with_(O.ord_cte(source=source), f"""cal AS (SELECT CAST(x AS DATE) AS snapshot_date
   FROM range({O.d(start)} - INTERVAL {before} DAY, {O.d(end)} + INTERVAL 1 DAY, INTERVAL 1 DAY) t(x))""", """upto AS (
   SELECT c.snapshot_date, o.customer_id, MIN(o.order_date) AS first_order_date, MAX(o.order_date) AS last_order_date,
-    COUNT(DISTINCT o.order_id) AS total_orders
+    COUNT(DISTINCT o.order_id) AS total_orders, SUM(o.order_amount) AS total_revenue
   FROM cal c JOIN ord o ON o.order_date <= c.snapshot_date GROUP BY 1, 2 HAVING COUNT(DISTINCT o.order_id) > 0)""", f"""seen AS (
   SELECT *, {O.status_of('idle', th.active_days, th.at_risk_days)} AS retention_status
   FROM (SELECT *, snapshot_date - last_order_date AS idle FROM upto))""", f"""points AS (
@@ -140,3 +141,22 @@ def q_table_runs_expired(spark, sf):
 def q_risk_asof_runs(spark, sf):
     """The risk layer of two days, replayed from one table of risk runs."""
     return K._money_facts(RU.risk_as_of(_runs(spark, sf, K.WIDE), [K.PAST, K.REF]))
+
+
+# --------------------------------------------------------------------------
+# Drill-down of alerts into a stored table of risk runs
+# --------------------------------------------------------------------------
+@register("alert_drilldown_risk", every_day(K.EV_START, K.EV_END, K.TIGHT, source="events").rstrip() + "," + O.history_ctes(
+    K.EV_START, K.EV_END, K.TIGHT, dense=True).replace("cal AS", "cal2 AS", 1).replace("FROM cal c", "FROM cal2 c") + ","
+    + O.alert_ctes(K.EV_ALERT) + f""" SELECT alert_date, severity, customer_id, last_order_date, idle AS days_since_last_order, retention_status,
+  {O.cents('total_revenue')}, churn_risk_score, churn_risk_level
+FROM alerts JOIN day_risk ON snapshot_date = alert_date WHERE alert_flag AND retention_status = 'AT_RISK'""")
+def q_alert_drilldown_risk(spark, sf):
+    """Alerts over purchase events, and the customers behind them with the risk they had on the day."""
+    path = _path(spark, "risk-runs")
+    T.write_snapshot_runs(_runs(spark, sf, K.TIGHT, "events", K.EV_END), path)
+    runs = spark.read.parquet(path)
+    status = runs.select("retention_status", "from_day", "to_day")
+    history = HI.history_from_runs(status, K.EV_START, K.EV_END, dense=True)
+    hits = CP.alert_drilldown_from_runs(AL.alert_logic(history, K.EV_ALERT), runs)
+    return hits.withColumn("total_revenue", money("total_revenue", 2))

@@ -197,9 +197,8 @@ def q_alert_segment_thresholds(spark, sf):
   r.churn_risk_level
 FROM hits h LEFT JOIN risk r USING (customer_id) WHERE h.alert_date - h.last_order_date BETWEEN 31 AND 90""")
 def q_alert_drilldown_segment(spark, sf):
-    by, o, c = ["customer_segment"], src.orders(spark, sf), src.customers(spark, sf)
-    iv = HI.order_day_intervals(o, K.H_END, c, by, with_revenue=True)
-    alerts = AL.alert_logic(HI.status_history(None, K.H_START, K.H_END, dense=True, by=by, intervals=iv), by=by)
+    by = ["customer_segment"]
+    alerts, _, _, _, iv = K._alerts_and_intervals(spark, sf, by)
     risk = RK.churn_detection(K._facts(spark, sf), K.REF, K.WIDE)
     hits = CP.alert_drilldown(alerts, None, intervals=iv, by=by, risk=risk)
     return hits.withColumn("total_revenue", money("total_revenue", 2))

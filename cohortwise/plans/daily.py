@@ -21,6 +21,7 @@ from cohortwise.config import AlertConfig, RiskWeights, StatusThresholds
 from cohortwise.operators import alerts as AL
 from cohortwise.operators import history as HI
 from cohortwise.operators import risk as RK
+from cohortwise.operators import runs as RU
 from cohortwise.operators import status as ST
 from cohortwise.operators.profile import customer_profile, facts_from_profile
 from cohortwise.sources import tables as T
@@ -35,10 +36,9 @@ def _d(x) -> _dt.date:
 def backfill_snapshots(spark: SparkSession, orders: DataFrame, root: str, start, end,
                        thresholds: StatusThresholds = StatusThresholds()) -> None:
     """Write customer-level snapshots for every day of [start, end] in one
-    pass: order-day intervals joined to the list of days."""
-    days = HI.calendar(spark, start, end)
-    snap = HI.customer_status_on_dates(HI.order_day_intervals(orders, end), days, thresholds)
-    T.write_snapshot(snap.select(*ST.STATUS_COLUMNS), f"{root}/snapshots")
+    pass: status runs listed under their days."""
+    runs = RU.status_runs(HI.order_day_intervals(orders, end), thresholds)
+    T.write_snapshot(RU.daily_snapshots(runs, start, end), f"{root}/snapshots")
 
 
 def backfill_distribution(spark: SparkSession, orders: DataFrame, root: str, start, end,
