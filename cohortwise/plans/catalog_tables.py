@@ -251,3 +251,47 @@ def _register_model(name):
 
 for _name in ("saas", "luxury", "fast_fashion"):
     _register_model(_name)
+
+
+# --------------------------------------------------------------------------
+# State kept from batch to batch: profile, ledger and daily series. The last
+# days arrive in two batches, with late and repeated rows; the oracles read
+# all rows that were delivered at once.
+# --------------------------------------------------------------------------
+from cohortwise.streaming import incremental as INC  # noqa: E402
+
+EARLY, MIDDLE = "2000-12-31", "2001-04-30"
+_DELIVERED = O.ord_cte("once") + f""",
+ord AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE order_date > {O.d(MIDDLE)} AND order_id % 5 = 0)"""
+
+
+def batches(orders):
+    """Orders as they arrive: the history without every 7th order, a batch with
+    some of those late, and the last one with the others and rows repeated."""
+    late, last = F.col("order_id") % 7 == 0, F.col("order_date") > F.lit(MIDDLE).cast("date")
+    early = F.col("order_date") <= F.lit(EARLY).cast("date")
+    first = early & ~late
+    second = ~last & ~first & ((F.col("order_id") % 14 != 0) | ~early)
+    repeated = orders.where(last & (F.col("order_id") % 5 == 0))
+    return [orders.where(first), orders.where(second), orders.where(~first & ~second).unionByName(repeated)]
+
+
+def _merged(spark, sf, series=None):
+    table = _path(spark, "profile")
+    for epoch, batch in enumerate(batches(src.orders(spark, sf))):
+        INC.merge_profile_epoch(spark, table, epoch, batch, src.customers(spark, sf), series=series)
+    return table
+
+
+@register("incremental_profile", O.with_(_DELIVERED, O.cust_cte(), O.facts_cte()) + f"SELECT {K._FACT_SEL} FROM buyer")
+def q_incremental_profile(spark, sf):
+    """Facts off a profile merged three times, no batch reading older orders."""
+    from cohortwise.operators.profile import facts_from_profile
+
+    return K._money_facts(facts_from_profile(INC.read_profile_version(spark, _merged(spark, sf))))
+
+
+@register("incremental_history", O.with_(_DELIVERED, O.history_ctes(K.H_START, K.H_END, dense=True)) + "SELECT * FROM hist")
+def q_incremental_history(spark, sf):
+    """The daily history off the series that the merges retract from and add to."""
+    return INC.read_daily_history(spark, _merged(spark, sf, C.StatusThresholds()), K.H_START, K.H_END, dense=True)

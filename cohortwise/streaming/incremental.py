@@ -22,6 +22,12 @@ the distinct count and merges everything else directly. In its streaming
 form, ``start_profile_refresh``, the profile lies in buckets of customers of
 which an epoch rewrites those it touches, and the ledger is append-only: an
 epoch adds the pairs it counted, in the same buckets.
+
+The daily status history can be kept along (``series=``): a stored series of
+signed events, summed per (status, day). A late order splits an interval that
+was counted already, so an epoch retracts the events of its customers as they
+were before, with the opposite sign, and adds those of the merged profile.
+Customers that the batch does not name are not read for it.
 """
 
 from __future__ import annotations
@@ -31,12 +37,13 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortwise.config import StatusThresholds
 from cohortwise.operators.facts import FACT_COLUMNS, base_customers
 from cohortwise.session import checkpoint_dir
 from cohortwise.streaming.versions import VersionedTable
 
-#: Customer buckets of a streamed profile: the unit that an epoch rewrites.
-PROFILE_BUCKETS = 64
+#: Customers of the first batch per bucket of a profile; a bucket is the unit that an epoch reads and rewrites.
+CUSTOMERS_PER_BUCKET = 250_000
 
 
 def _touched(new_orders: DataFrame) -> DataFrame:
@@ -58,12 +65,23 @@ def read_facts_version(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(*VersionedTable(spark, table).newest("facts"))
 
 
-def merge_facts_epoch(spark: SparkSession, table: str, epoch_id: int, new_orders: DataFrame, all_orders: DataFrame,
+def merge_facts_epoch(spark: SparkSession, table: str, epoch_id: int, new_orders: DataFrame, all_orders: DataFrame | None,
                       customers: DataFrame) -> None:
-    """Merges one batch into the facts as published before ``epoch_id``."""
+    """Merges one batch into the facts as published before ``epoch_id``.
+
+    Without ``all_orders`` the table keeps the orders itself, in buckets of
+    customers: the epoch stores its batch and reads the touched buckets of the
+    epochs up to its own, so that it gives the same table whenever it runs."""
     versions = VersionedTable(spark, table)
     versions.begin(epoch_id)
     base = versions.newest("facts", before=epoch_id)
+    if all_orders is None:
+        buckets, touched = _buckets(versions, new_orders, None)
+        kept = new_orders.withColumn("bucket", bucket_of("customer_id", buckets)).repartition("bucket")
+        versions.write(kept, "orders", epoch_id, "bucket")
+        new_orders = spark.read.schema(new_orders.schema).parquet(*versions.parts_of("orders", epoch_id, touched))
+        earlier = versions.all_parts("orders", before=epoch_id, buckets=touched)
+        all_orders = new_orders.unionByName(spark.read.schema(new_orders.schema).parquet(*earlier)) if earlier else new_orders
     if base:
         facts = incremental_facts(spark.read.parquet(*base), all_orders, new_orders, customers)
     else:
@@ -82,8 +100,7 @@ def start_facts_refresh(spark: SparkSession, orders_dir: str, orders_schema, to_
     VersionedTable(spark, table).refuse_fresh_checkpoint(checkpoint)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        all_orders = to_orders(spark.read.schema(orders_schema).parquet(orders_dir))
-        merge_facts_epoch(spark, table, epoch_id, to_orders(batch), all_orders, customers)
+        merge_facts_epoch(spark, table, epoch_id, to_orders(batch), None, customers)
 
     stream = spark.readStream.schema(orders_schema).parquet(orders_dir)
     w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
@@ -165,6 +182,22 @@ def bucket_of(customer_id, buckets: int):
     return F.pmod(F.xxhash64(customer_id), F.lit(int(buckets))).cast("int")
 
 
+def _buckets(versions: VersionedTable, batch: DataFrame, buckets: int | None) -> tuple[int, list[int]]:
+    """(buckets of the table, those that hold a customer of the batch). The
+    first epoch fixes the number: the caller's, or one by its customers."""
+    known = versions.setting("buckets")
+    if known is not None and buckets is not None and int(known) != buckets:
+        raise ValueError(f"{versions.path} has {known} buckets, not {buckets}")
+    if known is None:
+        if buckets is None:
+            customers = batch.agg(F.approx_count_distinct("customer_id").alias("n")).first()["n"]
+            buckets = max(-(-customers // CUSTOMERS_PER_BUCKET), 1)
+        versions.set_setting("buckets", buckets)
+    count = int(known) if known is not None else buckets
+    touched = batch.select(bucket_of("customer_id", count).alias("b")).distinct().collect()  # at most ``count`` numbers
+    return count, sorted(r["b"] for r in touched)
+
+
 def read_profile_version(spark: SparkSession, table: str) -> DataFrame:
     """The newest published profile of a streaming refresh."""
     return spark.read.parquet(*VersionedTable(spark, table).newest("profile"))
@@ -176,42 +209,100 @@ def read_ledger(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(*paths).select("customer_id", "order_id") if paths else empty_ledger(spark)
 
 
+def status_events(profile: DataFrame, thresholds: StatusThresholds) -> DataFrame:
+    """Signed status events (``retention_status, day, delta``) of a profile."""
+    from cohortwise.operators.profile import intervals_from_profile
+    from cohortwise.operators.runs import run_events, status_runs
+
+    return run_events(status_runs(intervals_from_profile(profile), thresholds), ["retention_status"])
+
+
+def _summed(events: DataFrame) -> DataFrame:
+    return events.groupBy("retention_status", "day").agg(F.sum("delta").cast("long").alias("delta")).where(F.col("delta") != 0)
+
+
+def read_daily_history(spark: SparkSession, table: str, start, end, dense: bool = False) -> DataFrame:
+    """The daily status history from the newest stored series: a few rows per
+    day are read, no customers."""
+    from cohortwise.operators.history import history_from_events
+
+    return history_from_events(spark.read.parquet(*VersionedTable(spark, table).newest("series")), start, end, dense)
+
+
 def merge_profile_epoch(spark: SparkSession, table: str, epoch_id: int, new_orders: DataFrame, customers: DataFrame,
-                        buckets: int = PROFILE_BUCKETS, fail_after: str | None = None) -> None:
+                        buckets: int | None = None, series: StatusThresholds | None = None, fail_after: str | None = None) -> None:
     """Merges one batch into the profile and ledger as published before
     ``epoch_id``. Only buckets that hold a customer of the batch are read and
-    written; which they are is at most ``buckets`` numbers. ``fail_after``
-    ("ledger" or "profile") breaks off there, for tests of recovery."""
+    written. ``buckets`` is fixed by a table's first epoch (None: by its
+    number of customers). ``series``: the thresholds of a daily history kept
+    along, the same for the life of the table; begun on a table that has
+    epochs without one, it is summed up once from the whole profile.
+    ``fail_after`` ("ledger", "profile" or "series") breaks off there, for
+    tests of recovery."""
     from cohortwise.operators.profile import customer_profile
 
     versions = VersionedTable(spark, table)
     versions.begin(epoch_id)
-    touched = sorted(r[0] for r in new_orders.select(bucket_of("customer_id", buckets).alias("b")).distinct().collect())
+    count, touched = _buckets(versions, new_orders, buckets)
     names = {f"bucket={b}" for b in touched}
-    base = [p for p in versions.newest("profile", before=epoch_id) if p.rsplit("/", 1)[1] in names]
+    whole = versions.newest("profile", before=epoch_id)
+    base = [p for p in whole if p.rsplit("/", 1)[1] in names]
     counted = versions.all_parts("ledger", before=epoch_id, buckets=touched)
     previous = spark.read.parquet(*base) if base else customer_profile(new_orders.limit(0), customers)
     ledger = spark.read.parquet(*counted) if counted else empty_ledger(spark)
     profile, fresh = merge_profile(previous, ledger, new_orders, customers)
     for name, df in (("ledger", fresh), ("profile", profile)):
-        versions.write(df.withColumn("bucket", bucket_of("customer_id", buckets)).repartition("bucket"), name, epoch_id, "bucket")
+        versions.write(df.withColumn("bucket", bucket_of("customer_id", count)).repartition("bucket"), name, epoch_id, "bucket")
         if fail_after == name:
             raise RuntimeError(f"broken off after {name}")
+    if series is not None:
+        versions.write(_merged_series(versions, epoch_id, new_orders, previous, whole, touched, series).coalesce(1), "series", epoch_id)
+        if fail_after == "series":
+            raise RuntimeError("broken off after series")
     versions.publish(epoch_id)
     versions.expire("profile")
+    versions.expire("series")
+
+
+def _merged_series(versions: VersionedTable, epoch_id: int, new_orders: DataFrame, previous: DataFrame, whole: list[str],
+                   touched: list[int], thresholds: StatusThresholds) -> DataFrame:
+    """The stored series with the events of the batch's customers retracted as
+    they were and added as they are."""
+    spark, name = versions.spark, f"{thresholds.active_days}-{thresholds.at_risk_days}"
+    if (versions.setting("series") or name) != name:
+        raise ValueError(f"{versions.path} keeps a series of {versions.setting('series')} days, not {name}")
+    versions.set_setting("series", name)
+    mine = new_orders.select(F.col("customer_id").alias("_mine")).distinct()
+
+    def touched_events(profile: DataFrame) -> DataFrame:
+        of_batch = profile.join(mine, profile["customer_id"].eqNullSafe(mine["_mine"]), "left_semi")
+        return status_events(of_batch, thresholds)
+
+    after = versions.parts_of("profile", epoch_id, touched)
+    changes = touched_events(previous).withColumn("delta", -F.col("delta"))
+    if after:  # an empty batch writes no bucket
+        changes = changes.unionByName(touched_events(spark.read.parquet(*after)))
+    stored = versions.newest("series", before=epoch_id)
+    if stored:
+        before = spark.read.parquet(*stored)
+    elif whole:
+        before = status_events(spark.read.parquet(*whole), thresholds)
+    else:
+        return _summed(changes)
+    return _summed(before.select("retention_status", "day", "delta").unionByName(changes))
 
 
 def start_profile_refresh(spark: SparkSession, orders_dir: str, orders_schema, to_orders, customers: DataFrame,
                           table: str, checkpoint: str | None = None, trigger_once: bool = True,
-                          buckets: int = PROFILE_BUCKETS):
+                          buckets: int | None = None, series: StatusThresholds | None = None):
     """Stream new order files into the versioned profile and ledger of
-    ``table``; a batch reads itself and the buckets it touches, never the
-    order history. ``buckets`` must stay the same for the life of a table."""
+    ``table``, and into its daily ``series`` if asked for; a batch reads itself
+    and the buckets it touches, never the order history."""
     checkpoint = checkpoint or _default_checkpoint(spark, table)
     VersionedTable(spark, table).refuse_fresh_checkpoint(checkpoint)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        merge_profile_epoch(spark, table, epoch_id, to_orders(batch), customers, buckets)
+        merge_profile_epoch(spark, table, epoch_id, to_orders(batch), customers, buckets, series)
 
     stream = spark.readStream.schema(orders_schema).parquet(orders_dir)
     w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

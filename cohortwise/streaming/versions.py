@@ -6,7 +6,8 @@ published epochs below ``n``, so an epoch that runs again, after a crash at
 any point or after it was already published, starts from the same state and
 writes the same result. Nothing that a merge reads is ever overwritten by it.
 
-Layout: ``<table>/<part>/epoch=<n>[/bucket=<b>]`` and ``<table>/_epochs/<n>``.
+Layout: ``<table>/<part>/epoch=<n>[/bucket=<b>]``, ``<table>/_epochs/<n>``, and
+what is fixed for the life of a table as ``<table>/_settings/<name>=<value>``.
 """
 
 from __future__ import annotations
@@ -54,6 +55,15 @@ class VersionedTable:
         if self.epochs() and not p.getFileSystem(self._conf).exists(p):
             raise ValueError(f"{self.path} holds epochs of another run: give the checkpoint it was written with, or a new table")
 
+    # -- settings -------------------------------------------------------
+    def setting(self, name: str) -> str | None:
+        found = self._names("_settings", f"{name}=")
+        return found[0] if found else None
+
+    def set_setting(self, name: str, value) -> None:
+        if self.setting(name) is None:
+            self._fs.create(self._path(f"_settings/{name}={value}"), True).close()
+
     # -- parts ----------------------------------------------------------
     def write(self, df: DataFrame, part: str, epoch: int, by: str | None = None) -> None:
         w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -72,6 +82,11 @@ class VersionedTable:
                 paths[b] = f"{self.path}/{folder}/bucket={b}"
         return [paths[k] for k in sorted(paths)]
 
+    def parts_of(self, part: str, epoch: int, buckets: list[int]) -> list[str]:
+        """Paths that one epoch wrote for some buckets, published or not."""
+        held = set(self._names(f"{part}/epoch={epoch}", "bucket="))
+        return [f"{self.path}/{part}/epoch={epoch}/bucket={b}" for b in buckets if str(b) in held]
+
     def all_parts(self, part: str, before: int | None = None, buckets: list[int] | None = None) -> list[str]:
         """Paths of every published epoch of an append-only bucketed part."""
         wanted = None if buckets is None else {str(b) for b in buckets}

@@ -196,3 +196,73 @@ def test_two_dates_from_one_scan(spark):
         scans = [x for x in final.splitlines() if "FileScan parquet" in x and f"{table}.parquet" in x]
         assert len(scans) == 1, (name, len(scans))
         assert "NestedLoop" not in final and "Cartesian" not in final, name
+
+
+def _history(spark, table):
+    return _rows(INC.read_daily_history(spark, table, "1995-01-01", "2001-07-31"))
+
+
+def test_series_is_retracted_replayed_and_recovered(spark, data, tmp_dir):
+    """Late, repeated and replayed batches give the history of a rebuild; a crash publishes nothing."""
+    o, c, parts = data
+    late = parts[0].where("order_id % 3 = 0")
+    batches = [parts[0].where("order_id % 3 <> 0"), parts[1].unionByName(late.where("order_id % 2 = 0")),
+               parts[2].unionByName(late.where("order_id % 2 = 1")), parts[1].where("order_id % 4 = 0")]  # the last one was delivered before
+    table = os.path.join(tmp_dir, "t")
+    seen = None
+    for epoch, part in enumerate(batches):
+        seen = part if seen is None else seen.unionByName(part)
+        want = _rows(HI.status_history(seen, "1995-01-01", "2001-07-31"))
+        for _ in range(2):  # the newest epoch may run again
+            INC.merge_profile_epoch(spark, table, epoch, part, c, buckets=4, series=INC.StatusThresholds())
+            assert _history(spark, table) == want
+    with pytest.raises(RuntimeError):
+        INC.merge_profile_epoch(spark, table, 4, parts[0], c, buckets=4, series=INC.StatusThresholds(), fail_after="series")
+    assert _history(spark, table) == want  # yesterday stays readable
+    with pytest.raises(ValueError):
+        INC.merge_profile_epoch(spark, table, 4, parts[0], c, buckets=4, series=INC.StatusThresholds(5, 9))
+    with pytest.raises(ValueError):
+        INC.merge_profile_epoch(spark, table, 4, parts[0], c, buckets=8)
+
+
+def test_series_reads_the_touched_customers_only(spark, data, tmp_dir):
+    """One order of one customer changes few days of the series, and reads one bucket."""
+    o, c, _ = data
+    table = os.path.join(tmp_dir, "t")
+    INC.merge_profile_epoch(spark, table, 0, o, c, buckets=8)
+    one = _orders(spark, [(1, 10**9, "1996-05-05", 3), (None, 10**9 + 1, "1996-05-05", 3)])
+    INC.merge_profile_epoch(spark, table, 1, one, c, buckets=8, series=INC.StatusThresholds())  # summed up from the profile
+    assert _history(spark, table) == _rows(HI.status_history(o.unionByName(one), "1995-01-01", "2001-07-31"))
+    v = VersionedTable(spark, table)
+    assert 1 <= len(v._names("profile/epoch=1", "bucket=")) <= 2
+    again = _orders(spark, [(1, 10**9, "1996-05-09", 3)])
+    before = spark.read.parquet(*v.newest("series"))
+    rows = {(r.retention_status, r.day): r.delta for r in before.collect()}
+    INC.merge_profile_epoch(spark, table, 2, again, c, series=INC.StatusThresholds())
+    after = {(r.retention_status, r.day): r.delta for r in spark.read.parquet(*v.newest("series")).collect()}
+    assert 0 < len({k for k in {*rows, *after} if rows.get(k) != after.get(k)}) <= 8
+    assert len(v._names("profile/epoch=2", "bucket=")) == 1
+
+
+def test_bucket_number_follows_the_first_batch(spark, data, tmp_dir, monkeypatch):
+    o, c, _ = data
+    monkeypatch.setattr(INC, "CUSTOMERS_PER_BUCKET", 20)
+    table = os.path.join(tmp_dir, "t")
+    INC.merge_profile_epoch(spark, table, 0, o, c)
+    n = int(VersionedTable(spark, table).setting("buckets"))
+    assert n >= o.select("customer_id").distinct().count() / 20 * 0.8 and n > 1
+    assert INC.read_profile_version(spark, table).count() == PR.customer_profile(o, c).count()
+
+
+def test_facts_stream_keeps_its_own_orders(spark, data, tmp_dir):
+    """An epoch that runs again ignores what arrived after it."""
+    o, c, parts = data
+    table = os.path.join(tmp_dir, "f")
+    for epoch, part in enumerate(parts[:2]):
+        INC.merge_facts_epoch(spark, table, epoch, part, None, c)
+    want = _rows(FX.base_customers(parts[0].unionByName(parts[1]), c))
+    assert _rows(INC.read_facts_version(spark, table).select(*FX.FACT_COLUMNS)) == want
+    INC.merge_facts_epoch(spark, table, 1, parts[1], None, c)
+    assert _rows(INC.read_facts_version(spark, table).select(*FX.FACT_COLUMNS)) == want
+    INC.merge_facts_epoch(spark, table, 2, parts[2], None, c)
+    assert _rows(INC.read_facts_version(spark, table).select(*FX.FACT_COLUMNS)) == _rows(FX.base_customers(o, c))
