@@ -180,15 +180,43 @@ def test_mixing_meets_marginals(spark):
             for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     targets = {"source": {"a": 0.4, "b": 0.6}, "lang": {"en": 0.5, "de": 0.5}, "topic": {"contact": 0.3, "table": 0.3, "prose": 0.4}}
-    cells = docs.select("source", "lang", mixing.topic_of(F.col("text")).alias("topic"), F.size(F.split("text", " ")).alias("n")).groupBy(
-        "source", "lang", "topic").agg(F.sum("n").alias("tokens"))
-    fit = mixing.fitted(cells, targets, rounds=12)
-    for name, want in targets.items():
-        total = fit.agg(F.sum("weight")).first()[0]
-        got = {r[0]: r[1] / total for r in fit.groupBy(name).agg(F.sum("weight")).collect()}
-        assert all(abs(got[k] - v) < 0.01 for k, v in want.items()), (name, got)
-    p = mixing.calibrated(fit, 0.5).agg(F.sum(F.col("tokens") * F.col("probability")), F.sum("tokens"), F.max("probability")).first()
-    assert abs(p[0] / p[1] - 0.5) < 1e-9 and p[2] <= 1.0
+    got = {(r.dimension, r.category): r for r in mixing.report(docs, targets).collect()}
+    assert len(got) == 7
+    for name, shares in targets.items():
+        for category, want in shares.items():
+            r = got[name, category]
+            assert r.reachable and abs(r.goal_share - want) < 1e-9 and abs(r.expected_share - want) <= 2 * mixing.TOLERANCE
+
+
+def test_mixing_reaches_what_can_be_reached(spark):
+    """Production parameters: every category gets its target, or all it has."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = mixing.report(docs).collect()
+    held = sum(r.tokens for r in rows if r.dimension == "lang")
+    for r in rows:
+        assert abs(r.expected_share - r.goal_share) <= 2 * mixing.TOLERANCE, r
+        if not r.reachable:
+            assert abs(r.goal_share - r.tokens / (mixing.KEEP_SHARE * held)) < 1e-9 and r.goal_share < r.asked_share
+        elif r.dimension == "lang":
+            assert abs(r.goal_share - mixing.TARGETS["lang"][r.category]) < 1e-9
+    assert {r.category for r in rows if not r.reachable} == {"contact", "licensed", "table"}
+    # the sample itself: the coins' tokens are near the expected ones
+    taken = mixing.sampled(docs).where("mix.kept").groupBy("lang").agg(F.sum("mix.n_tokens").alias("n")).collect()
+    total = sum(r.n for r in taken)
+    want = {r.category: r.expected_share for r in rows if r.dimension == "lang"}
+    assert abs(total / (0.5 * held) - 1) < 0.1 and all(abs(r.n / total - want[r.lang]) < 0.05 for r in taken)
+
+
+def test_mixing_caps_inside_the_rake(spark):
+    """A category that its target asks more of than there is is kept whole;
+    the others share the rest in proportion to their targets."""
+    docs = spark.createDataFrame([(i, "w " * 10, "a" if i < 10 else "b" if i < 60 else "c", "en") for i in range(160)],
+                                 "doc_id long, text string, source string, lang string")
+    got = {r.category: r for r in mixing.report(docs, {"source": {"a": 0.4, "b": 0.2, "c": 0.4}}).collect()}
+    assert not got["a"].reachable and abs(got["a"].expected_share - 0.125) < 1e-6
+    assert abs(got["b"].expected_share - 0.875 / 3) < 2e-3 and abs(got["c"].expected_share - 2 * 0.875 / 3) < 2e-3
+    kept = mixing.sampled(docs, {"source": {"a": 0.4, "b": 0.2, "c": 0.4}}).where("mix.kept").where("source = 'a'").count()
+    assert kept == 10
 
 
 def test_mixing_edges(edges, nothing):
