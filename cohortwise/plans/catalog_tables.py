@@ -295,3 +295,42 @@ def q_incremental_profile(spark, sf):
 def q_incremental_history(spark, sf):
     """The daily history off the series that the merges retract from and add to."""
     return INC.read_daily_history(spark, _merged(spark, sf, C.StatusThresholds()), K.H_START, K.H_END, dense=True)
+
+
+# --------------------------------------------------------------------------
+# Layers published together, and layers stored alike
+# --------------------------------------------------------------------------
+from cohortwise.plans import daily as DY  # noqa: E402
+from cohortwise.sources import publication as PB  # noqa: E402
+
+
+@register("published_risk", O.with_(
+    O.cust_cte(), O.ord_cte("o1", as_of=K.PAST), O.facts_cte("f1", "o1"), O.status_cte(K.PAST, name="s1", facts="f1"), O.risk_cte(name="r1", facts="f1", snap="s1"),
+    O.ord_cte("o2", as_of="2001-01-02"), O.facts_cte("f2", "o2"), O.status_cte("2001-01-02", name="s2", facts="f2"), O.risk_cte(name="r2", facts="f2", snap="s2"))
+    + " UNION ALL ".join(f"SELECT {K._RISK_SEL}, {O.d(day)} AS snapshot_date FROM r{i}" for i, day in ((1, K.PAST), (2, "2001-01-02"))))
+def q_published_risk(spark, sf):
+    """X25 / SNK1-4: two days published, the second broken off half way and run again."""
+    root, o, c = _path(spark, "published"), src.orders(spark, sf), src.customers(spark, sf)
+    DY.publish_day(spark, o, c, K.PAST, root)
+    try:
+        DY.publish_day(spark, o, c, "2001-01-02", root, fail_after="risk")
+    except RuntimeError:
+        pass
+    DY.publish_day(spark, o, c, "2001-01-02", root)
+    risk = PB.Publication(spark, root).read("risk")
+    return K._money_facts(risk.select(*RK.RISK_COLUMNS, "snapshot_date"))
+
+
+LAYER_BUCKETS = 8
+
+
+@register("table_risk_copartitioned", K._risk_sql(K.REF, K.WIDE))
+def q_table_risk_copartitioned(spark, sf):
+    """J2 / SRC3-4: stored facts and the stored snapshot, in buckets alike: the join moves nothing."""
+    f, names = K._facts(spark, sf), []
+    for name, layer, by in (("facts", f, None), ("snapshots", ST.retention_status(f, K.REF, K.WIDE).unionByName(
+            ST.retention_status(f, K.PAST, K.WIDE)), "snapshot_date")):
+        names.append(f"{name}_{uuid.uuid4().hex}")
+        PB.write_copartitioned(layer, names[-1], _path(spark, name), LAYER_BUCKETS, by)
+    facts, snapshots = (spark.table(n) for n in names)
+    return K._money_facts(RK.churn_detection(facts, K.REF, snapshot=snapshots.hint("merge")))

@@ -25,6 +25,7 @@ from cohortwise.operators import runs as RU
 from cohortwise.operators import status as ST
 from cohortwise.operators.profile import customer_profile, facts_from_profile
 from cohortwise.sources import tables as T
+from cohortwise.sources.publication import Publication
 from cohortwise.streaming.incremental import merge_profile_epoch
 from cohortwise.streaming.versions import VersionedTable
 
@@ -102,6 +103,46 @@ def daily_incremental(
     return _layers(spark, facts_from_profile(profile), ref, root, thresholds, weights, alert, keep_days)
 
 
+def publish_day(
+    spark: SparkSession,
+    orders: DataFrame,
+    customers: DataFrame,
+    reference_date,
+    root: str,
+    thresholds: StatusThresholds = StatusThresholds(),
+    weights: RiskWeights = RiskWeights(),
+    alert: AlertConfig = AlertConfig(),
+    keep_days: int = 90,
+    fail_after: str | None = None,
+) -> DataFrame:
+    """One day as a whole: profile, snapshot, risk, distribution and outbox of
+    the date are written and then published together, so readers of
+    ``Publication(spark, root)`` see either all layers of the day or none. A
+    day run again replaces its parts. ``fail_after`` names a layer after which
+    the run breaks off, for tests of recovery. Returns the day's alert row(s)."""
+    ref = _d(reference_date)
+    day, run = ref.isoformat(), Publication(spark, root).begin()
+
+    def write(df: DataFrame, layer: str, part: str = "") -> DataFrame:
+        stored = run.write(df, layer, part)
+        if fail_after == layer:
+            raise RuntimeError(f"broken off after {layer}")
+        return stored
+
+    facts = facts_from_profile(write(customer_profile(orders, customers, as_of=ref), "profile"))
+    today = write(ST.retention_status(facts, ref, thresholds), "snapshots", day)
+    write(RK.churn_detection(facts, ref, thresholds, weights, snapshot=today).withColumn("snapshot_date", F.lit(ref)), "risk", day)
+    write(HI.snapshot_distribution(today), "distribution", day)
+    oldest = (ref - _dt.timedelta(days=keep_days)).isoformat()
+    for layer in ("snapshots", "risk"):
+        run.keep(layer, oldest)
+    series = run.read("distribution").where(F.col("snapshot_date").between(F.lit(oldest).cast("date"), F.lit(ref)))
+    alerts = write(AL.alert_logic(series, alert).where(F.col("alert_date") == F.lit(ref)), "alerts", day)
+    write(AL.route_alerts(alerts), "outbox", day)
+    run.publish()
+    return alerts
+
+
 def _layers(spark: SparkSession, facts: DataFrame, ref: _dt.date, root: str, thresholds: StatusThresholds,
             weights: RiskWeights, alert: AlertConfig, keep_days: int) -> DataFrame:
     """Snapshot and risk of the day (replacing an earlier run of it),
