@@ -1,12 +1,18 @@
 """Queries over customer runs: risk by day, daily flows, snapshots stored as
-intervals. Each oracle computes the as-of facts of every customer on every day."""
+intervals; each of their oracles computes the as-of facts of every customer on
+every day. Cohorts over several dimensions from stored bitmaps."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cohortwise import config as C
+from cohortwise.functions.dates import date_lit
 from cohortwise.functions.numeric import money
 from cohortwise.operators import alerts as AL
 from cohortwise.operators import campaigns as CP
+from cohortwise.operators import cohort_cube as CC
+from cohortwise.operators import cohorts as CH
 from cohortwise.operators import history as HI
 from cohortwise.operators import runs as RU
 from cohortwise.plans import catalog as K
@@ -160,3 +166,53 @@ def q_alert_drilldown_risk(spark, sf):
     history = HI.history_from_runs(status, K.EV_START, K.EV_END, dense=True)
     hits = CP.alert_drilldown_from_runs(AL.alert_logic(history, K.EV_ALERT), runs)
     return hits.withColumn("total_revenue", money("total_revenue", 2))
+
+
+# --------------------------------------------------------------------------
+# Cohorts by several dimensions at once
+# --------------------------------------------------------------------------
+DIMS = ["customer_segment", "country"]
+
+
+def _cube_sql(months: int) -> str:
+    keys = ", ".join(DIMS)
+    return O.with_(O.ord_cte(), O.cust_cte(), """firsts AS (
+  SELECT customer_id, CAST(date_trunc('month', MIN(order_date)) AS DATE) AS cohort_month FROM ord
+  WHERE customer_id IS NOT NULL GROUP BY 1 HAVING COUNT(order_id) > 0 AND MIN(order_date) IS NOT NULL)""", f"""acts AS (
+  SELECT f.cohort_month, {keys}, f.customer_id,
+    CAST(date_diff('month', f.cohort_month, CAST(date_trunc('month', o.order_date) AS DATE)) // {months} AS BIGINT) AS period
+  FROM firsts f JOIN ord o ON o.customer_id = f.customer_id AND o.order_date IS NOT NULL LEFT JOIN cust c ON c.customer_id = f.customer_id)""",
+                   f"""cube_rows AS (
+  SELECT CAST(GROUPING({keys}) AS BIGINT) AS "grouping", cohort_month, {keys}, period, COUNT(DISTINCT customer_id) AS active_customers
+  FROM acts GROUP BY GROUPING SETS ((cohort_month, period), (cohort_month, period, {DIMS[0]}), (cohort_month, period, {DIMS[1]}),
+    (cohort_month, period, {keys})))""", f"""sizes AS (
+  SELECT CAST(GROUPING({keys}) AS BIGINT) AS "grouping", cohort_month, {keys}, COUNT(DISTINCT customer_id) AS cohort_size
+  FROM acts GROUP BY GROUPING SETS ((cohort_month), (cohort_month, {DIMS[0]}), (cohort_month, {DIMS[1]}), (cohort_month, {keys})))""") + f"""
+SELECT r."grouping", r.cohort_month, {', '.join('r.' + k for k in DIMS)}, r.period, s.cohort_size, r.active_customers,
+  ROUND(100.0 * r.active_customers::DOUBLE / s.cohort_size::DOUBLE, 2) AS retention_rate
+FROM cube_rows r JOIN sizes s ON s."grouping" = r."grouping" AND s.cohort_month = r.cohort_month
+  AND {' AND '.join(f's.{k} IS NOT DISTINCT FROM r.{k}' for k in DIMS)}"""
+
+
+def _parts(spark, sf):
+    """Members and parts of the orders as they arrive: up to 2000, then the rest."""
+    o, c = src.orders(spark, sf), src.customers(spark, sf)
+    batches = [CH.customer_months(o.where(F.col("order_date") <= date_lit(K.PAST))),
+               CH.customer_months(o.where(F.col("order_date") > date_lit(K.PAST)))]
+    members = K.stored(CC.number_members(batches[0], c, DIMS), "members")
+    first = K.stored(CC.activity_parts(batches[0], members, DIMS), "parts")
+    members = K.stored(members.unionByName(CC.number_members(batches[1], c, DIMS, known=members)), "members")
+    second = K.stored(CC.activity_parts(batches[1], members, DIMS), "parts")
+    return first.unionByName(second)
+
+
+@register("cohort_cube", _cube_sql(1))
+def q_cohort_cube(spark, sf):
+    """Every grouping set of two dimensions, from parts stored in two batches."""
+    return CC.cohort_cube(_parts(spark, sf), DIMS)
+
+
+@register("cohort_cube_quarters", _cube_sql(3))
+def q_cohort_cube_quarters(spark, sf):
+    """The same parts by quarters since acquisition: months merged by OR."""
+    return CC.cohort_cube(_parts(spark, sf), DIMS, months_per_period=3)
