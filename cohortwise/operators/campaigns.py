@@ -224,10 +224,14 @@ def export_customer_list(df: DataFrame, path: str, fmt: str = "csv") -> None:
         w.parquet(path)
 
 
+def read_customer_list(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
+    """An exported list read back, in the order of its own columns."""
+    r = spark.read.schema(schema)
+    return r.option("header", True).option("enforceSchema", False).csv(path) if fmt == "csv" else r.parquet(path)
+
+
 # ---------------------------------------------------------------------------
-# X28 — subscription status rules (our reading of an outlined use case;
-# there is no subscriptions table in the test data, so it is exercised by a
-# unit test only).
+# X28 — subscription status rules (our reading of an outlined use case).
 # ---------------------------------------------------------------------------
 def subscription_status(subs: DataFrame, reference_date, renewal_window_days: int = 30) -> DataFrame:
     """``subs``: customer_id, renewal_date DATE, cancelled_at DATE (NULL if

@@ -229,6 +229,14 @@ def missing_baseline(alerts: DataFrame, after=None) -> DataFrame:
     )
 
 
+def baseline_deviation(alerts: DataFrame, min_points: float = 5.0) -> DataFrame:
+    """Q18's deviation where there is a baseline: evaluations whose value lies
+    at least ``min_points`` percentage points from it, on either side."""
+    out = alerts.select("alert_date", "baseline_value", "current_value",
+                        F.abs(F.col("current_value") - F.col("baseline_value")).alias("deviation"))
+    return out.where(F.col("deviation") >= F.lit(float(min_points)))
+
+
 def sample_size_spread(alerts: DataFrame) -> DataFrame:
     """Q19 — min / mean / max evaluated population."""
     return alerts.agg(

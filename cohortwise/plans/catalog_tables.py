@@ -334,3 +334,51 @@ def q_table_risk_copartitioned(spark, sf):
         PB.write_copartitioned(layer, names[-1], _path(spark, name), LAYER_BUCKETS, by)
     facts, snapshots = (spark.table(n) for n in names)
     return K._money_facts(RK.churn_detection(facts, K.REF, snapshot=snapshots.hint("merge")))
+
+
+# --------------------------------------------------------------------------
+# Campaign lists, kept days, subscriptions, deviations
+# --------------------------------------------------------------------------
+LIST_SCHEMA = "customer_id long, retention_status string, churn_risk_level string, total_revenue double, action string"
+
+
+@register("table_campaign_list", O.with_(*K._RISKW) + f"""SELECT r.customer_id, r.retention_status, r.churn_risk_level,
+  {O.cents('r.total_revenue')}, COALESCE(m.action, '{CP.DEFAULT_ACTION}') AS action
+FROM risk r LEFT JOIN ({K._ACT_VALUES}) m(retention_status, churn_risk_level, action)
+  ON r.retention_status = m.retention_status AND r.churn_risk_level = m.churn_risk_level""")
+def q_table_campaign_list(spark, sf):
+    """SNK5: the action list exported for a CRM (a first export is replaced), read back from its files."""
+    path = _path(spark, "campaign")
+    actions = CP.apply_action_matrix(K._riskdf(spark, sf, K.WIDE), CP.action_matrix_df(spark))
+    wanted = actions.select("customer_id", "retention_status", "churn_risk_level", money("total_revenue", 2).alias("total_revenue"), "action")
+    CP.export_customer_list(wanted.where("churn_risk_level = 'HIGH'"), path)
+    CP.export_customer_list(wanted, path)
+    return CP.read_customer_list(spark, path, LIST_SCHEMA)
+
+
+@register("table_kept_snapshots", O.with_(*_BASE, O.status_cte("2001-05-02", name="d1"), O.status_cte(K.REF, name="d2"))
+          + "SELECT * FROM d1 UNION ALL SELECT * FROM d2")
+def q_table_kept_snapshots(spark, sf):
+    """Of three daily snapshots the one beyond 90 days is dropped."""
+    path, f = _path(spark, "snapshots"), K._facts(spark, sf)
+    for day in (K.PAST, "2001-05-02", K.REF):
+        T.write_snapshot(ST.retention_status(f, day), path)
+    T.keep_recent(spark, path, K.REF, 90)
+    return spark.read.parquet(path).select(*ST.STATUS_COLUMNS)
+
+
+@register("subscription_status", O.with_(O.ord_cte()) + f"""SELECT customer_id, renewal - {O.d(K.REF)} AS days_to_renewal,
+  CASE WHEN cancelled <= {O.d(K.REF)} THEN 'CANCELLED' WHEN renewal - {O.d(K.REF)} <= 30 THEN 'RENEWAL_DUE' ELSE 'ACTIVE' END
+    AS subscription_status
+FROM (SELECT customer_id, CAST(MAX(order_date) + INTERVAL 12 MONTH AS DATE) AS renewal,
+        CASE WHEN max_by(order_status, (order_date, order_id)) = 'F' THEN MAX(order_date) + 60 END AS cancelled FROM ord GROUP BY 1)""")
+def q_subscription_status(spark, sf):
+    """Subscriptions that the latest orders stand for, at the reference date."""
+    return CP.subscription_status(src.subscriptions(spark, sf), K.REF)
+
+
+@register("qc_baseline_deviation", K._alert_sql().replace("SELECT * FROM alerts", """SELECT alert_date, baseline_value, current_value,
+  ROUND(deviation, 6) AS deviation FROM (SELECT *, ABS(current_value - baseline_value) AS deviation FROM alerts) WHERE deviation >= 3"""))
+def q_qc_baseline_deviation(spark, sf):
+    """Days whose share lies three points or more from its baseline."""
+    return QC.baseline_deviation(K._alert(spark, sf), 3.0).withColumn("deviation", F.round("deviation", 6))

@@ -90,3 +90,14 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("acquisition_channel"),
         F.lit(None).cast("date").alias("signup_date"),
     )
+
+
+def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscriptions read off the orders: each customer's latest order runs for
+    twelve months (``renewal_date``); if that order was fulfilled, the
+    subscription was cancelled 60 days after it (``cancelled_at``)."""
+    last = orders(spark, sf_dir).groupBy("customer_id").agg(
+        F.max(F.struct("order_date", "order_id", "order_status")).alias("last"))
+    return last.select(
+        "customer_id", F.add_months("last.order_date", 12).alias("renewal_date"),
+        F.when(F.col("last.order_status") == "F", F.date_add("last.order_date", 60)).alias("cancelled_at"))
