@@ -1,6 +1,7 @@
 """Queries over customer runs: risk by day, daily flows, snapshots stored as
 intervals; each of their oracles computes the as-of facts of every customer on
-every day. Cohorts over several dimensions from stored bitmaps."""
+every day. Cohorts over several dimensions from stored bitmaps, and trailing
+windows from stored running totals."""
 
 from __future__ import annotations
 
@@ -14,7 +15,9 @@ from cohortwise.operators import campaigns as CP
 from cohortwise.operators import cohort_cube as CC
 from cohortwise.operators import cohorts as CH
 from cohortwise.operators import history as HI
+from cohortwise.operators import risk as RK
 from cohortwise.operators import runs as RU
+from cohortwise.operators import trailing as TR
 from cohortwise.plans import catalog as K
 from cohortwise.plans import oracle as O
 from cohortwise.plans.catalog_tables import _path
@@ -216,3 +219,31 @@ def q_cohort_cube(spark, sf):
 def q_cohort_cube_quarters(spark, sf):
     """The same parts by quarters since acquisition: months merged by OR."""
     return CC.cohort_cube(_parts(spark, sf), DIMS, months_per_period=3)
+
+
+# --------------------------------------------------------------------------
+# Trailing windows
+# --------------------------------------------------------------------------
+WINDOWS, WINDOW_DAYS = (7, 14, 30), ("2024-01-15", K.EV_REF)
+
+
+def _totals(spark, sf):
+    return K.stored(TR.running_totals(src.engagement_events(spark, sf)), "totals")
+
+
+@register("engagement_windows", f"""SELECT CAST(e.user_id AS BIGINT) AS customer_id, d.snapshot_date,
+  {', '.join(f"COUNT(*) FILTER (CAST(e.ts AS DATE) > d.snapshot_date - {w}) AS events_{w}" for w in WINDOWS)}
+FROM events e JOIN (SELECT CAST(x AS DATE) AS snapshot_date FROM (VALUES {', '.join(f"('{x}')" for x in WINDOW_DAYS)}) t(x)) d
+  ON CAST(e.ts AS DATE) <= d.snapshot_date WHERE e.event_type <> 'purchase' GROUP BY 1, 2""")
+def q_engagement_windows(spark, sf):
+    """Three windows on two days, all from one table of running totals."""
+    return TR.trailing_counts(_totals(spark, sf), list(WINDOW_DAYS), list(WINDOWS))
+
+
+@register("engagement_risk_stored", K.CATALOG["engagement_risk"][1])
+def q_engagement_risk_stored(spark, sf):
+    """The engagement signal of the risk layer from the stored totals."""
+    counts = TR.trailing_counts(_totals(spark, sf), [K.EV_REF], [K.ENGAGE_DAYS], name="engagement_events")
+    eng = counts.withColumnRenamed(f"engagement_events_{K.ENGAGE_DAYS}", "engagement_events")
+    return K._money_facts(RK.churn_detection(K._facts(spark, sf, source="events"), K.EV_REF, K.TIGHT, K.ENGAGE_W, engagement=eng,
+                                             engagement_min_events=K.ENGAGE_MIN))

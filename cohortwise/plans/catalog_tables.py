@@ -382,3 +382,22 @@ def q_subscription_status(spark, sf):
 def q_qc_baseline_deviation(spark, sf):
     """Days whose share lies three points or more from its baseline."""
     return QC.baseline_deviation(K._alert(spark, sf), 3.0).withColumn("deviation", F.round("deviation", 6))
+
+
+# --------------------------------------------------------------------------
+# The alert as a stream
+# --------------------------------------------------------------------------
+from cohortwise.streaming import alerts as SA  # noqa: E402
+
+
+@register("alert_stream_events", O.with_(*K._EV_HIST_SQL, O.alert_ctes(K.EV_ALERT)) + "SELECT * FROM alerts")
+def q_alert_stream_events(spark, sf):
+    """A2 / A4: the daily shares streamed in by thirds, the middle one last; the newest judgement of every day."""
+    root = _path(spark, "alert-stream")
+    days = K.stored(K._ev_hist(spark, sf), "distribution")
+    third = F.floor(F.datediff("snapshot_date", F.lit(K.EV_START).cast("date")) / 11)
+    for part in (0, 2, 1):
+        days.where(third == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in days.schema.fields)
+        SA.start_alert_stream(spark, f"{root}/in", schema, f"{root}/out", f"{root}/checkpoint", K.EV_ALERT).awaitTermination()
+    return K._alert_out(SA.read_alerts(spark, f"{root}/out"))
