@@ -47,6 +47,7 @@ def risk_distribution(risk: DataFrame) -> DataFrame:
 def facts_summary(facts: DataFrame) -> DataFrame:
     """Q1 — one row: size, uniqueness, date span, averages, violation counters
     (plus the NULL-key row count, which GROUP BY keeps as a customer)."""
+    # fixed values: the names of the check's columns
     return facts.agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.count_distinct("customer_id").alias("unique_customers"),
