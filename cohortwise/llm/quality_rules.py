@@ -75,7 +75,28 @@ def rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     look up whether it is trusted (null: not). Long texts are judged whole.
     An empty table gives an empty result. A column of ``docs`` named
     ``quality`` is replaced in the result.
+
+    Do not filter the result on its verdict: the filter would be pushed below
+    the arrays and compute them again in every place. ``kept`` does it safely.
     """
+    judged = _judged(docs, trusted, id_col, text_col, buckets, smoothing, threshold)
+    return judged.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c != "quality"], "quality")
+
+
+def kept(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         buckets: int = BUCKETS, smoothing: float = SMOOTHING, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns. The
+    filter also asks for a row number, which is always there: Catalyst moves no
+    filter below a projection that numbers rows, so the verdict is computed
+    once. Edge cases as in ``rules``."""
+    judged = _judged(docs, trusted, id_col, text_col, buckets, smoothing, threshold)
+    stays = judged.select("_row", F.col("quality.kept").alias("_kept"), F.monotonically_increasing_id().alias("_nth"))
+    return stays.where(F.col("_kept") & (F.col("_nth") >= 0)).select("_row.*")
+
+
+def _judged(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int, smoothing: float,
+            threshold: float) -> DataFrame:
+    """The row as the struct ``_row``, and ``quality``."""
     weights = bucket_weights(docs, trusted, id_col, text_col, buckets, smoothing).collect()  # at most ``buckets`` rows
     table = [0.0] * buckets
     for row in weights:
@@ -108,7 +129,7 @@ def rules(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
                                                .alias("n_repeat_words"))).drop("_base", "_starts")
     n = F.col("quality.n_words")
     failed = (n < 10) | (F.lit(100) * F.col("quality.n_repeat_words") > F.lit(20) * n)
-    return step.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c != "quality"], F.struct(
+    return step.select("_row", F.struct(
         *[F.col(f"quality.{c}").alias(c) for c in
           ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr")],
         failed.alias("base_failed"), (~failed & (F.col("quality.llr") >= F.lit(threshold))).alias("kept")).alias("quality"))

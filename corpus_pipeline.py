@@ -18,7 +18,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; trusted are the rows labelled 1."""
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
-    return quality_rules.rules(docs, trusted).where("quality.kept").select(*docs.columns)
+    return quality_rules.kept(docs, trusted)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

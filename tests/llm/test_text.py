@@ -174,6 +174,18 @@ OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
     assert got == {1: "ISC", 2: "ISC", 3: "ISC", 4: "MIT", 5: "MIT", 6: None, 7: None}
 
 
+def test_filter_on_the_verdict_computes_nothing_twice(spark, edges):
+    """The plan that keeps rows hashes no more often than the plan that judges them."""
+    trusted = spark.createDataFrame([(1,), (6,)], "doc_id long")
+    judged, kept = quality_rules.rules(edges, trusted), quality_rules.kept(edges, trusted)
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    for call in ("xxhash64(", "split("):
+        assert 0 < plan(kept).count(call) <= plan(judged).count(call)
+    want = [r for r in judged.collect() if r["quality"].kept]
+    assert kept.columns == edges.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in want)
+
+
 def test_mixing_meets_marginals(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(["w"] * rng.randrange(5, 40)) + rng.choice(("", " a@b", " | x")), rng.choice("aab"), rng.choice(["en", "de"]))
