@@ -49,12 +49,12 @@ WHITE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "points", "length", "linked", "content", "named")
+    __slots__ = ("tag", "parent", "children", "cut", "points", "length", "linked", "content", "named", "inside")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool = False, content: bool = False):
         self.tag, self.parent, self.children = tag, parent, []
         self.cut, self.content, self.named = cut, content, False  # boilerplate; named as an article's body; as boilerplate
-        self.points, self.length, self.linked = 0.0, 0, 0
+        self.points, self.length, self.linked, self.inside = 0.0, 0, 0, False
 
 
 def _named(tag: str, attributes: str) -> tuple[bool, bool, bool]:
@@ -199,13 +199,14 @@ def _prepared(root: Node) -> list[Node]:
         linked |= node.tag == "a"
         own = sum(len(x.strip()) for x in node.children if isinstance(x, str))
         node.length, node.linked = own, own if linked else 0
-        stack.extend((x, linked, in_article or node.content) for x in reversed(node.children) if isinstance(x, Node))
+        node.inside = in_article
+        stack.extend((x, linked, node.inside or node.content) for x in reversed(node.children) if isinstance(x, Node))
     for node in reversed(order):
         if node.parent is not None:
             node.parent.length += node.length
             node.parent.linked += node.linked
-    for node in order:  # lists of links only are menus
-        if node.tag in ("ul", "ol") and node.length and node.linked >= 0.9 * node.length and \
+    for node in order:  # lists of links only are menus, unless they belong to the marked article: its references
+        if node.tag in ("ul", "ol") and not node.inside and node.length and node.linked >= 0.9 * node.length and \
                 sum(isinstance(x, Node) and x.tag == "li" for x in node.children) > 2:
             node.cut = True
     return order

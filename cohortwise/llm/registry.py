@@ -92,8 +92,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(revisit, F.col("response.payload_digest")).otherwise(warc.base32_sha1(F.col("response.payload"))).alias("payload_digest"),
         F.col("response.record_type").alias("record_type"), F.col("response.refers_to").alias("refers_id")), "captures")
     target = flat.select(F.col("capture_id").alias("refers_id"), F.col("page_id").alias("refers_to"), F.col("own_bytes").alias("full_bytes"))
-    return flat.join(target, "refers_id", "left").select(
-        "page_id", F.coalesce("own_bytes", "full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    own = flat.where("refers_id IS NULL").withColumns({"payload_bytes": F.col("own_bytes"), "refers_to": F.lit(None).cast("long")})
+    # only revisits look for their response
+    again = flat.where("refers_id IS NOT NULL").join(target, "refers_id", "left").withColumn(
+        "payload_bytes", F.coalesce("own_bytes", "full_bytes"))
+    return own.select(*columns).unionByName(again.select(*columns))
 
 
 @query("op9_html_text")

@@ -13,11 +13,14 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Workers find the package through PYTHONPATH or the folder Spark was
-    started in; else it is sent along as a zip file, once per application."""
+    """On a local master workers find the package through PYTHONPATH or the
+    folder Spark was started in. Else, and always on a cluster, whose executors
+    have neither, it is sent along as a zip file, once per application."""
+    master = spark.sparkContext.master
+    local = master == "local" or master.startswith("local[")
     paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     app = spark.sparkContext.applicationId
-    if app in _SHIPPED or any(p and os.path.realpath(p) == os.path.realpath(ROOT) for p in paths):
+    if app in _SHIPPED or local and any(p and os.path.realpath(p) == os.path.realpath(ROOT) for p in paths):
         return
     base = os.path.join(tempfile.mkdtemp(prefix="cohortwise-ship-"), "cohortwise")
     spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", ROOT, "cohortwise"))

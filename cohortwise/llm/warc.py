@@ -104,6 +104,14 @@ def write_archives(pages: DataFrame, path: str, revisit_from: int = REVISIT_FROM
         "maxRecordsPerFile", records_per_file).text(path, compression="gzip", lineSep="\r\n\r\n")
 
 
+def header_text(raw: bytes) -> str:
+    """Header bytes as text: UTF-8, or Latin-1 as older servers send it."""
+    try:
+        return raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
+
+
 def _parsed(content: bytes):
     """The records of one archive file."""
     stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content))
@@ -117,7 +125,7 @@ def _parsed(content: bytes):
             raise ValueError(f"not a WARC record: {line[:40]!r}")
         headers = {}
         while (line := stream.readline()) not in (b"\r\n", b""):
-            key, _, value = line.decode("utf-8").partition(":")
+            key, _, value = header_text(line).partition(":")
             headers[key.lower()] = value.strip()
         size = int(headers["content-length"])
         block = stream.read(size)
@@ -144,7 +152,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     header, payload = None, block
                     if h.get("content-type", "").startswith("application/http"):
                         header, _, payload = block.partition(b"\r\n\r\n")
-                        header = header.decode("utf-8")
+                        header = header_text(header)
                     digest = h.get("warc-payload-digest")
                     rows.append((h.get("warc-record-id"), h.get("warc-type"), h.get("warc-concurrent-to"), h.get("warc-refers-to"),
                                  h.get("warc-target-uri"), h.get("warc-date"), digest and digest.removeprefix("sha1:"),

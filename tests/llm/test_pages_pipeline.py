@@ -76,6 +76,31 @@ def test_html_short_sections_and_lists_stay():
     assert html_text.main_text(page).split("\n")[9:] == ["Short end.", "one", "two"]
 
 
+def test_html_references_of_the_article_stay():
+    """A list of links is a menu outside the article and its references inside it."""
+    links = "".join(f"<li><a href=/{k}>Reference {k}</a></li>" for k in range(4))
+    text = "".join(f"<p>{'Some words, and more of them, in a sentence. ' * 6}</p>" for _ in range(3))
+    page = f"<body><ul>{links.replace('Reference', 'Menu')}</ul><article>{text}<ol>{links}</ol></article><ul>{links.replace('Reference', 'More')}</ul></body>"
+    got = html_text.main_text(page).split("\n")
+    assert got[-4:] == [f"Reference {k}" for k in range(4)] and len(got) == 7
+
+
+def test_warc_headers_in_latin_1(spark, tmp_dir):
+    import gzip
+
+    from cohortwise.llm import warc
+
+    def record(kind, number, block, extra=b"", content=b"application/http; msgtype=response"):
+        return (b"WARC/1.0\r\nWARC-Type: " + kind + b"\r\nWARC-Record-ID: <urn:x:" + number + b">\r\nWARC-Target-URI: http://ex\xe4mple/" + extra
+                + b"\r\nContent-Type: " + content + b"\r\nContent-Length: " + str(len(block)).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+    block = b"HTTP/1.1 200 OK\r\nServer: caf\xe9\r\n\r\n<p>body \xc3\xa9</p>"
+    with open(f"{tmp_dir}/one.warc.gz", "wb") as f:
+        f.write(gzip.compress(record(b"response", b"1", block)))
+    (row,) = warc.read_records(spark, tmp_dir).collect()
+    assert row.target_uri == "http://ex\xe4mple/" and row.http_header.endswith("Server: caf\xe9") and bytes(row.payload) == b"<p>body \xc3\xa9</p>"
+
+
 def test_html_corpus_articles(spark):
     """The corpus marks its articles: what is read equals the marked part."""
     import html as entities
