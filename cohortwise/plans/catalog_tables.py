@@ -401,3 +401,55 @@ def q_alert_stream_events(spark, sf):
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in days.schema.fields)
         SA.start_alert_stream(spark, f"{root}/in", schema, f"{root}/out", f"{root}/checkpoint", K.EV_ALERT).awaitTermination()
     return K._alert_out(SA.read_alerts(spark, f"{root}/out"))
+
+
+# --------------------------------------------------------------------------
+# All checks of a layer in one pass
+# --------------------------------------------------------------------------
+from cohortwise.operators import layer_checks as LC  # noqa: E402
+
+_TWO_DAYS = O.with_(*_BASE, O.status_cte(K.PAST, name="d1"), O.status_cte(K.REF, K.WIDE, name="d2"),
+                    "both_days AS (SELECT * FROM d1 UNION ALL SELECT * FROM d2)")
+
+
+def _checks_sql(distinct: bool) -> str:
+    per = "FROM both_days GROUP BY retention_status"
+    rows = [f"SELECT 'Q4' AS check_id, retention_status AS item, 'customer_count' AS metric, COUNT(*)::DOUBLE AS value {per}",
+            f"SELECT 'Q6', retention_status, 'min_days', MIN(days_since_last_order)::DOUBLE {per}",
+            f"SELECT 'Q6', retention_status, 'max_days', MAX(days_since_last_order)::DOUBLE {per}"]
+    wanted = {"min_days": "MIN(days_since_last_order)", "max_days": "MAX(days_since_last_order)", "total_rows": "COUNT(*)",
+              "future_orders": "COUNT(*) FILTER (days_since_last_order < 0)"}
+    if distinct:
+        wanted["unique_customers"] = "COUNT(DISTINCT customer_id)"
+        rows.append("""SELECT 'Q7', 'all', 'multi_status_customers', COUNT(*)::DOUBLE FROM (SELECT 1 FROM both_days
+  GROUP BY customer_id, snapshot_date HAVING COUNT(DISTINCT retention_status) > 1)""")
+    rows += [f"SELECT 'Q5', 'all', '{m}', {x}::DOUBLE FROM both_days" for m, x in wanted.items()]
+    return _TWO_DAYS + " UNION ALL ".join(rows)
+
+
+def _two_days(spark, sf):
+    f = K._facts(spark, sf)
+    return ST.retention_status(f, K.PAST).unionByName(ST.retention_status(f, K.REF, K.WIDE))
+
+
+@register("snapshot_checks", _checks_sql(distinct=True))
+def q_snapshot_checks(spark, sf):
+    """Q4 to Q7 of two stored days from one scan of them."""
+    path = _path(spark, "snapshots")
+    T.write_snapshot(_two_days(spark, sf), path)
+    return LC.snapshot_checks(T.read_snapshot(spark, path))
+
+
+@register("snapshot_checks_observed", _checks_sql(distinct=False))
+def q_snapshot_checks_observed(spark, sf):
+    """Q4 to Q6 counted while the layer is written."""
+    path = _path(spark, "snapshots")
+    return LC.write_observed(_two_days(spark, sf), lambda df: T.write_snapshot(df, path))
+
+
+@register("risk_checks", O.with_(*_BASE, O.status_cte(K.REF, K.WIDE), O.risk_cte()) + """SELECT 'Q8' AS check_id, churn_risk_level AS item,
+  'customer_count' AS metric, COUNT(*)::DOUBLE AS value FROM risk GROUP BY 2
+UNION ALL SELECT 'Q9', concat(retention_status, '|', churn_risk_level), 'customer_count', COUNT(*)::DOUBLE FROM risk GROUP BY 2
+UNION ALL SELECT 'Q11', 'all', 'out_of_range', COUNT(*) FILTER (churn_risk_score NOT BETWEEN 0 AND 100)::DOUBLE FROM risk""")
+def q_risk_checks(spark, sf):
+    return LC.risk_checks(K._riskdf(spark, sf, K.WIDE))
