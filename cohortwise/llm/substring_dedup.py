@@ -8,29 +8,35 @@ are extended: the windows of ``WINDOW`` words around an anchor, on both sides,
 are compared in full with those of other texts; runs of confirmed windows are
 the maximal repeats, and their words are removed.
 
-Index and probes go to buckets by hash range, as sorted arrays packed per
-slice of texts; anchor hashes of 48 bits only choose what is compared, the
-comparison itself uses 96 bits. Work per task is bounded by a bucket, and the
-number of buckets follows ``spark.sql.shuffle.partitions``. No pairs of texts
-are formed: each bucket reduces to the smallest id per hash.
+Texts travel as compressed slices of about 4 MB, shuffled once by slice and
+read from that shuffle three times. A slice sends to the buckets (by hash
+range) only its *distinct* hashes, sorted: anchor hashes of 48 bits with a mark
+for blocks, window hashes of 96 bits with the smallest id that has them here.
+A bucket answers with one bit per entry, and the slice, which makes the same
+sorted list again, reads off it what to do. So a window that a third of all
+rows share is one entry per slice and no more, no places or owners travel, no
+pairs are formed, and nothing is gathered by text. Anchor hashes only choose
+what is compared; the comparison uses 96 bits.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortwise.llm.kernels import SPACE, U64, Words, mix, slices
+from cohortwise.llm.kernels import U64, Words, slices, text_buffer
 
 WINDOW = 13
 #: The longest block of which every window must hold one in full.
 BLOCK = (WINDOW + 1) // 2
+ANCHOR_BITS = 48
 _CODEC = pa.Codec("zstd", compression_level=1)
-PACKED = "bucket int, owners binary, hashes binary, extra binary, owner binary, place binary"
+SLICE = "slice long, ids binary, size long, texts binary, ends binary"
+ENTRIES = "bucket int, slice long, hashes binary, extra binary, owner binary, owners binary"
+ANSWER = "slice long, bucket int, bits binary"
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -64,185 +70,236 @@ def steps(values: np.ndarray) -> np.ndarray:
     return out
 
 
-class Rows:
-    """Collects (bucket, hash, extra, owner, place) entries of a slice into packed rows."""
-
-    def __init__(self, buckets: int):
-        self.buckets = U64(buckets)
-
-    def batch(self, ids: np.ndarray, texts: np.ndarray, hashes, bits: int, extra, owner, place) -> pa.RecordBatch:
-        order = np.argsort(hashes, kind="stable")
-        hashes = hashes[order]
-        bucket = ((hashes >> U64(bits - 32)) * self.buckets) >> U64(32)
-        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(hashes) else np.zeros(1, int)
-        columns = [[] for _ in range(6)]
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            part = order[a:b]
-            present, local = np.unique(owner[part], return_inverse=True)
-            values = (int(bucket[a]), np.stack([ids[present], texts[present]]).tobytes(), packed(steps(hashes[a:b])),
-                      (packed_flags if extra.dtype == bool else packed)(extra[part]), packed(local), packed(place[part]) if place is not None else None)
-            for column, value in zip(columns, values):
-                column.append(value)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-            names=["bucket", "owners", "hashes", "extra", "owner", "place"])
-
-
-def _bucket(table: pa.Table, flags: bool):
-    """All entries of a bucket: hashes, extra, ids, text hashes, owner numbers, places."""
-    parts, base = [], 0
-    for row in table.select(["owners", "hashes", "extra", "owner", "place"]).to_pylist():
-        owners = np.frombuffer(row["owners"], np.int64).reshape(2, -1)
-        parts.append((np.cumsum(unpacked(row["hashes"]), dtype=U64), (unpacked_flags if flags else unpacked)(row["extra"]), owners,
-                      unpacked(row["owner"]).astype(np.int64) + base,
-                      unpacked(row["place"]) if row["place"] is not None else None))
-        base += owners.shape[1]
-    hashes, extra, owner = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 3))
-    owners = np.concatenate([p[2] for p in parts], axis=1)
-    places = np.concatenate([p[4] for p in parts]) if parts[0][4] is not None else None
-    return hashes, extra, owners, owner, places
-
-
-FOUND = "key_id long, text_hash long, found binary"
-GROUPED = "part int, owners binary, found binary, owner binary"
-
-
-def _by_part(owners: np.ndarray, owner: np.ndarray, values: np.ndarray, parts: int) -> pa.Table:
-    """What a bucket found, as one packed row per part of the texts; copies of
-    a text differ in their ids, so they spread over the parts."""
-    part = (mix(owners[1].view(U64) ^ mix(owners[0].view(U64))) % U64(parts))[owner]
-    order = np.argsort(part, kind="stable")
-    part, owner, values = part[order], owner[order], values[order].astype(U64)
-    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, int)
-    columns = [[], [], [], []]
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        present, local = np.unique(owner[a:b], return_inverse=True)
-        for column, value in zip(columns, (int(part[a]), owners[:, present].tobytes(), packed(values[a:b]), packed(local))):
-            column.append(value)
-    return pa.table([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-                    names=["part", "owners", "found", "owner"])
-
-
-def _by_text(table: pa.Table) -> pa.Table:
-    """(key_id, text_hash, found): all that the buckets found in each text of a part."""
-    owners, owner, values, base = [], [], [], 0
-    for row in table.select(["owners", "found", "owner"]).to_pylist():
-        owners.append(np.frombuffer(row["owners"], np.int64).reshape(2, -1))
-        owner.append(unpacked(row["owner"]).astype(np.int64) + base)
-        values.append(unpacked(row["found"]))
-        base += owners[-1].shape[1]
-    owners, owner, values = np.concatenate(owners, axis=1), np.concatenate(owner), np.concatenate(values)
-    texts, same = np.unique(owners, axis=1, return_inverse=True)
-    owner = same.reshape(-1)[owner]
-    order = np.argsort(owner, kind="stable")
-    owner, values = owner[order], values[order]
-    cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
-    who = owner[cuts[:-1]]
-    found = [values[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-    return pa.table({"key_id": pa.array(texts[0][who]), "text_hash": pa.array(texts[1][who]), "found": pa.array(found, pa.binary())})
-
-
-def _gathered(grouped: DataFrame) -> DataFrame:
-    return grouped.groupBy("part").applyInArrow(_by_text, FOUND)
-
-
-def anchors(rows: DataFrame, buckets: int) -> DataFrame:
-    """Anchor hashes (48 bits) per text: blocks that a text with another id
-    probes, and probes that hit a block of a text with a smaller id."""
+def packed_signed(values: np.ndarray) -> bytes:
+    """Signed integers in any order: the least, then packed distances from it."""
+    least = int(values.min()) if len(values) else 0
+    return least.to_bytes(8, "little", signed=True) + packed(values.view(U64) - U64(least & (2**64 - 1)))
 
-    def emit(batches):
+
+def unpacked_signed(data: bytes) -> np.ndarray:
+    least = int.from_bytes(data[:8], "little", signed=True)
+    return (unpacked(data[8:]) + U64(least & (2**64 - 1))).view(np.int64)
+
+
+def _bucket(hashes: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    return ((hashes >> U64(bits - 32)) * U64(buckets)) >> U64(32)
+
+
+def _cuts(sorted_buckets: np.ndarray) -> list[int]:
+    if not len(sorted_buckets):
+        return [0]
+    return np.flatnonzero(np.r_[True, sorted_buckets[1:] != sorted_buckets[:-1], True]).tolist()
+
+
+def _slice_row(number: int, ids: np.ndarray, texts: pa.Array) -> dict:
+    raw, offsets = text_buffer(texts)
+    return {"slice": number, "ids": packed_signed(ids), "size": len(raw), "texts": _CODEC.compress(raw, asbytes=True),
+            "ends": packed(steps(offsets[1:].astype(U64)))}
+
+
+def packed_slices(rows: DataFrame) -> DataFrame:
+    """Rows (key_id, body) as slices: ids, compressed texts, and where each ends."""
+
+    def pack(batches):
+        n = 0
+        first = TaskContext.get().partitionId() << 32
         for batch in slices(batches, "body"):
-            words = Words(batch.column(2))
-            hashes, valid = words.windows(BLOCK)
-            at = np.flatnonzero(valid)
-            owner = np.repeat(np.arange(batch.num_rows), words.count)[at]
-            block = (at - words.first[owner]) % BLOCK == 0
-            yield Rows(buckets).batch(batch.column(0).to_numpy(), batch.column(1).to_numpy(), hashes[at] >> U64(16), 48,
-                                      block, owner, None)
+            ids = batch.column(0).to_numpy().astype(np.int64)
+            yield pa.RecordBatch.from_pylist([_slice_row(first + n, ids, batch.column(1))])
+            n += 1
+
+    return rows.mapInArrow(pack, SLICE).repartition("slice")
+
+
+class Slice:
+    """A slice read back: its ids, its words, and the sorted lists it sends."""
+
+    def __init__(self, row: dict, buckets: int):
+        self.number, self.buckets = row["slice"], buckets
+        self.ids = unpacked_signed(row["ids"])
+        raw = _CODEC.decompress(row["texts"], row["size"]) if row["size"] else b""
+        ends = np.cumsum(unpacked(row["ends"]), dtype=U64).astype(np.int64)
+        offsets = pa.py_buffer(np.concatenate([np.zeros(1, np.int64), ends]))
+        texts = pa.Array.from_buffers(pa.large_string(), len(ends), [None, offsets, pa.py_buffer(raw)])
+        self.words = Words(texts)
+        self.owner = np.repeat(np.arange(len(self.ids)), self.words.count)
+
+    def anchors(self):
+        """(sorted distinct anchor hashes, block marks, start of each bucket,
+        entry of each valid window, places of these windows)."""
+        hashes, valid = self.words.windows(BLOCK)
+        at = np.flatnonzero(valid)
+        block = (at - self.words.first[self.owner[at]]) % BLOCK == 0
+        values, entry = np.unique(hashes[at] >> U64(64 - ANCHOR_BITS), return_inverse=True)
+        mark = np.zeros(len(values), bool)
+        mark[entry[block]] = True
+        return values, mark, _cuts(_bucket(values, ANCHOR_BITS, self.buckets)), entry, at
+
+    def wanted(self, answers) -> np.ndarray:
+        """Places of windows around anchors, after the buckets' ``answers``
+        (bucket, bits): a hash that another slice has too, or that texts of
+        different ids share here, with a block on some side."""
+        values, mark, cuts, entry, at = self.anchors()
+        hit = _answered(values, ANCHOR_BITS, self.buckets, cuts, answers)
+        ids = self.ids[self.owner[at]]
+        least, most = np.full(len(values), np.iinfo(np.int64).max), np.full(len(values), np.iinfo(np.int64).min)
+        np.minimum.at(least, entry, ids)
+        np.maximum.at(most, entry, ids)
+        hit |= mark & (least < most)
+        spot = at[hit[entry]]
+        # windows that hold an anchor: start up to WINDOW - BLOCK words before it, in the same text
+        near = np.zeros(len(self.words.start) + 1, np.int64)
+        np.add.at(near, np.maximum(spot - (WINDOW - BLOCK), self.words.first[self.owner[spot]]), 1)
+        np.add.at(near, spot + 1, -1)
+        return np.flatnonzero((np.cumsum(near[:-1]) > 0) & self.words.windows(WINDOW, 1)[1])
+
+    def windows(self, answers):
+        """(hash, extra, least id) of the distinct windows around anchors in
+        order, start of each bucket, entry of each such window, their places."""
+        at = self.wanted(answers)
+        first, second = self.words.windows(WINDOW, 1)[0][at], self.words.windows(WINDOW, 2)[0][at] >> U64(32)
+        order = np.lexsort((second, first))
+        first, second = first[order], second[order]
+        new = np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])] if len(order) else np.zeros(0, bool)
+        entry = np.empty(len(order), np.int64)
+        entry[order] = np.cumsum(new) - 1
+        first, second = first[new], second[new]
+        least = np.full(len(first), np.iinfo(np.int64).max)
+        np.minimum.at(least, entry, self.ids[self.owner[at]])
+        return first, second, least, _cuts(_bucket(first, 64, self.buckets)), entry, at
+
+    def repeated(self, answers, again) -> np.ndarray:
+        """Places of windows that also start in a text with a smaller id;
+        ``again``: the buckets' second answers, a smaller id in another slice."""
+        first, _, least, cuts, entry, at = self.windows(answers)
+        elsewhere = _answered(first, 64, self.buckets, cuts, again)
+        return at[elsewhere[entry] | (self.ids[self.owner[at]] > least[entry])]
+
+
+def _answered(values: np.ndarray, bits: int, buckets: int, cuts: list[int], answers) -> np.ndarray:
+    """The answered bits of a sorted list, false where a bucket had nothing to say."""
+    out = np.zeros(len(values), bool)
+    of = dict(zip((int(b) for b in _bucket(values[cuts[:-1]], bits, buckets)), zip(cuts[:-1], cuts[1:]))) if len(values) else {}
+    for a in answers or []:
+        start, stop = of[a["bucket"]]
+        out[start:stop] = np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=stop - start).astype(bool)
+    return out
+
+
+def _read(batches, buckets: int):
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = {name: batch.column(i)[k].as_py() for i, name in enumerate(batch.schema.names)}
+            yield Slice(row, buckets), row
+
+
+def _sent(number: int, buckets: np.ndarray, cuts: list[int], columns) -> pa.RecordBatch:
+    """One row per bucket; ``columns``: a function of (start, stop) to the packed columns."""
+    rows = [columns(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(buckets.astype(np.int32)), pa.array(np.full(len(rows), number, np.int64)),
+         *[pa.array([r[k] for r in rows], pa.binary()) for k in range(4)]],
+        names=["bucket", "slice", "hashes", "extra", "owner", "owners"])
+
+
+def _answers(sent: DataFrame, judge) -> DataFrame:
+    """Per slice the list of (bucket, bits) with some bit set."""
 
     def match(table: pa.Table) -> pa.Table:
-        hashes, block, owners, owner, _ = _bucket(table, flags=True)
-        ids, block = owners[0][owner], block.astype(bool)
-        index, at = np.unique(hashes[block], return_inverse=True)
-        if not len(index):
-            return _by_part(owners, owner[:0], hashes[:0], buckets)
-        least = np.full(len(index), np.iinfo(np.int64).max)
-        np.minimum.at(least, at, ids[block])
-        slot = np.minimum(np.searchsorted(index, hashes), len(index) - 1)
-        known = index[slot] == hashes
-        most = np.full(len(index), np.iinfo(np.int64).min)
-        np.maximum.at(most, slot[known], ids[known])
-        hit = known & ((least[slot] < ids) | (block & (most[slot] > ids)))
-        return _by_part(owners, owner[hit], hashes[hit], buckets)
-
-    return _gathered(rows.mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(match, GROUPED))
-
-
-def repeats(rows: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
-    """Start positions, per text, of windows that also occur in a text with a
-    smaller id; ``found``: the texts' anchors."""
+        rows = table.to_pylist()
+        bits = judge(rows)
+        some = [i for i, b in enumerate(bits) if b.any()]
+        return pa.table({"slice": pa.array([rows[i]["slice"] for i in some], pa.int64()),
+                         "bucket": pa.array([rows[i]["bucket"] for i in some], pa.int32()),
+                         "bits": pa.array([np.packbits(bits[i]).tobytes() for i in some], pa.binary())})
+
+    given = sent.groupBy("bucket").applyInArrow(match, ANSWER)
+    return given.groupBy("slice").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))  # at most one per bucket
+
+
+def _split(flat: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    return np.split(flat, np.cumsum(sizes)[:-1])
+
+
+def anchor_answers(held: DataFrame, buckets: int) -> DataFrame:
+    """Anchor hashes of each slice that another slice has too, a block on some side."""
 
     def emit(batches):
-        for batch in slices(batches, "body"):
-            words = Words(batch.column(2))
-            hashes, valid = words.windows(BLOCK)
-            owner = np.repeat(np.arange(batch.num_rows), words.count)
-            own = [np.frombuffer(x or b"", "<u8") for x in batch.column(3).to_pylist()]
-            salt = np.arange(batch.num_rows, dtype=U64) * U64(0x9E3779B97F4A7C15)
-            wanted = np.unique(mix(np.concatenate(own) ^ np.repeat(salt, [len(x) for x in own])))
-            if not len(wanted):
+        for part, _ in _read(batches, buckets):
+            values, mark, cuts, _, _ = part.anchors()
+            yield _sent(part.number, _bucket(values[cuts[:-1]], ANCHOR_BITS, buckets) if len(values) else values, cuts, lambda a, b: (
+                packed(steps(values[a:b])), packed_flags(mark[a:b]), None, None))
+
+    def judge(rows):
+        lists = [np.cumsum(unpacked(r["hashes"]), dtype=U64) for r in rows]
+        every = np.concatenate(lists)
+        mark = np.concatenate([unpacked_flags(r["extra"]) for r in rows]).astype(bool)
+        order = np.argsort(every, kind="stable")
+        ordered, mark = every[order], mark[order]
+        start = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+        count = np.diff(np.r_[start, len(ordered)])
+        hit = (count > 1) & np.logical_or.reduceat(mark, start)  # a slice sends a hash once
+        out = np.empty(len(every), bool)
+        out[order] = np.repeat(hit, count)
+        return _split(out, [len(x) for x in lists])
+
+    return _answers(held.mapInArrow(emit, ENTRIES), judge)
+
+
+def window_answers(held: DataFrame, buckets: int) -> DataFrame:
+    """Windows of each slice that another slice has with a smaller id. ``held``: slices with their anchor answers."""
+
+    def emit(batches):
+        for part, row in _read(batches, buckets):
+            if not row["bits"] and len(np.unique(part.ids)) < 2:
                 continue
-            asked = mix((hashes >> U64(16)) ^ salt[owner])
-            hit = valid & (wanted[np.minimum(np.searchsorted(wanted, asked), len(wanted) - 1)] == asked)
-            del asked
-            first, second = words.windows(WINDOW, 1), words.windows(WINDOW, 2)[0]
-            # windows that hold an anchor: start up to WINDOW - BLOCK words before it, in the same text
-            near = np.zeros(len(hit) + 1, np.int64)
-            spot = np.flatnonzero(hit)
-            np.add.at(near, np.maximum(spot - (WINDOW - BLOCK), words.first[owner[spot]]), 1)
-            np.add.at(near, spot + 1, -1)
-            at = np.flatnonzero((np.cumsum(near[:-1]) > 0) & first[1])
-            yield Rows(buckets).batch(batch.column(0).to_numpy(), batch.column(1).to_numpy(), first[0][at], 64,
-                                      second[at] >> U64(32), owner[at], at - words.first[owner[at]])
+            first, second, least, cuts, _, _ = part.windows(row["bits"])
 
-    def match(table: pa.Table) -> pa.Table:
-        hashes, extra, owners, owner, places = _bucket(table, flags=False)
-        ids = owners[0][owner]
+            def columns(a, b):
+                owners, owner = np.unique(least[a:b], return_inverse=True)
+                return packed(steps(first[a:b])), packed(second[a:b]), packed(owner), packed_signed(owners)
+
+            yield _sent(part.number, _bucket(first[cuts[:-1]], 64, buckets) if len(first) else first, cuts, columns)
+
+    def judge(rows):
+        lists = [np.cumsum(unpacked(r["hashes"]), dtype=U64) for r in rows]
+        hashes, extra = np.concatenate(lists), np.concatenate([unpacked(r["extra"]) for r in rows])
+        ids = np.concatenate([unpacked_signed(r["owners"])[unpacked(r["owner"]).astype(np.int64)] for r in rows])
         order = np.lexsort((ids, extra, hashes))
-        hashes, extra, ids, owner, places = (x[order] for x in (hashes, extra, ids, owner, places))
-        start = np.r_[True, (hashes[1:] != hashes[:-1]) | (extra[1:] != extra[:-1])]
-        least = ids[np.flatnonzero(start)[np.cumsum(start) - 1]]
-        later = ids > least
-        return _by_part(owners, owner[later], places[later], buckets)
-
-    joined = rows.join(found, ["key_id", "text_hash"]).select("key_id", "text_hash", "body", "found")
-    return _gathered(joined.mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(match, GROUPED))
-
-
-def _kept(batches):
-    for batch in slices(batches, "body"):
-        words = Words(batch.column(1))
-        n = len(words.start)
-        cover = np.zeros(n + 1, np.int64)
-        places = [np.frombuffer(x or b"", "<u8") for x in batch.column(2).to_pylist()]
-        at = np.concatenate(places).astype(np.int64) + np.repeat(words.first[:-1], [len(x) for x in places])
-        np.add.at(cover, at, 1)
-        np.add.at(cover, at + WINDOW, -1)
-        keep = np.cumsum(cover[:-1]) == 0
-        count = np.concatenate([[0], np.cumsum(keep)])
-        start, size = words.start[keep], (words.end - words.start)[keep] + 1
-        ends = np.cumsum(size)
-        source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
-        raw = np.append(words.raw, np.uint8(32))
-        out = raw[source] if len(source) else raw[:0].copy()
-        out[ends - 1] = 32
-        bounds = np.concatenate([[0], ends])[count[words.first]]
-        text = out.tobytes()
-        kept = [text[a:max(b - 1, a)] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-        left = np.diff(count[words.first])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(words.count, pa.int64()), pa.array(words.count - left, pa.int64()),
-             pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
+        h, x, i = hashes[order], extra[order], ids[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (x[1:] != x[:-1])]
+        least = i[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        out = np.empty(len(hashes), bool)
+        out[order] = i > least
+        return _split(out, [len(y) for y in lists])
+
+    return _answers(held.mapInArrow(emit, ENTRIES), judge)
+
+
+def _kept(part: Slice, places: np.ndarray) -> pa.RecordBatch:
+    """The words that no repeated window covers."""
+    words = part.words
+    cover = np.zeros(len(words.start) + 1, np.int64)
+    np.add.at(cover, places, 1)
+    np.add.at(cover, places + WINDOW, -1)
+    keep = np.cumsum(cover[:-1]) == 0
+    count = np.concatenate([[0], np.cumsum(keep)])
+    start, size = words.start[keep], (words.end - words.start)[keep] + 1
+    ends = np.cumsum(size)
+    source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+    raw = np.append(words.raw, np.uint8(32))
+    out = raw[source] if len(source) else raw[:0].copy()
+    out[ends - 1] = 32
+    bounds = np.concatenate([[0], ends])[count[words.first]]
+    text = out.tobytes()
+    kept = [text[a:max(b - 1, a)] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+    left = np.diff(count[words.first])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part.ids), pa.array(words.count, pa.int64()), pa.array(words.count - left, pa.int64()),
+         pa.array(kept, pa.binary()).view(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
+
+
+OUTPUT = "doc_id long, n_words long, n_removed long, kept_text string"
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
@@ -254,14 +311,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     they share are not repeats of each other. Texts of any length are handled
     whole. An empty table gives an empty result; other columns are not read.
     """
-    spark = docs.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the texts are joined twice; names of their own keep both plans alike, so that Spark shuffles them once
-    rows = docs.select(F.col(id_col).cast("long").alias("key_id"),
-                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("body"))
-    named = rows.where("key_id IS NOT NULL")
-    cut = repeats(named, anchors(named, buckets), buckets)
-    joined = named.join(cut, ["key_id", "text_hash"], "left").select("key_id", "body", "found")
-    unnamed = rows.where("key_id IS NULL").select("key_id", "body", F.lit(None).cast("binary").alias("found"))
-    return joined.unionByName(unnamed).mapInArrow(
-        _kept, "doc_id long, n_words long, n_removed long, kept_text string")
+    buckets = buckets or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col(id_col).cast("long").alias("key_id"), F.col(text_col).alias("body"))
+    held = packed_slices(rows.where("key_id IS NOT NULL"))
+    first = anchor_answers(held, buckets)
+    # one plan for the slices in all places, so that Spark shuffles them once
+    asked = held.join(first.hint("shuffle_hash"), "slice", "left")
+    second = window_answers(asked, buckets).withColumnRenamed("bits", "again")
+
+    def cut(batches):
+        for part, row in _read(batches, buckets):
+            yield _kept(part, part.repeated(row["bits"], row["again"]))
+
+    named = asked.join(second.hint("shuffle_hash"), "slice", "left").mapInArrow(cut, OUTPUT)
+
+    def uncut(batches):
+        for batch in slices(batches, "body"):
+            part = Slice(_slice_row(0, np.zeros(batch.num_rows, np.int64), batch.column(1)), 1)
+            done = _kept(part, np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[done.column(k) for k in range(1, 4)]], names=done.schema.names)
+
+    return named.unionByName(rows.where("key_id IS NULL").mapInArrow(uncut, OUTPUT))

@@ -205,16 +205,53 @@ def test_packing_round_trip():
     for values in ([], [0], [5, 3, 2**63, 2**64 - 1], list(range(1000))):
         x = np.array(values, np.uint64)
         assert (substring_dedup.unpacked(substring_dedup.packed(x)) == x).all()
+    for values in ([], [-5], [2**63 - 1, -2**63, 0], [7, 3, 3]):
+        x = np.array(values, np.int64)
+        assert (substring_dedup.unpacked_signed(substring_dedup.packed_signed(x)) == x).all()
 
 
-def test_copies_of_a_text_spread_over_the_parts():
+def test_hot_window_is_one_entry_per_slice(spark):
+    """A window that a third of all rows share, many times each: a slice sends
+    it once, so what meets in its bucket grows with the slices, not the rows."""
     import numpy as np
+    import pyarrow as pa
+
+    hot = " ".join(f"hot{k}" for k in range(13))
+    texts = [f"{hot} own{i} {hot} x{i}" if i % 3 == 0 else f"plain{i} words{i} of{i} no{i} one{i} a{i} b{i} c{i}" for i in range(900)]
+    ids = np.arange(900)
+    parts = [substring_dedup.Slice(substring_dedup._slice_row(k, ids[k::3], pa.array(texts[k::3])), 4) for k in range(3)]
+    held = [p.anchors()[0] for p in parts]
+    assert all(len(np.unique(x)) == len(x) for x in held) and len(held[0]) < 300 * 12 * 2
+    first, _, least, cuts, entry, at = parts[0].windows(None)
+    times = np.bincount(entry)
+    assert len(first) == len(times) and sorted(times)[-2:] == [1, 600] and least[times.argmax()] == 0  # the hot one, once
+    rows = list(enumerate(texts))
+    want = substring_brute(rows)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text)
+           for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(9)).collect()}
+    assert got == want and sum(x[1] for x in want.values()) == 299 * 26
 
-    n = 4000
-    owners = np.stack([np.arange(n), np.full(n, -12345)])
-    rows = substring_dedup._by_part(owners, np.arange(n), np.arange(n), 16).to_pylist()
-    sizes = [len(substring_dedup.unpacked(r["found"])) for r in rows]
-    assert len({r["part"] for r in rows}) == 16 and sum(sizes) == n and max(sizes) < 2 * n / 16
+
+def test_substring_many_slices_and_negative_ids(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(300)}" for _ in range(4000)]
+    rows = []
+    for i in range(240):
+        at, n = rng.randrange(3900), rng.randrange(5, 60)
+        rows.append((rng.randrange(-10**12, 10**12) if i % 2 else i - 100, " ".join(base[at:at + n] + [f"u{i}"] + base[at // 2:at // 2 + n])))
+    want = substring_brute(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts, buckets in ((1, 1), (40, 7)):
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.remove_repeats(df.repartition(parts), buckets=buckets).collect()}
+        assert got == want
+
+
+def test_texts_are_shuffled_once(spark):
+    df = substring_dedup.remove_repeats(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(8))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # the slices twice more, and the first answers
+    assert plan.count("ReusedExchange [slice") == 3 and plan.count("MapInArrow pack") == 1
 
 
 def test_spark_only_moves_bounded_groups(spark):
