@@ -186,6 +186,26 @@ def test_filter_on_the_verdict_computes_nothing_twice(spark, edges):
     assert kept.columns == edges.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in want)
 
 
+def test_many_licences_under_other_wraps(spark):
+    """Every full text and notice, wrapped at other widths, titled, with its copyright line, is found as itself."""
+    import textwrap
+
+    rows, want = [], {}
+    full = [(i, t) for i, t in licences.KNOWN if len(t) > 150]
+    assert len({i for i, _ in full}) >= 14 and len({i for i, _ in licences.KNOWN}) >= 18
+    for n, (name, text) in enumerate(full):
+        for k, width in enumerate((60, 72, 100)):
+            body = "\n\n".join(textwrap.fill(" ".join(p.split()), width) for p in text.split("\n\n"))
+            title = licences.TITLES.get(name, [""])[0]
+            whole = f"{title}\n\nCopyright (c) 20{k}0 Some Body\n\n{body}\n" if title else f"Copyright 20{k}0 Some Body\n\n{body}"
+            rows.append((10 * n + k, whole))
+            want[10 * n + k] = name
+    rows += [(9000 + n, f"intro\n\nSPDX-License-Identifier: {name}\n\nmore") for n, name in enumerate(("Zlib", "BSD-3-Clause"))]
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), licences.known_digests(spark)).collect()}
+    assert {i: got[i].whole_licence for i in want} == want
+    assert (got[9000].licences, got[9001].licences, got[9000].whole_licence) == ("Zlib", "BSD-3-Clause", None)
+
+
 def test_mixing_meets_marginals(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(["w"] * rng.randrange(5, 40)) + rng.choice(("", " a@b", " | x")), rng.choice("aab"), rng.choice(["en", "de"]))
