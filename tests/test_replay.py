@@ -187,8 +187,7 @@ def test_building_a_query_starts_no_job_of_its_own(spark):
 def test_two_dates_from_one_scan(spark):
     import __spark_entry__ as E
 
-    for name, table in (("transition_matrix", "orders"), ("score_trend", "events"), ("risk_by_cohort", "orders"),
-                        ("alert_drilldown", "orders")):
+    for name, table in (("transition_matrix", "orders"), ("score_trend", "events"), ("risk_by_cohort", "orders")):
         df = E.queries()[name](spark, SF)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -266,3 +265,15 @@ def test_facts_stream_keeps_its_own_orders(spark, data, tmp_dir):
     assert _rows(INC.read_facts_version(spark, table).select(*FX.FACT_COLUMNS)) == want
     INC.merge_facts_epoch(spark, table, 2, parts[2], None, c)
     assert _rows(INC.read_facts_version(spark, table).select(*FX.FACT_COLUMNS)) == _rows(FX.base_customers(o, c))
+
+
+def test_drilldown_reads_its_written_intervals_alone(spark):
+    """Orders are read while the intervals are written, and not again; alerts and drill-down read these."""
+    import __spark_entry__ as E
+
+    for name in ("alert_drilldown", "alert_drilldown_top"):
+        df = E.queries()[name](spark, SF)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        scans = [x for x in final.splitlines() if "FileScan parquet" in x]
+        assert scans and all("/intervals-" in x for x in scans) and "NestedLoop" not in final and "Cartesian" not in final
