@@ -5,7 +5,8 @@ its words, its pairs of neighbouring words (pairs of equal words, and pairs
 seen before in the text, share a bucket each), and the character n-grams of
 its words with their borders. A softmax over two classes follows. Vectors and
 softmax are trained together by stochastic gradient descent in numpy on a
-bounded sample of labelled rows (``SAMPLE``); everything else covers all rows.
+sample of labelled rows bounded in rows and bytes (``SAMPLE``,
+``SAMPLE_BYTES``); everything else covers all rows.
 
 The output is linear in the averaged vectors, so for scoring every bucket is
 reduced to one number, its vector's share of the logit. That table, whose size
@@ -20,11 +21,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortwise.llm.kernels import SPACE, U64, Words, mix, slices
+from cohortwise.llm.storage import written
 
 #: Labelled rows used for training, at most; taken in the order of a hash of their ids.
 SAMPLE = 4000
+#: Bytes of their sparse features that the driver takes, at most; rows beyond are left out in the same order.
+SAMPLE_BYTES = 128 << 20
+#: Text bytes whose features are made at once: their arrays take over a hundred times as much.
+SLICE_BYTES = 1 << 20
 BUCKETS = 1 << 16
 DIMENSIONS = 10
 EPOCHS, BATCH, RATE = 4, 32, 0.15
@@ -88,7 +95,7 @@ def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _sparse(batches):
     """Distinct buckets and their weights, as bytes, of every text."""
-    for batch in slices(batches, "_text"):
+    for batch in slices(batches, "_text", SLICE_BYTES):
         rows = [([], []) for _ in range(batch.num_rows)]
         for buckets, texts in features(batch.column(1)):
             bounds = np.searchsorted(texts, np.arange(batch.num_rows + 1))
@@ -99,7 +106,7 @@ def _sparse(batches):
                     rows[i][1].append((counts / (GROUPS * (b - a))).astype(np.float32))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0)] + [pa.array([np.concatenate(r[k]).tobytes() if r[k] else b"" for r in rows], pa.binary())
-                                 for k in (0, 1)], names=["label", "buckets", "weights"])
+                                 for k in (0, 1)] + [batch.column(2)], names=["label", "buckets", "weights", "rank"])
 
 
 def train(examples: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS, rate: float = RATE,
@@ -151,19 +158,29 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOC
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality") -> tuple[np.ndarray, float]:
+        label_col: str = "quality", sample_bytes: int = SAMPLE_BYTES) -> tuple[np.ndarray, float]:
     """The model from at most ``sample`` labelled rows outside the held-out fold.
 
-    Null ids and labels other than 0 and 1 are left out. Only the sample's
-    sparse features reach the driver.
+    Null ids and labels other than 0 and 1 are left out. The sample's sparse
+    features are written to the shared folder; of these, whole rows of at most
+    ``sample_bytes`` reach the driver, so long texts make a smaller sample.
     """
+    order = Window.orderBy(F.xxhash64("_lid"), "_lid", "label")
     chosen = labels.select(F.col(id_col).alias("_lid"), F.col(label_col).cast("int").alias("label")).where(
         F.col("_lid").isNotNull() & F.col("label").isin(0, 1) & (fold(F.col("_lid")) != 2)
-    ).distinct().orderBy(F.xxhash64("_lid"), "_lid", "label").limit(sample)
+    ).distinct().orderBy(F.xxhash64("_lid"), "_lid", "label").limit(sample).withColumn("rank", F.row_number().over(order))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-        F.broadcast(chosen), F.col("_id") == F.col("_lid")).select("label", "_text")  # at most ``sample`` rows
-    found = rows.mapInArrow(_sparse, "label int, buckets binary, weights binary").toArrow()
-    examples = sorted((r["label"], r["buckets"], r["weights"]) for r in found.to_pylist())  # whatever the task order
+        F.broadcast(chosen), F.col("_id") == F.col("_lid")).select("label", "_text", "rank")  # ``chosen`` has at most ``sample`` rows
+    found = written(rows.mapInArrow(_sparse, "label int, buckets binary, weights binary, rank int"), "sparse")
+    sizes = found.groupBy("rank").agg(F.sum(F.octet_length("buckets") + F.octet_length("weights")).alias("bytes")).orderBy("rank")
+    last, held = 0, 0
+    for r in sizes.collect():  # at most ``sample`` numbers
+        held += r["bytes"]
+        if held > sample_bytes:
+            break
+        last = r["rank"]
+    taken = found.where(F.col("rank") <= last).select("label", "buckets", "weights").toArrow()
+    examples = sorted((r["label"], r["buckets"], r["weights"]) for r in taken.to_pylist())  # whatever the task order
     return train([(label, np.frombuffer(b, np.int32), np.frombuffer(w, np.float32)) for label, b, w in examples])
 
 
@@ -178,7 +195,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
 
     def run(batches):
         table, bias = shared.value
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SLICE_BYTES):
             logit = np.full(batch.num_rows, bias)
             for buckets, texts in features(batch.column(1)):
                 total = np.bincount(texts, table[buckets], batch.num_rows)

@@ -271,6 +271,22 @@ def test_classifier_on_held_out_rows(spark):
     assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows)
 
 
+def test_classifier_sample_is_bounded_in_bytes(spark, monkeypatch):
+    """Long texts make a smaller sample: whole rows, taken in order until the budget is used up."""
+    rng = random.Random(5)
+    long = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(3000)) if i % 2 else "short text", i % 3 // 2) for i in range(120)]
+    docs = spark.createDataFrame([r[:2] for r in long], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in long], "doc_id long, quality int")
+    taken = []
+    monkeypatch.setattr(quality_classifier, "train", lambda examples: taken.append(examples))
+    for budget in (10**9, 2_000_000, 0):
+        quality_classifier.fit(docs, labels, sample_bytes=budget)
+    sizes = [sum(b.nbytes + w.nbytes for _, b, w in x) for x in taken]
+    assert len(taken[0]) > 80 and sizes[0] > 4_000_000 and 1_000_000 < sizes[1] <= 2_000_000 and len(taken[2]) == 0
+    few = {b.tobytes() for _, b, _ in taken[1]}
+    assert few < {b.tobytes() for _, b, _ in taken[0]}
+
+
 def test_classifier_edges(spark, edges, nothing, corpus):
     labels = corpus[1]
     rows = quality_classifier.classify(edges, labels).collect()
