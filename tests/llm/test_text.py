@@ -148,6 +148,17 @@ def test_licences(spark, edges, nothing):
     assert licences.scan(edges, known).count() == len(EDGES) and licences.scan(nothing, known).count() == 0
 
 
+def test_licences_canonicalise_candidates_once(spark, tmp_dir):
+    """One plan reads the texts' units, and asks no unit's digest whether it is null: that would canonicalise every unit."""
+    spark.createDataFrame([(1, "SPDX-License-Identifier: MIT\nx\nSPDX-License-Identifier: MIT"), (1, "x"), (2, None)] * 2,
+                          "doc_id long, text string").write.parquet(f"{tmp_dir}/docs")
+    found = licences.scan(spark.read.parquet(f"{tmp_dir}/docs"), licences.known_digests(spark))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert sum("Generate" in line and "whole" in line for line in plan) == 1
+    assert not [line for line in plan if "Filter" in line and "unit" in line]
+    assert sorted((r.doc_id, r.licences, r.n_units) for r in found.collect()) == [(1, "", 0)] * 2 + [(1, "MIT", 2)] * 2 + [(2, "", 0)] * 2
+
+
 def test_licences_as_published(spark):
     isc = """ISC License
 
