@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortwise.llm.kernels import slices, text_buffer
+from cohortwise.llm.kernels import freed, slices, text_buffer
 
 #: Entries of the piece cache of a Python worker; a full cache starts anew.
 CACHE = 100_000
@@ -324,7 +324,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
     def run(batches):
         tokens = _kept(Spelling, key, shared)
-        for whole in batches:
+        for whole in freed(batches):
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
                 column = batch.column(batch.schema.get_field_index("ids"))

@@ -50,9 +50,16 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
+def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last one the worker gives Arrow's free memory
+    back: it stays with its executor, idle, while later steps run."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of at most ``SLICE_ROWS`` rows holding about ``limit`` text bytes."""
-    for batch in batches:
+    for batch in freed(batches):
         if not batch.num_rows:
             continue
         _, offsets = text_buffer(batch.column(batch.schema.get_field_index(text)))

@@ -37,10 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortwise.llm.components import connected
-from cohortwise.llm.kernels import U64, Words, mix, per_text_unique, slices, text_buffer
+from cohortwise.llm.kernels import U64, Words, freed, mix, per_text_unique, slices, text_buffer
 from cohortwise.llm.storage import written
 
 SHINGLE = 5
+#: Text bytes made into signatures at once: a worker holds several arrays of eight times this size, and keeps some when idle.
+SLICE = 1 << 20
 TOKENS, TREES, BRANCH, DEEPER = 128, 6, 2.5, 3.0
 LEAF, DEPTH = 4096, 4
 #: Share of equal tokens from which a pair is confirmed; 0.75 lies four standard deviations above.
@@ -73,7 +75,7 @@ def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(batches):
-    for batch in slices(batches, "_text"):
+    for batch in slices(batches, "_text", SLICE):
         values, bounds = shingle_sets(batch.column(1))
         sizes = np.diff(bounds)
         full = np.flatnonzero(sizes)
@@ -124,7 +126,7 @@ def _forest(tokens: np.ndarray):
 def _by_leaf(batches):
     """Tables of whole leaves from batches sorted by leaf."""
     left = None
-    for batch in batches:
+    for batch in freed(batches):
         if not batch.num_rows:
             continue
         table = pa.Table.from_batches([batch]) if left is None else pa.concat_tables([left, pa.Table.from_batches([batch])])
@@ -246,7 +248,7 @@ def _confirm(batches):
         words = [w for w in words if w]
         return set(zip(*(words[k:] for k in range(SHINGLE)))) if len(words) >= SHINGLE else {tuple(words)}
 
-    for batch in batches:
+    for batch in freed(batches):
         keep, last, own = [], None, None
         for i, (a, b) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
             if a != last:
@@ -272,7 +274,7 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _branched(batches):
     """Children of rows (node, rep, comp, tokens) on fresh tokens."""
-    for batch in batches:
+    for batch in freed(batches):
         if not batch.num_rows:
             continue
         node = batch.column(0).to_numpy().astype(np.int64).view(U64)

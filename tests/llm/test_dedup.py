@@ -42,6 +42,33 @@ def near_brute(rows):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
+def test_workers_hold_and_keep_little(monkeypatch):
+    """Signatures of 4 MB of texts take some arrays of a slice, not of them all; each kind of task ends by giving Arrow's free memory back."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Pool:
+        given = 0
+
+        def release_unused(self):
+            Pool.given += 1
+
+    texts = [" ".join(f"w{n}x{i}" for i in range(1300)) for n in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts)], names=["_id", "_text"])
+    assert batch.nbytes > 3_500_000
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in near_dedup._signatures(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 400 and peak < 80e6, peak
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    tasks = [near_dedup._signatures, near_dedup._forests, near_dedup._with_open_pairs, near_dedup._exact_links, near_dedup._confirm,
+             near_dedup._branched]
+    for n, task in enumerate(tasks):
+        assert list(task(iter([]))) == [] and Pool.given == n + 1
+
+
 def copies(rng, n, groups, edits):
     """Groups of texts with a few words changed, and unrelated texts."""
     rows = []
