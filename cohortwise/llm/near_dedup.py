@@ -6,9 +6,12 @@ named by a few *selected* tokens (a token is selected if its hash in that tree
 is small, so texts that share it select it together). Nodes with at most
 ``LEAF`` texts are compared exhaustively by their tokens; larger ones are
 compared in random blocks and branched again on fresh tokens, for as long as
-they hold texts not known to be connected. A node that still is large and
-mixed after ``DEPTH`` levels is compared block against block, all of it, so no
-size is a limit. Every link is confirmed on the full shingle sets.
+they hold texts not known to be connected. Branching parts texts that share
+little; a large node of near copies has children as large as itself. So a node
+whose texts share a third of their tokens, or are one part but for ``LEAF``
+texts, is compared whole: block against block, without the pairs inside its
+largest part. So is a node that still is large and mixed after ``DEPTH``
+levels; no size is a limit. Every link is confirmed on the full shingle sets.
 
 Recall: a pair at the similarity threshold shares a selected token in one tree
 with probability 1 - exp(-BRANCH * 0.75) = 0.85, in one of ``TREES`` with more
@@ -23,8 +26,8 @@ Only connectivity is wanted, and pairs never leave a task: first the best
 spanning forest of every node is confirmed; then, in nodes that the forests
 left in parts, the texts that may be linked across parts meet again with their
 full sets, and the task that has them returns confirmed links alone. A pair is
-checked in the first of the small nodes it shares. Equal sets are merged to
-one representative beforehand.
+checked in the first of the nodes it shares that are compared as a whole, on
+whatever level. Equal sets are merged to one representative beforehand.
 """
 
 from __future__ import annotations
@@ -45,6 +48,10 @@ SHINGLE = 5
 SLICE = 1 << 20
 TOKENS, TREES, BRANCH, DEEPER = 128, 6, 2.5, 3.0
 LEAF, DEPTH = 4096, 4
+#: Texts of a large node that tell how alike its texts are (about so many, by hash).
+SAMPLE = 64
+#: Bytes that the sets of a leaf may take, a byte for each bit while they are made.
+BITS = 1 << 26
 #: Share of equal tokens from which a pair is confirmed; 0.75 lies four standard deviations above.
 ESTIMATE = 0.60
 #: Links need 100 * intersection >= PERCENT * union.
@@ -101,23 +108,50 @@ def _signatures(batches):
             names=["_id", "n_shingles", "set_id", "tokens", "paths"])
 
 
-def _equal_share(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal tokens of every row of ``a`` with every row of ``b``."""
-    out = np.empty((len(a), len(b)), np.float32)
-    for start in range(0, len(a), 32):
-        out[start:start + 32] = (a[start:start + 32, None, :] == b[None, :, :]).mean(axis=2, dtype=np.float32)
+def _equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of equal tokens of every row of ``a`` with every row of ``b``."""
+    out = np.zeros((len(a), len(b)), np.uint8)
+    columns = np.ascontiguousarray(b.T)
+    for start in range(0, len(a), 64):
+        for k in range(TOKENS):
+            out[start:start + 64] += a[start:start + 64, k, None] == columns[k]
+    return out
+
+
+def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which rows of ``a`` and ``b`` share tokens enough to be links. Rows with
+    that many equal tokens differ in few of the tokens' lowest bits: most
+    others go by these bits, the rest by all tokens."""
+    need = int(np.ceil(ESTIMATE * TOKENS))
+    if len(a) * len(b) <= 2048:
+        return np.count_nonzero(a[:, None, :] == b[None, :, :], axis=2) >= need
+    low_a, low_b = (np.packbits((x & 1).astype(bool), axis=1).view(U64) for x in (a, b))
+    out = np.zeros((len(a), len(b)), bool)
+    for start in range(0, len(a), 64):
+        part = slice(start, start + 64)
+        differ = np.zeros((len(low_a[part]), len(b)), np.uint8)
+        for k in range(low_a.shape[1]):
+            differ += np.bitwise_count(low_a[part, k, None] ^ low_b[:, k])
+        i, j = np.nonzero(differ <= TOKENS - need)
+        if len(i) * 8 > differ.size:
+            out[part] = _equal(a[part], b) >= need
+        else:
+            out[start + i, j] = np.count_nonzero(a[start + i] == b[j], axis=1) >= need
     return out
 
 
 def _forest(tokens: np.ndarray):
     """Edges of the best spanning forest over pairs that may be links."""
-    n = len(tokens)
-    share = _equal_share(tokens, tokens)
+    near = _near(tokens, tokens)
+    np.fill_diagonal(near, False)
+    rows = np.flatnonzero(near.any(axis=1))
+    n = len(rows)
+    share = _equal(tokens[rows], tokens[rows]) / np.float32(TOKENS)
     best, parent, open_ = np.full(n, -1.0, np.float32), np.zeros(n, np.int64), np.ones(n, bool)
     for _ in range(n):
         i = int(np.argmax(np.where(open_, best, -2.0)))
         if best[i] >= ESTIMATE:
-            yield int(parent[i]), i
+            yield int(rows[parent[i]]), int(rows[i])
         open_[i] = False
         closer = open_ & (share[i] > best)
         best[closer], parent[closer] = share[i][closer], i
@@ -165,52 +199,103 @@ def _forests(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def _open_pairs(tokens, comps, firsts, leaf) -> np.ndarray:
+def _bits(values: np.ndarray, bounds: np.ndarray) -> np.ndarray | None:
+    """The sets ``values[bounds[i]:bounds[i+1]]`` as rows of bits, one bit for
+    each value that several of them hold; None if that takes over ``BITS`` bytes."""
+    n = len(bounds) - 1
+    order = np.argsort(values, kind="stable")
+    value = values[order]
+    head = np.flatnonzero(np.r_[True, value[1:] != value[:-1]]) if len(value) else np.zeros(0, int)
+    times = np.diff(np.r_[head, len(value)])
+    width = -(-int((times > 1).sum()) // 64) * 64
+    if n * width > BITS:
+        return None
+    out = np.zeros((n, max(width, 64)), bool)
+    column = np.repeat(np.cumsum(times > 1) - 1, times)
+    several = np.repeat(times > 1, times)
+    out[np.repeat(np.arange(n), np.diff(bounds))[order][several], column[several]] = True
+    return np.packbits(out, axis=1).view(U64)
+
+
+def _open_pairs(tokens, comps, blocks, earlier) -> np.ndarray:
     """Upper triangle of pairs that may be links, are not known to be connected,
-    and share no smaller leaf in which they are checked already."""
-    near = np.triu((_equal_share(tokens, tokens) >= ESTIMATE) & (comps[:, None] != comps[None, :]), 1)
-    for i in np.flatnonzero(near.any(axis=1)).tolist():
-        own = firsts[i][firsts[i] < leaf]
-        if len(own):
+    and meet in no earlier leaf. Of two blocks, only pairs across them."""
+    n = len(tokens)
+    near = np.zeros((n, n), bool)
+    if (blocks != blocks[0]).any():
+        a, b = np.flatnonzero(blocks == blocks[0]), np.flatnonzero(blocks != blocks[0])
+    elif n <= 32:
+        a = b = np.arange(n)
+    else:  # those of the largest part are connected
+        _, part, size = np.unique(comps, return_inverse=True, return_counts=True)
+        a, b = np.flatnonzero(part != np.argmax(size)), np.arange(n)
+    found = _near(tokens[a], tokens[b]) & (comps[a][:, None] != comps[b][None, :])
+    i, j = np.nonzero(found)
+    near[np.minimum(a[i], b[j]), np.maximum(a[i], b[j])] = True
+    seen, bounds = earlier
+    if len(i) and len(seen):
+        met = _bits(seen, bounds)
+        for i in np.flatnonzero(near.any(axis=1)).tolist():
             others = np.flatnonzero(near[i])
-            before = np.array([np.isin(own, firsts[j], assume_unique=True).any() for j in others.tolist()])
+            if met is not None:
+                before = (met[others] & met[i]).any(axis=1)
+            else:
+                own = seen[bounds[i]:bounds[i + 1]]
+                before = np.array([np.isin(own, seen[bounds[j]:bounds[j + 1]]).any() for j in others.tolist()])
             near[i, others[before]] = False
     return near
 
 
+def _leaf_pairs(table: pa.Table):
+    """(first row, end, open pairs) of the leaves of rows (leaf, rep, comp, block, earlier, tokens)."""
+    comps, blocks, tokens = table["comp"].to_numpy(), table["block"].to_numpy(), _tokens(table)
+    lists = table["earlier"].combine_chunks()
+    bounds = np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
+    seen = lists.flatten().to_numpy()
+    for c, d in zip(cuts := _cuts(table), cuts[1:]):
+        if d - c > 1:
+            own = seen[bounds[c]:bounds[d]], bounds[c:d + 1] - bounds[c]
+            yield c, d, _open_pairs(tokens[c:d], comps[c:d], blocks[c:d], own)
+
+
 def _with_open_pairs(batches):
-    """(leaf, rep) of the texts with such a pair; rows (leaf, rep, comp, firsts, tokens)."""
+    """The rows (leaf, rep, comp, block, earlier, tokens) of texts with such a pair."""
     for table in _by_leaf(batches):
-        reps, comps, leaf, tokens = table["rep"].to_numpy(), table["comp"].to_numpy(), table["leaf"].to_numpy(), _tokens(table)
-        firsts = [np.array(x, np.int64) for x in table["firsts"].to_pylist()]
-        keep = []
-        for c, d in zip(cuts := _cuts(table), cuts[1:]):
-            if d - c > 1:
-                near = _open_pairs(tokens[c:d], comps[c:d], firsts[c:d], leaf[c])
-                keep.append(c + np.flatnonzero(near.any(axis=0) | near.any(axis=1)))
-        keep = np.concatenate(keep) if keep else np.zeros(0, int)
-        yield pa.RecordBatch.from_arrays([pa.array(leaf[keep]), pa.array(reps[keep])], names=["leaf", "rep"])
+        keep = [c + np.flatnonzero(near.any(axis=0) | near.any(axis=1)) for c, _, near in _leaf_pairs(table)]
+        yield from table.take(np.concatenate(keep) if keep else np.zeros(0, int)).to_batches()
+
+
+def _in_both(i: int, others: np.ndarray, values, bounds, bits) -> np.ndarray:
+    """How many values the set ``i`` shares with each of the others."""
+    if bits is not None:
+        return np.bitwise_count(bits[others] & bits[i]).sum(axis=1, dtype=np.int64)
+    own = values[bounds[i]:bounds[i + 1]]
+    all_of = np.concatenate([values[bounds[j]:bounds[j + 1]] for j in others.tolist()])
+    found = own[np.minimum(np.searchsorted(own, all_of), len(own) - 1)] == all_of
+    starts = np.concatenate([[0], np.cumsum(np.diff(bounds)[others])[:-1]])
+    return np.add.reduceat(found, starts, dtype=np.int64)
+
+
+def _sets(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of a column, a slice of it at a time."""
+    parts = [shingle_sets(x.column(0)) for x in slices(pa.table({"text": texts}).to_batches(), "text", SLICE)]
+    return (np.concatenate([values for values, _ in parts]),
+            np.concatenate([[0], np.cumsum(np.concatenate([np.diff(bounds) for _, bounds in parts]))]))
 
 
 def _exact_links(batches):
-    """Confirmed links across parts; rows (leaf, rep, comp, firsts, tokens, text)."""
+    """Confirmed links across parts; rows (leaf, rep, comp, block, earlier, tokens, text)."""
     for table in _by_leaf(batches):
-        reps, comps, leaf, tokens = table["rep"].to_numpy(), table["comp"].to_numpy(), table["leaf"].to_numpy(), _tokens(table)
-        firsts = [np.array(x, np.int64) for x in table["firsts"].to_pylist()]
+        reps, comps = table["rep"].to_numpy(), table["comp"].to_numpy()
         links = []
-        for c, d in zip(cuts := _cuts(table), cuts[1:]):
-            near = _open_pairs(tokens[c:d], comps[c:d], firsts[c:d], leaf[c])
-            values, bounds = shingle_sets(table["text"].slice(c, d - c))
-            sizes, part = np.diff(bounds), comps[c:d].copy()
+        for c, d, near in _leaf_pairs(table):
+            values, bounds = _sets(table["text"].slice(c, d - c))
+            sizes, part, bits = np.diff(bounds), comps[c:d].copy(), _bits(values, bounds)
             for i in np.flatnonzero(near.any(axis=1)).tolist():
                 others = np.flatnonzero(near[i] & (part != part[i]))
                 if not len(others):
                     continue
-                own = values[bounds[i]:bounds[i + 1]]
-                all_of = np.concatenate([values[bounds[j]:bounds[j + 1]] for j in others.tolist()])
-                found = own[np.minimum(np.searchsorted(own, all_of), len(own) - 1)] == all_of
-                starts = np.concatenate([[0], np.cumsum(sizes[others])[:-1]])
-                both = np.add.reduceat(found, starts, dtype=np.int64)
+                both = _in_both(i, others, values, bounds, bits)
                 for j in others[100 * both >= PERCENT * (sizes[i] + sizes[others] - both)].tolist():
                     if part[i] != part[j]:
                         links.append((reps[c + i], reps[c + j]))
@@ -220,6 +305,15 @@ def _exact_links(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
+def _shares(batches):
+    """Mean share of equal tokens of the pairs of each leaf; rows (leaf, tokens)."""
+    for table in _by_leaf(batches):
+        leaf, tokens, cuts = table["leaf"].to_numpy(), _tokens(table), _cuts(table)
+        shares = [float((_equal(tokens[c:d], tokens[c:d]).sum() / TOKENS - (d - c)) / max((d - c) * (d - c - 1), 1))
+                  for c, d in zip(cuts, cuts[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(leaf[cuts[:-1]]), pa.array(shares, pa.float64())], names=["node", "share"])
+
+
 def text_like(column) -> tuple[np.ndarray, np.ndarray]:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     column = column.cast(pa.large_binary())
@@ -231,15 +325,32 @@ def _leaves(rows: DataFrame) -> DataFrame:
     return rows.repartition("leaf").sortWithinPartitions("leaf")
 
 
-def _links_across(rows: DataFrame, reps: DataFrame, texts) -> DataFrame:
-    """Links (a, b) between parts, of rows (leaf, rep, comp, firsts) with
-    leaves of bounded size; ``texts``: ids to a table (id, text)."""
-    full = written(rows.join(reps.select("rep", "tokens"), "rep").select("leaf", "rep", "comp", "firsts", "tokens"), "across")
-    some = written(_leaves(full).mapInArrow(_with_open_pairs, "leaf long, rep long"), "open")
-    of = texts(some.select(F.col("rep").alias("id")).distinct())
-    meet = full.join(some, ["leaf", "rep"], "left_semi").join(of, F.col("rep") == F.col("id")).select(
-        "leaf", "rep", "comp", "firsts", "tokens", "text")
-    return written(_leaves(meet).mapInArrow(_exact_links, "a long, b long").distinct(), "links")
+def _pieces(rows: DataFrame) -> DataFrame:
+    """Large nodes, all of them: every block of the texts outside the node's
+    largest part against each block of it and of themselves; rows (node, rep,
+    comp, n, top, most, tokens) as (leaf, node, rep, comp, block, tokens)."""
+    inner, outer = (F.ceil(x / F.lit(LEAF // 2)).cast("long") for x in (F.col("most"), F.col("n") - F.col("most")))
+    own = F.when(F.col("comp") == F.col("top"), F.pmod(F.xxhash64("rep"), inner)).otherwise(
+        inner + F.pmod(F.xxhash64("rep"), outer))
+    first = F.when(F.col("comp") == F.col("top"), inner).otherwise(F.lit(0).cast("long"))
+    cut = rows.withColumn("block", own).withColumn("_o", F.explode(F.sequence(first, inner + outer - 1)))
+    return cut.select(F.xxhash64("node", F.least("block", "_o"), F.greatest("block", "_o")).alias("leaf"),
+                      "node", "rep", "comp", "block", "tokens")
+
+
+def _judged(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Rows (node, rep, comp, n) of large nodes with their ``tokens``, the largest
+    part of the node ``top``, its size ``most``, and ``whole``: not to be branched,
+    as few texts are outside that part, or as so many tokens are equal that the
+    children of a text would hold, all together, no fewer texts than the node."""
+    tops = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("node").agg(
+        F.max(F.struct("k", "comp")).alias("x")).select("node", F.col("x.comp").alias("top"), F.col("x.k").alias("most"))
+    some = rows.where(F.pmod(F.xxhash64("rep", "node"), F.col("n")) < SAMPLE)
+    shares = _leaves(some.join(tokens, "rep").select(F.col("node").alias("leaf"), "tokens")).mapInArrow(
+        _shares, "node long, share double")
+    whole = (F.col("n") - F.col("most") <= LEAF) | (F.coalesce("share", F.lit(0.0)) * DEEPER >= 1)
+    return rows.join(tops.join(shares, "node", "left"), "node").join(tokens, "rep").select(
+        "node", "rep", "comp", "n", "top", "most", whole.alias("whole"), "tokens")
 
 
 def _confirm(batches):
@@ -337,33 +448,47 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # round 2: what the forests left apart
     parts = nodes.select("node", "rep").join(known, F.col("rep") == F.col("id"), "left").select(
         "node", "rep", F.coalesce("comp", "rep").alias("comp"))
-    mixed = written(_sized(parts), "mixed")
-    small = mixed.where(F.col("n") <= LEAF)
-    firsts = small.groupBy("rep").agg(F.collect_list("node").alias("firsts"))  # at most the nodes of a text
-    found = [_links_across(small.select(F.col("node").alias("leaf"), "rep", "comp").join(firsts, "rep"), reps, lambda _: texts)]
-
-    def alone(x):  # leaves that no other shares pairs with
-        return x.select("leaf", "rep", "comp", F.array().cast("array<long>").alias("firsts"))
-
-    large = mixed.where(F.col("n") > LEAF)
-    for _ in range(DEPTH):
-        if large.isEmpty():
+    level, found, met = written(_sized(parts), "mixed"), [], []
+    for depth in range(DEPTH + 1):
+        tokens = reps.select("rep", "tokens")
+        small, large = level.where(F.col("n") <= LEAF), level.where(F.col("n") > LEAF)
+        some = not large.isEmpty()
+        leaves = small.join(tokens, "rep").select(
+            F.col("node").alias("leaf"), "node", "rep", "comp", F.lit(0).cast("long").alias("block"), "tokens")
+        here = small.select("node", "rep")
+        if some:
+            large = written(_judged(large, tokens), "large")
+            whole, rest = (large.where("whole"), large.where("NOT whole")) if depth < DEPTH else (large, large.where("false"))
+            leaves, here = leaves.unionByName(_pieces(whole)), here.unionByName(whole.select("node", "rep"))
+            if depth:  # some pairs of nodes to be branched again, now
+                leaves = leaves.unionByName(rest.select(
+                    _leaf(F.col("n"), LEAF).alias("leaf"), "node", "rep", "comp", F.lit(-1).cast("long").alias("block"), "tokens"))
+        met.append(here.withColumn("depth", F.lit(depth)))
+        of_text = met[0]
+        for x in met[1:]:
+            of_text = of_text.unionByName(x)
+        of_text = of_text.groupBy("rep").agg(F.collect_list(F.struct("depth", "node")).alias("met"))  # at most the nodes of a text
+        earlier = F.transform(F.filter("met", lambda x: (x["depth"] < depth) | (x["node"] < F.col("node")) | (F.col("block") < 0)),
+                              lambda x: x["node"])
+        columns = ["leaf", "rep", "comp", "block", "earlier", "tokens"]
+        leaves = leaves.join(of_text, "rep", "left").withColumn(
+            "earlier", F.coalesce(earlier, F.array().cast("array<long>"))).select(columns)
+        found.append(written(_leaves(leaves).mapInArrow(
+            _with_open_pairs, "leaf long, rep long, comp long, block long, earlier array<long>, tokens binary"), "open"))
+        if not some or rest.isEmpty():
             break
-        children = large.join(reps.select("rep", "tokens"), "rep").select("node", "rep", "comp", "tokens").mapInArrow(
+        children = rest.select("node", "rep", "comp", "tokens").mapInArrow(
             _branched, "node long, rep long, comp long").dropDuplicates(["node", "rep"])
-        deeper = written(_sized(children), "children")
-        found.append(_links_across(alone(deeper.withColumn("leaf", _leaf(F.col("n"), LEAF))), reps, texts_of))
-        large = deeper.where(F.col("n") > LEAF)
-    else:
-        if not large.isEmpty():  # dense and mixed: every block of a node against every other
-            blocks = F.ceil(F.col("n") / F.lit(LEAF // 2)).cast("long")
-            own = large.withColumn("_b", F.pmod(F.xxhash64("rep"), blocks)).withColumn(
-                "_o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-            found.append(_links_across(alone(own.withColumn("leaf", F.xxhash64(
-                "node", F.least("_b", "_o"), F.greatest("_b", "_o")))), reps, texts_of))
-    more = found[0]
+        level = written(_sized(children), "children")
+    meet = found[0]
     for x in found[1:]:
-        more = more.union(x)
+        meet = meet.unionByName(x)
+    wanted = meet.select(F.col("rep").alias("id")).distinct()
+    if len(found) > 1 or some:  # blocks of the first round may have kept near ones apart
+        missing = written(wanted.join(texts, "id", "left_anti"), "missing")
+        texts = texts if missing.isEmpty() else texts.union(texts_of(missing))
+    meet = meet.join(texts, F.col("rep") == F.col("id")).drop("id")
+    more = written(_leaves(meet).mapInArrow(_exact_links, "a long, b long").distinct(), "links")
     if not more.isEmpty():
         known = connected(links.union(more))
 

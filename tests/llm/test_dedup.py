@@ -170,6 +170,50 @@ def test_near_threshold_pairs_survive_large_nodes():
         rows = {x for out in near_dedup._branched([level]) for x in zip(out.column(0).to_pylist(), out.column(1).to_pylist())}
 
 
+def test_near_copies_in_large_nodes_are_not_branched(spark, monkeypatch):
+    """The children of a node of near copies are as large as the node: its texts are compared where they are, once."""
+    monkeypatch.setattr(near_dedup, "LEAF", 16)
+    names, write = [], near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, name: names.append(name) or write(df, name))
+    rows = copies(random.Random(8), 40, (90,), 8)
+    want = near_brute(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.classes(docs_of(spark, rows)).collect()}
+    assert got == want
+    assert "mixed" in names and "children" not in names and names.count("open") == 1, names
+
+
+def test_near_pairs_meet_once_and_by_all_their_tokens():
+    """Pairs that met in an earlier leaf stay out of later ones, with or without bits; the shortcut by lowest bits loses no pair."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 16, near_dedup.TOKENS)
+    tokens = np.where(rng.random((150, near_dedup.TOKENS)) < 0.77, base, rng.integers(0, 1 << 16, (150, near_dedup.TOKENS))).astype(np.uint16)
+    near = np.array([(tokens == t).sum(axis=1) >= 0.6 * near_dedup.TOKENS for t in tokens])
+    assert 0.2 < near.mean() < 0.8 and (near_dedup._near(tokens, tokens) == near).all()
+    spread = np.concatenate([tokens, rng.integers(0, 1 << 16, (1500, near_dedup.TOKENS)).astype(np.uint16)])
+    assert (near_dedup._near(spread, tokens)[:150] == near).all()
+    comps, blocks = np.arange(150), np.zeros(150, np.int64)
+    lists = [sorted({i % 7, 100 + i % 5}) for i in range(150)]
+    earlier = np.concatenate(lists), np.arange(151) * 2
+    met = np.array([[bool({*x} & {*y}) for y in lists] for x in lists])
+    for limit in (near_dedup.BITS, 0):
+        near_dedup.BITS, kept = limit, near_dedup.BITS
+        try:
+            got = near_dedup._open_pairs(tokens, comps, blocks, earlier)
+        finally:
+            near_dedup.BITS = kept
+        assert (got == np.triu(near & ~met, 1)).all()
+    across = near_dedup._open_pairs(tokens, comps, np.arange(150) % 2, (np.zeros(0, np.int64), np.zeros(151, np.int64)))
+    assert (across == np.triu(near & ((np.arange(150)[:, None] + np.arange(150)) % 2 == 1), 1)).all()
+    values, bounds = near_dedup.per_text_unique(rng.integers(0, 900, 6000).astype(np.uint64), np.arange(0, 6001, 100))
+    others = np.arange(1, 60)
+    bits = near_dedup._bits(values, bounds)
+    want = [len({*values[bounds[0]:bounds[1]]} & {*values[bounds[j]:bounds[j + 1]]}) for j in others]
+    assert near_dedup._in_both(0, others, values, bounds, bits).tolist() == want
+    assert near_dedup._in_both(0, others, values, bounds, None).tolist() == want
+
+
 def test_near_on_corpus(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     want = near_brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
